@@ -32,6 +32,9 @@ def _sortable(name: str, dtype: T.DataType) -> Column:
         number = F.unix_micros(column)
     elif isinstance(dtype, T.BooleanType):
         number = column.cast("long")
+    elif isinstance(dtype, T.TimestampNTZType):
+        # no zone, so no conversion to an instant: the ISO text sorts by itself
+        return F.when(column.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), column.cast("string"), F.lit("!")))
     elif isinstance(dtype, T.StringType):
         # '!' sorts before every hex digit, so a shorter text sorts before its extensions.
         return F.when(column.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), F.hex(F.encode(column, "UTF-8")), F.lit("!")))
