@@ -267,9 +267,12 @@ class Explanation:
 
     method: str
     values: DataFrame
-    importance: DataFrame
     slots: list[tuple[str, str]]
 
+    @property
+    def importance(self) -> DataFrame:
+        return mean_abs_importance(self.values, slot_groups(self.slots))
+
     @property
     def rankings(self) -> DataFrame:
         return rank_importance(self.importance)
@@ -292,7 +295,7 @@ def explain(
     sample = exact_sample(df.select(*ids, "features"), fraction, ids, seed)
     values = contributions(trained, sample, ids, method)
     slots = trained.slots or [(f"feature_{i}", f"feature_{i}") for i in range(trained.model.numFeatures)]
-    return Explanation(method.lower(), values, mean_abs_importance(values, slot_groups(slots)), slots)
+    return Explanation(method.lower(), values, slots)
 
 
 def split_importance(spark: SparkSession, trained: TrainedModel) -> DataFrame:

@@ -113,7 +113,7 @@ def cross_validate_search(
     tasks = [(number, fold) for number in range(n_trials) for fold in folds]
     try:
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
-            target = inheritable_thread_target(one)
+            target = inheritable_thread_target(SparkSession.active())(one)
             outcomes = list(pool.map(target, tasks))
     finally:
         if cache:
