@@ -401,6 +401,82 @@ def split_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.split_importance(spark, trained)
 
 
+# One tree that is deep enough to separate every value of one nominal feature predicts
+# the mean of each value, so training, scoring, search and explanation have SQL twins.
+_SATURATED = {"n_estimators": 1, "num_leaves": 4096, "min_data_in_leaf": 1, "feature_fraction": 1.0}
+
+
+def _grouped_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, FeaturePlan]:
+    df = fr.line_frame(spark, sf_dir).select(*fr.LINE_IDS, (F.col("price") > 40000).cast("int").alias("label"), "line_no")
+    return df, _plan(categorical=["line_no"], keep_missing=["line_no"])
+
+
+def _group_model(spark: SparkSession, sf_dir: str) -> tuple[TrainedModel, DataFrame, int]:
+    df, plan = _grouped_lines(spark, sf_dir)
+    encoder = FeatureEncoder(plan).fit(df)
+    data = encoder.feature_frame(df, [*fr.LINE_IDS, "label"])
+    trained = BoostedTrees("classification", _SATURATED).fit(data, encoder.vector_slots(), encoder.max_arity())
+    return trained, data, encoder.max_arity()
+
+
+def group_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, data, _ = _group_model(spark, sf_dir)
+    return rounded(trained.score(data, fr.LINE_IDS))
+
+
+def group_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fr.event_frame(spark, sf_dir)
+    plan = FeaturePlan(["event_id"], "label", categorical=["event_type"])
+    encoder = FeatureEncoder(plan).fit(df)
+    data = encoder.feature_frame(df, ["event_id", "label"])
+    trained = BoostedTrees("regression", _SATURATED).fit(data, encoder.vector_slots(), encoder.max_arity())
+    return rounded(trained.score(data, ["event_id"]))
+
+
+def group_contributions_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, data, _ = _group_model(spark, sf_dir)
+    values = explain.contributions(trained, data, fr.LINE_IDS, "path")
+    return rounded(values.select(*fr.LINE_IDS, "bias", "margin", F.col("contributions")[0].alias("contribution")))
+
+
+def group_contributions_shap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, data, _ = _group_model(spark, sf_dir)
+    values = explain.contributions(trained, data, fr.LINE_IDS, "shap")
+    return rounded(values.select(*fr.LINE_IDS, "bias", "margin", F.col("contributions")[0].alias("contribution")))
+
+
+def group_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, data, _ = _group_model(spark, sf_dir)
+    return rounded(explain.explain(trained, data, fr.LINE_IDS, "shap").rankings)
+
+
+def group_split_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, _, _ = _group_model(spark, sf_dir)
+    return explain.split_importance(spark, trained).select("feature", "n_splits")
+
+
+def group_train_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, plan = _grouped_lines(spark, sf_dir)
+    encoder = FeatureEncoder(plan).fit(df)
+    data = encoder.feature_frame(df, [*fr.LINE_IDS, "label"])
+    trained = BoostedTrees("classification", _SATURATED).fit_and_measure(data, "rocauc", encoder.vector_slots(), encoder.max_arity())
+    return rounded(spark.createDataFrame([("rocauc", trained.train_metric)], "metric string, value double"))
+
+
+def group_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, data, max_arity = _group_model(spark, sf_dir)
+    return rounded(explain.surrogate(trained, data, fr.LINE_IDS, 1000, max_arity).score(data, fr.LINE_IDS))
+
+
+def group_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, plan = _grouped_lines(spark, sf_dir)
+    folded = folds.assign_folds(df, 3, fr.LINE_IDS, target="label")
+    data = encode_folds(folded, FeatureEncoder(plan), 3, "label", fr.LINE_IDS)
+    space = parse_space({name: {"kind": "categorical", "choices": [value]} for name, value in _SATURATED.items()})
+    result = cross_validate_search(data, space, 1, "classification", "rocauc", "gt", "label", parallelism=3)
+    return rounded(result.fold_frame(spark).select("trial_number", "fold", "metric"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -413,5 +489,7 @@ QUERIES: dict[str, Query] = {
         argmax_prediction, flat_prediction, mean_abs_importance, importance_rank, top_importance, importance_by_group,
         train_score_binary, train_score_lines, train_score_regression, train_score_multiclass, cv_search, early_stopping,
         path_contributions, shap_contributions, shap_importance, surrogate_scores, split_importance,
+        group_binary, group_regression, group_contributions_path, group_contributions_shap, group_importance, group_split_count,
+        group_train_metric, group_surrogate, group_search,
     )
 }

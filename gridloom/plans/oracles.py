@@ -179,6 +179,18 @@ _ARGMAX = f"""WITH e AS (SELECT vec_id, [{_CLASSES}] AS e FROM embeddings), p AS
 SELECT {', '.join(f'round(p[{i + 1}], 6) AS prob_class_{i}' for i in range(8))},
   CAST(list_position(p, list_max(p)) - 1 AS INT) AS prediction, vec_id FROM p"""
 
+# A saturated tree on one nominal feature: the margin of a value is the mean of the labels coded -1/+1.
+_GROUPED = f"""{_LINE}, grouped AS (SELECT {_IDS}, CASE WHEN price > 40000 THEN 1 ELSE 0 END AS label, coalesce(line_no, '?') AS line_no FROM line)"""
+_MARGINS = f"""{_GROUPED}, margins AS (SELECT line_no, avg(2.0::DOUBLE * label - 1) AS margin FROM grouped GROUP BY line_no),
+bias AS (SELECT avg(2.0::DOUBLE * label - 1) AS bias FROM grouped)"""
+_GROUP_VALUES = f"""WITH {_MARGINS} SELECT {_IDS}, round(bias, 6) AS bias, round(margin, 6) AS margin, round(margin - bias, 6) + 0.0 AS contribution
+FROM grouped JOIN margins USING (line_no) CROSS JOIN bias"""
+_GROUP_SEARCH = f"""WITH {_GROUPED}, {_fold_ctes('grouped', _KEY, 'label', 3)},
+ks AS (SELECT CAST(f AS INT) AS k FROM range(3) AS t(f)),
+m AS (SELECT k, line_no, avg(2.0::DOUBLE * label - 1) AS score FROM ks JOIN folded ON fold <> k GROUP BY k, line_no),
+v AS (SELECT fold, label, score FROM folded JOIN m ON m.k = fold AND m.line_no = folded.line_no)
+SELECT 0 AS trial_number, fold, round(auc, 6) AS metric FROM ({_auc('v', ['fold'])})"""
+
 ORACLES: dict[str, str] = {
     "typed_cast": f"WITH {_RAW} {_TYPED}",
     "bool_parity": f"WITH {_RAW} SELECT {_IDS}, {_FLAG} AS as_null, coalesce({_FLAG}, TRUE) AS as_true FROM raw",
@@ -256,4 +268,17 @@ SELECT *, round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS reca
     "top_importance": f"WITH {_CONTRIBUTIONS} SELECT * FROM importance ORDER BY importance DESC, feature LIMIT 2",
     "importance_by_group": f"""WITH {_CONTRIBUTIONS} SELECT 'size' AS feature, round(avg(abs(quantity)), 6) AS importance FROM c UNION ALL
 SELECT 'money', round(avg(abs(price + discount + tax)), 6) FROM c""",
+    "group_binary": f"WITH {_MARGINS} SELECT round(1 / (1 + exp(-2 * margin)), 6) AS prediction, {_IDS} FROM grouped JOIN margins USING (line_no)",
+    "group_regression": """SELECT round(m, 6) AS prediction, event_id FROM events
+  JOIN (SELECT event_type, avg(value) AS m FROM events GROUP BY event_type) USING (event_type)""",
+    "group_contributions_path": _GROUP_VALUES,
+    "group_contributions_shap": _GROUP_VALUES,
+    "group_importance": f"""WITH {_MARGINS} SELECT 'remainder__line_no' AS feature, round(avg(abs(margin - bias)), 6) AS importance, 1 AS rank
+FROM grouped JOIN margins USING (line_no) CROSS JOIN bias""",
+    "group_split_count": f"WITH {_GROUPED} SELECT 'remainder__line_no' AS feature, count(DISTINCT line_no) - 1 AS n_splits FROM grouped",
+    "group_train_metric": f"WITH {_MARGINS}, v AS (SELECT label, margin AS score FROM grouped JOIN margins USING (line_no)) SELECT 'rocauc' AS metric, round(auc, 6) AS value FROM ({_auc('v', [])})",
+    "group_surrogate": f"""WITH {_MARGINS}, f AS (SELECT line_no, margin > 0 AS up FROM grouped JOIN margins USING (line_no) ORDER BY {_IDS} LIMIT 1000),
+d AS (SELECT line_no, avg(CASE WHEN up THEN 1.0::DOUBLE ELSE -1.0 END) AS m FROM f GROUP BY line_no)
+SELECT round(1 / (1 + exp(-2 * m)), 6) AS prediction, {_IDS} FROM grouped JOIN d USING (line_no)""",
+    "group_search": _GROUP_SEARCH,
 }

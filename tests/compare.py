@@ -59,7 +59,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1]
     only = sys.argv[2:] or list(QUERIES)
-    session = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="16g")
+    session = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="16g", spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     connection = connect(sf)
     for query_name in only:
