@@ -32,6 +32,8 @@ DEFAULT_PARAMS: dict[str, Any] = {
 INTEGER_PARAMS = ("num_leaves", "n_estimators", "min_data_in_leaf")
 PATIENCE = 50
 
+_WEIGHT = "__weight"
+
 
 def complete_params(params: dict[str, Any] | None) -> dict[str, Any]:
     """Given parameters over the defaults, whole-number parameters truncated."""
@@ -134,20 +136,23 @@ class BoostedTrees:
         self.label = label
         self.seed = seed
 
-    def _learner(self, df: DataFrame, max_arity: int):
-        checkpoint_root(df.sparkSession)  # long boosting runs cut their lineage there
+    def _learner(self, max_arity: int):
         options = dict(learner_options(self.params, max_arity), labelCol=self.label, featuresCol="features", seed=self.seed)
         if self.problem_type == "regression":
-            return GBTRegressor(lossType="squared", **options), df
-        learner = GBTClassifier(**options)
-        if self.params["class_weight"] == "balanced":
-            weights = {row[self.label]: row["weight"] for row in class_weights(df, self.label).collect()}
-            weight = F.lit(1.0)
-            for value, w in weights.items():
-                weight = F.when(F.col(self.label) == value, F.lit(w)).otherwise(weight)
-            df = df.withColumn("__weight", weight)
-            learner = learner.setWeightCol("__weight")
-        return learner, df
+            return GBTRegressor(lossType="squared", **options)
+        return GBTClassifier(**options)
+
+    def _weights(self, df: DataFrame) -> dict[float, float]:
+        """Balanced class weights of the training rows; empty when rows count equally."""
+        if self.problem_type == "regression" or self.params["class_weight"] != "balanced":
+            return {}
+        return {row[self.label]: row["weight"] for row in class_weights(df, self.label).collect()}
+
+    def _weighted(self, df: DataFrame, weights: dict[float, float]) -> DataFrame:
+        weight = F.lit(1.0)
+        for value, w in weights.items():
+            weight = F.when(F.col(self.label) == value, F.lit(w)).otherwise(weight)
+        return df.withColumn(_WEIGHT, weight) if weights else df
 
     def fit(
         self,
@@ -157,12 +162,19 @@ class BoostedTrees:
         validation: DataFrame | None = None,
         patience: int = PATIENCE,
     ) -> TrainedModel:
-        """Train on ``features`` and the label; with ``validation`` keep the best number of trees."""
-        learner, weighted = self._learner(df, max_arity)
-        model = learner.fit(weighted)
+        """Train on ``features`` and the label; with ``validation`` keep the best number of trees.
+
+        The learner bins the rows and keeps its own compact copy, so the input is not cached here.
+        """
+        checkpoint_root(df.sparkSession)  # long boosting runs cut their lineage there
+        learner, weights = self._learner(max_arity), self._weights(df)
+        if weights:
+            learner = learner.setWeightCol(_WEIGHT)
+        model = learner.fit(self._weighted(df, weights))
         params = dict(self.params)
         if validation is not None:
-            losses = model.evaluateEachIteration(validation, "squared") if self.problem_type == "regression" else model.evaluateEachIteration(validation)
+            held_out = self._weighted(validation, weights)
+            losses = model.evaluateEachIteration(held_out, "squared") if self.problem_type == "regression" else model.evaluateEachIteration(held_out)
             params["best_iteration"] = best_length(losses, patience)
             model = first_trees(model, params["best_iteration"])
         return TrainedModel(model, self.problem_type, params, list(slots))

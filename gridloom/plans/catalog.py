@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridloom.config import parse_space
 from gridloom.operators import audit, explain, folds, metrics
-from gridloom.operators.encode import FeatureEncoder, apply_dictionary, first_seen_dictionary, out_of_fold
+from gridloom.operators.encode import FeatureEncoder, FittedEncoder, apply_dictionary, first_seen_dictionary, out_of_fold
 from gridloom.operators.score import flat_output, logistic, multiclass_output
 from gridloom.operators.search import cross_validate_search, encode_folds
 from gridloom.operators.train import BoostedTrees, TrainedModel
@@ -214,7 +215,7 @@ def fold_encoded_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = fr.doc_quality(spark, sf_dir)
+    df = fr.doc_quality(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     folded = folds.assign_folds(df, N_FOLDS, ["doc_id"], target="label")
     return rounded(FeatureEncoder(fr.doc_plan()).fit(folded).transform(folded, ["doc_id", "label", "fold"]))
 
@@ -304,8 +305,8 @@ def importance_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SMALL = {"n_estimators": 8, "num_leaves": 16, "min_data_in_leaf": 10, "learning_rate": 0.2, "feature_fraction": 1.0}
 
 
-def _doc_model(spark: SparkSession, sf_dir: str) -> tuple[TrainedModel, FeatureEncoder, DataFrame]:
-    df = fr.doc_quality(spark, sf_dir)
+def _doc_model(spark: SparkSession, sf_dir: str, features: DataFrame | None = None) -> tuple[TrainedModel, FittedEncoder, DataFrame]:
+    df = fr.doc_quality(spark, sf_dir, features).persist(StorageLevel.MEMORY_AND_DISK)
     encoder = FeatureEncoder(fr.doc_plan()).fit(df)
     data = encoder.feature_frame(df, ["doc_id", "label"])
     trained = BoostedTrees("classification", _SMALL).fit(data, encoder.vector_slots(), encoder.max_arity())
@@ -314,8 +315,10 @@ def _doc_model(spark: SparkSession, sf_dir: str) -> tuple[TrainedModel, FeatureE
 
 def train_score_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the labelled documents, score every document."""
-    trained, encoder, _ = _doc_model(spark, sf_dir)
-    return trained.score(encoder.feature_frame(fr.document_features(spark, sf_dir), ["doc_id"]), ["doc_id"])
+    # the text is read once; the few numbers per document serve every pass of fitting and scoring
+    features = fr.document_features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    trained, encoder, _ = _doc_model(spark, sf_dir, features)
+    return trained.score(encoder.feature_frame(features, ["doc_id"]), ["doc_id"])
 
 
 def _line_model(spark: SparkSession, sf_dir: str) -> tuple[TrainedModel, DataFrame, int]:
@@ -357,7 +360,7 @@ _SPACE = {
 
 
 def cv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = fr.doc_quality(spark, sf_dir)
+    df = fr.doc_quality(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     folded = folds.assign_folds(df, 3, ["doc_id"], target="label")
     data = encode_folds(folded, FeatureEncoder(fr.doc_plan()), 3, "label", ["doc_id"])
     result = cross_validate_search(data, parse_space(_SPACE), 2, "classification", "rocauc", "gt", "label", parallelism=3)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.sources.metadata import FeaturePlan
+from gridloom.sources.readers import spread
 
 LINE_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 RAW_COLUMNS = ["qty_text", "flag_text", "cat_text", "tax_text"]
@@ -79,7 +80,7 @@ def line_plan() -> FeaturePlan:
 
 def line_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order, customer and part; target: returned or not."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
@@ -110,7 +111,7 @@ def line_flag_plan() -> FeaturePlan:
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics of every document, over its whole text."""
     words = F.split("text", " ")
-    stats = table(spark, sf_dir, "documents").select(
+    stats = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", "lang", "source")).select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.size(words).cast("double").alias("n_words"),
@@ -122,10 +123,11 @@ def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.withColumn("n_words", F.when(F.col("n_words") >= 20, F.col("n_words")))
 
 
-def doc_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_quality(spark: SparkSession, sf_dir: str, features: DataFrame | None = None) -> DataFrame:
     """Labelled documents; target: quality."""
     labels = table(spark, sf_dir, "labels")
-    joined = document_features(spark, sf_dir).join(labels, "doc_id")
+    features = document_features(spark, sf_dir) if features is None else features
+    joined = features.join(labels, "doc_id")
     return joined.withColumn("label", F.col("quality").cast("int")).drop("quality")
 
 
@@ -140,7 +142,7 @@ def doc_plan() -> FeaturePlan:
 
 def event_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a number to predict."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     return events.select(
         "event_id",
         F.hour("ts").cast("double").alias("hour"),

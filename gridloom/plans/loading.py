@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.config import DataConfig, ModelConfig, load_json
 from gridloom.operators.typing import apply_types, validate_columns
 from gridloom.sources.metadata import FeaturePlan, read_metadata
-from gridloom.sources.readers import read_table
+from gridloom.sources.readers import read_table, spread
 
 
 class TableLoader:
@@ -43,4 +43,5 @@ class TableLoader:
     def get_data(self) -> DataFrame:
         """The input with every column typed by its metadata; one lazy projection."""
         types = {row["feature_name"]: row["type"] for row in self.metadata_rows}
-        return apply_types(self.input_data, types, self.data_config.missing_bool)
+        typed = apply_types(self.input_data, types, self.data_config.missing_bool)
+        return spread(typed) if self.data_config.training else typed

@@ -86,3 +86,14 @@ def read_table(spark: SparkSession, source: str, path: str, infer: bool = False)
             raise FileNotFoundError(f"input data {path} not found") from err
         raise ValueError(f"cannot load input data {path}: {err}") from err
     return with_inferred_types(df) if infer else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that yields fewer tasks than there are cores.
+
+    Only small inputs have that few splits, so at most one split per core is moved;
+    a large table already has more splits than cores and is returned unchanged. Apply it to a
+    scan that feeds repeated passes, such as training.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -211,5 +211,9 @@ def test_regression_and_balanced_weights(frame):
     trained = BoostedTrees("regression", PARAMS, label="target").fit_and_measure(data, "rmse", encoder.vector_slots(), encoder.max_arity())
     assert trained.train_metric < 15
     weighted = encoder.feature_frame(df, [*plan.ids, "label"])
-    balanced = BoostedTrees("classification", {**PARAMS, "class_weight": "balanced"}).fit(weighted, encoder.vector_slots(), encoder.max_arity())
+    trees = BoostedTrees("classification", {**PARAMS, "class_weight": "balanced"})
+    balanced = trees.fit(weighted, encoder.vector_slots(), encoder.max_arity(), validation=weighted)
+    plain = BoostedTrees("classification", PARAMS).fit(weighted, encoder.vector_slots(), encoder.max_arity())
+    mean = [t.score(weighted, plan.ids).agg(F.avg("prediction")).first()[0] for t in (balanced, plain)]
+    assert mean[0] != pytest.approx(mean[1], abs=1e-3)
     assert balanced.score(weighted, plan.ids).columns == ["prediction", *plan.ids]
