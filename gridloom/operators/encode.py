@@ -19,6 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions.coerce import is_unparsable, to_number
 from gridloom.operators.ranks import row_numbers
 from gridloom.operators.typing import require_columns
 from gridloom.sources.metadata import FeaturePlan
@@ -378,3 +379,24 @@ def apply_dictionary(df: DataFrame, column: str, dictionary: DataFrame, out: str
     """Look codes up with a left join (missing is a value of its own); unseen values become NULL."""
     right = dictionary.select(F.col("value").alias("__value"), F.col("code").alias(out))
     return df.join(right, F.col(f"`{column}`").cast("string").eqNullSafe(F.col("__value")), "left").drop("__value")
+
+
+def encode_non_numeric(
+    df: DataFrame, columns: Sequence[str], order: Sequence[str], dictionaries: dict[str, DataFrame] | None = None
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Make text columns numeric: parsed if every value is a number, first-seen codes otherwise.
+
+    Stored dictionaries are reused, new ones are returned with them, so that a later
+    table is encoded alike. One aggregate decides about all columns.
+    """
+    known = dict(dictionaries or {})
+    row = df.agg(*[F.count_if(is_unparsable(F.col(f"`{c}`").cast("string"))).alias(f"bad{i}") for i, c in enumerate(columns)]).first()
+    for i, name in enumerate(columns):
+        if row[f"bad{i}"] == 0 and name not in known:
+            df = df.withColumn(name, to_number(F.col(f"`{name}`"), df.schema[name].dataType))
+            continue
+        if name not in known:
+            known[name] = first_seen_dictionary(df, name, order)
+        positions = df.columns
+        df = apply_dictionary(df, name, known[name], "__code").drop(name).withColumnRenamed("__code", name).select(*positions)
+    return df, known

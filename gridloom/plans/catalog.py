@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 
 from gridloom.config import parse_space
 from gridloom.operators import audit, explain, folds, metrics
-from gridloom.operators.encode import FeatureEncoder, FittedEncoder, apply_dictionary, first_seen_dictionary, out_of_fold
+from gridloom.operators.encode import FeatureEncoder, FittedEncoder, apply_dictionary, encode_non_numeric, first_seen_dictionary, out_of_fold
 from gridloom.operators.score import flat_output, logistic, multiclass_output
 from gridloom.operators.search import cross_validate_search, encode_folds
 from gridloom.operators.train import BoostedTrees, TrainedModel
 from gridloom.operators.typing import apply_types, bool_to_double, scoring_columns
 from gridloom.plans import frames as fr
+from gridloom.plans.run import TabularRun
 from gridloom.session import scratch_path
 from gridloom.sources.metadata import FeaturePlan, route_features, wide_to_long
 from gridloom.sources.readers import infer_types, read_table, with_inferred_types
+from gridloom.sources.writers import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -324,7 +326,8 @@ def train_score_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _line_model(spark: SparkSession, sf_dir: str) -> tuple[TrainedModel, DataFrame, int]:
     df = fr.line_flag(spark, sf_dir)
     encoder = FeatureEncoder(fr.line_flag_plan()).fit(df)
-    data = encoder.feature_frame(df, [*fr.LINE_IDS, "label"])
+    # the learner passes over its input several times; cached vectors spare it the joins
+    data = encoder.feature_frame(df, [*fr.LINE_IDS, "label"]).persist(StorageLevel.MEMORY_AND_DISK)
     trained = BoostedTrees("classification", _SMALL).fit(data, encoder.vector_slots(), encoder.max_arity())
     return trained, data, encoder.max_arity()
 
@@ -480,6 +483,75 @@ def group_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(result.fold_frame(spark).select("trial_number", "fold", "metric"))
 
 
+# --- persistence and whole runs ---------------------------------------------------------------
+
+
+def non_numeric_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fr.raw_line(spark, sf_dir).select(*fr.LINE_IDS, "qty_text", "tax_text", "cat_text")
+    encoded, _ = encode_non_numeric(raw, ["qty_text", "tax_text", "cat_text"], fr.LINE_IDS)
+    return encoded
+
+
+def encoder_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fr.line_frame(spark, sf_dir)
+    path = FeatureEncoder(fr.line_plan()).fit(df).save(spark, scratch_path(spark, "encoder"))
+    return rounded(FittedEncoder.load(spark, path).transform(df, [*fr.LINE_IDS, "label"]))
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, data, _ = _group_model(spark, sf_dir)
+    path = trained.save(spark, scratch_path(spark, "model"))
+    predictions = TrainedModel.load(spark, path).score(data, fr.LINE_IDS)
+    written = write_table(predictions, scratch_path(spark, "predictions") + ".csv")
+    return rounded(spark.read.option("header", True).schema(predictions.schema).csv(written))
+
+
+def _event_run(spark: SparkSession, sf_dir: str) -> tuple[TabularRun, dict, dict]:
+    """A whole training run on the events table, from configurations to result files."""
+    root = scratch_path(spark, "run")
+    metadata = [("event_type", "category", 1, "most_frequent", "", ""), ("user_id", "number", 0, "mean", "", "")]
+    schema = "feature_name string, type string, use int, imputation string, transformation string, super_category string"
+    spark.createDataFrame(metadata, schema).write.parquet(f"{root}/metadata.parquet")
+    model = {
+        "target_variable": "value", "id_variables": ["event_id"], "problem_type": "regression", "evaluation_metric": "rmse",
+        "better_performance": "lt", "models": ["lgbm"], "k_folds": 3, "retrain_with_whole_dataset": True,
+        "importance_extraction_method": "shap", "num_hp_searches": 1, "parallelism": 3,
+        "hyperparameter_space": {"lgbm": {n: f"trial.suggest_categorical('{n}', [{v}])" for n, v in _SATURATED.items()}},
+    }
+    data = {
+        "training": True, "input_data_source": "PARQUET", "file_path": f"{sf_dir}/events.parquet", "metadata_file_path": f"{root}/metadata.parquet",
+        "data_processor_file_path": f"{root}/value_regression_lgbm_data_processor", "model_file_path": f"{root}/value_regression_lgbm",
+        "predictions_output_path": f"{root}/predictions.csv",
+    }
+    run = TabularRun(model, data, spark, output_dir=root)
+    run.run()
+    return run, model, {**data, "training": False}
+
+
+def run_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, model, scoring = _event_run(spark, sf_dir)
+    scorer = TabularRun(model, scoring, spark, output_dir=run.output_dir)
+    scorer.run()
+    return rounded(spark.read.option("header", True).schema("prediction double, event_id bigint").csv(scorer.paths["predictions"]))
+
+
+def run_study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, _, _ = _event_run(spark, sf_dir)
+    study = spark.read.option("header", True).option("escape", '"').csv(run.paths["study"])
+    return rounded(study.select(F.col("trial_number").cast("int").alias("trial_number"), F.col("value").cast("double").alias("value"), "state"))
+
+
+def run_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, _, _ = _event_run(spark, sf_dir)
+    return rounded(spark.read.option("header", True).schema("feature string, importance double").csv(run.paths["importance"]))
+
+
+def run_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, _, _ = _event_run(spark, sf_dir)
+    values = spark.read.parquet(run.paths["importance_values"])
+    return rounded(values.select("event_id", "bias", "margin", F.col("contributions")[0].alias("contribution")))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -494,5 +566,6 @@ QUERIES: dict[str, Query] = {
         path_contributions, shap_contributions, shap_importance, surrogate_scores, split_importance,
         group_binary, group_regression, group_contributions_path, group_contributions_shap, group_importance, group_split_count,
         group_train_metric, group_surrogate, group_search,
+        non_numeric_codes, encoder_roundtrip, model_roundtrip, run_predictions, run_study, run_importance, run_contributions,
     )
 }

@@ -191,6 +191,20 @@ m AS (SELECT k, line_no, avg(2.0::DOUBLE * label - 1) AS score FROM ks JOIN fold
 v AS (SELECT fold, label, score FROM folded JOIN m ON m.k = fold AND m.line_no = folded.line_no)
 SELECT 0 AS trial_number, fold, round(auc, 6) AS metric FROM ({_auc('v', ['fold'])})"""
 
+_EVENT_MEANS = "m AS (SELECT event_type, avg(value) AS m, (SELECT avg(value) FROM events) AS b FROM events GROUP BY event_type)"
+_EVENT_STUDY = f"""WITH {_fold_ctes('events', _EVENT_KEY, None, 3)},
+ks AS (SELECT CAST(f AS INT) AS k FROM range(3) AS t(f)),
+m AS (SELECT k, event_type, avg(value) AS m FROM ks JOIN folded ON fold <> k GROUP BY k, event_type),
+e AS (SELECT fold, sqrt(avg((value - m) * (value - m))) AS rmse FROM folded JOIN m ON m.k = fold AND m.event_type = folded.event_type GROUP BY fold)
+SELECT 0 AS trial_number, round(avg(rmse), 6) AS value, 'COMPLETE' AS state FROM e"""
+
+
+def _first_seen_code(column: str) -> str:
+    """Codes in the order of the first row; missing is a value of its own."""
+    return f"""SELECT value, row_number() OVER (ORDER BY first, value NULLS FIRST) - 1 AS code FROM (
+  SELECT {column} AS value, min(ROW({_IDS})) AS first FROM raw GROUP BY {column})"""
+
+
 ORACLES: dict[str, str] = {
     "typed_cast": f"WITH {_RAW} {_TYPED}",
     "bool_parity": f"WITH {_RAW} SELECT {_IDS}, {_FLAG} AS as_null, coalesce({_FLAG}, TRUE) AS as_true FROM raw",
@@ -281,4 +295,14 @@ FROM grouped JOIN margins USING (line_no) CROSS JOIN bias""",
 d AS (SELECT line_no, avg(CASE WHEN up THEN 1.0::DOUBLE ELSE -1.0 END) AS m FROM f GROUP BY line_no)
 SELECT round(1 / (1 + exp(-2 * m)), 6) AS prediction, {_IDS} FROM grouped JOIN d USING (line_no)""",
     "group_search": _GROUP_SEARCH,
+    "non_numeric_codes": f"""WITH {_RAW}, q AS ({_first_seen_code('qty_text')}), c AS ({_first_seen_code('cat_text')})
+SELECT {_IDS}, q.code AS qty_text, CAST(tax_text AS DOUBLE) AS tax_text, c.code AS cat_text
+FROM raw JOIN q ON q.value IS NOT DISTINCT FROM qty_text JOIN c ON c.value IS NOT DISTINCT FROM cat_text""",
+    "run_predictions": f"WITH {_EVENT_MEANS} SELECT round(m, 6) AS prediction, event_id FROM events JOIN m USING (event_type)",
+    "run_study": _EVENT_STUDY,
+    "run_importance": f"WITH {_EVENT_MEANS} SELECT 'cat__event_type' AS feature, round(avg(abs(m - b)), 6) AS importance FROM events JOIN m USING (event_type)",
+    "run_contributions": f"""WITH {_EVENT_MEANS} SELECT event_id, round(b, 6) AS bias, round(m, 6) AS margin, round(m - b, 6) AS contribution
+FROM events JOIN m USING (event_type)""",
 }
+ORACLES["encoder_roundtrip"] = ORACLES["encoded_table"]
+ORACLES["model_roundtrip"] = ORACLES["group_binary"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.operators.explain import Explanation, explain
@@ -20,7 +21,9 @@ class TabularRun:
 
     A training run searches parameters over the folds, saves the history, refits on
     the whole table, saves preprocessor and model, and explains the model. A scoring
-    run loads both and writes the predictions with their ids.
+    run loads both and writes the predictions with their ids. ``cache`` keeps encoded
+    rows on the executors while they are passed over repeatedly; switch it off when
+    folds times the table exceed the cluster's storage.
     """
 
     def __init__(
@@ -29,11 +32,11 @@ class TabularRun:
         data_config: str | dict[str, Any],
         spark: SparkSession | None = None,
         output_dir: str = "trained_model_outputs_path",
-        cache_folds: bool = True,
+        cache: bool = True,
     ):
         self.spark = spark or SparkSession.getActiveSession() or build_session()
         self.output_dir = output_dir.rstrip("/")
-        self.cache_folds = cache_folds
+        self.cache = cache
         self.loader = TableLoader(self.spark, data_config, modeling_config)
         self.config = self.loader.model_config
         self.processor = DataProcessor(self.spark, self.loader.plan(), self.config, self.output_dir)
@@ -61,7 +64,7 @@ class TabularRun:
         processed = self.processor.process_data(data, is_training=True, create_folds=True)
         self.search = cross_validate_search(
             processed.folds, config.space, config.num_hp_searches, config.problem_type, config.evaluation_metric,
-            config.better_performance, LABEL, config.seed, config.parallelism, cache=self.cache_folds,
+            config.better_performance, LABEL, config.seed, config.parallelism, cache=self.cache,
         )
         self.save_hyperparameter_study()
         best = self.search.best
@@ -73,18 +76,20 @@ class TabularRun:
         config = self.config
         params = best_params if config.refit_params == "best" else None
         processed = self.processor.process_data(data, is_training=True, create_folds=False)
+        frame = processed.frame.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else processed.frame
         self.paths["preprocessor"] = self._path(config.problem_type, config.model_type, "data_processor")
         trees = BoostedTrees(config.problem_type, params, LABEL, config.seed)
         encoder = processed.encoder
-        self.model = trees.fit_and_measure(processed.frame, config.evaluation_metric, encoder.vector_slots(), encoder.max_arity())
+        self.model = trees.fit_and_measure(frame, config.evaluation_metric, encoder.vector_slots(), encoder.max_arity())
         self.performance_metrics["train"] = self.model.train_metric
         self.save_model()
         method = config.importance_extraction_method
-        self.explanation = explain(self.model, processed.frame, processed.ids, method, config.sample_for_contribution, config.seed)
+        self.explanation = explain(self.model, frame, processed.ids, method, config.sample_for_contribution, config.seed)
         self.save_importance_values()
         # the written values replace their computation for everything downstream
         self.explanation.values = self.spark.read.parquet(self.paths["importance_values"])
         self.save_importance_results()
+        frame.unpersist()
 
     def save_hyperparameter_study(self, path: str | None = None) -> str:
         if self.search is None:
