@@ -13,6 +13,7 @@ many tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -24,9 +25,9 @@ from pyspark.sql.window import Window
 from gridloom.functions.keys import row_key
 from gridloom.session import checkpoint_root
 
-FIRST_WIDTH = 3  # prefix characters counted in the first pass: at most 4,096 hex prefixes per group
-NEXT_WIDTH = 4  # characters added by each later pass
-MAX_GROUPS = 256  # groups whose prefix counts the driver may hold
+MAX_WIDTH = 4  # prefix characters added by one pass
+MAX_COUNTS = 200_000  # prefix counts one pass may bring to the driver
+MAX_GROUPS = 1_000  # groups whose totals the driver may hold
 SETTLE_ROWS = 20_000  # border rows few enough to list by full key
 COPY_CHUNK = 50_000  # copies written back by one output row of the chunk table
 
@@ -47,6 +48,12 @@ def even_sizes(total: int, k: int, start: int = 0) -> list[int]:
     return [total // k + (1 if (part - start) % k < total % k else 0) for part in range(k)]
 
 
+def _width(n_open: int, n_rows: int) -> int:
+    """Hex characters to add: as many as the count table allows, no more than the rows need."""
+    allowed = min(MAX_COUNTS, max(16 * n_open, n_rows // 16)) / n_open
+    return max(1, min(MAX_WIDTH, int(math.log(max(allowed, 16), 16))))
+
+
 def _in_prefixes(wanted: dict[Any, set[str]], width: int) -> Column:
     condition = F.lit(False)
     for group, prefixes in wanted.items():
@@ -68,37 +75,38 @@ def _count(narrow: DataFrame, prefix: Column) -> dict[Any, list[tuple[str, int,
     return counts
 
 
-def _locate(narrow: DataFrame, first: dict[Any, list[tuple[str, int, int]]], ranks: dict[Any, set[int]], width: int) -> dict[Any, dict[int, _Border]]:
+def _locate(narrow: DataFrame, totals: dict[Any, int], ranks: dict[Any, set[int]], skip: int) -> dict[Any, dict[int, _Border]]:
     """The border key at every wanted 1-based rank of every group."""
     found: dict[Any, dict[int, _Border]] = {group: {} for group in ranks}
     # open ranks: group -> prefix -> [(rank, rank inside the prefix)]
-    opened: dict[Any, dict[str, list[tuple[int, int]]]] = {group: {"": [(r, r) for r in wanted]} for group, wanted in ranks.items() if wanted}
-    counts, exhaustive = first, False
+    opened: dict[Any, dict[str, list[tuple[int, int]]]] = {g: {"": [(r, r) for r in wanted]} for g, wanted in ranks.items() if wanted}
+    open_rows = sum(totals[g] for g in opened)
+    depth, text_depth = 0, skip
     while opened:
+        rows = narrow if depth == 0 else narrow.where(_in_prefixes({g: set(p) for g, p in opened.items()}, text_depth))
+        exhaustive = open_rows <= SETTLE_ROWS
+        text_depth += _width(sum(len(p) for p in opened.values()), open_rows)
+        counts = _count(rows, F.col("k") if exhaustive else F.substring("k", 1, text_depth))
         deeper: dict[Any, dict[str, list[tuple[int, int]]]] = {}
-        open_rows = 0
+        open_rows, depth = 0, depth + 1
         for group, prefixes in opened.items():
             for prefix, wanted in prefixes.items():
                 entries = [e for e in counts[group] if e[0].startswith(prefix)]
                 for rank, inside in wanted:
                     before = 0
                     for text, n, length in entries:
-                        if before + n >= inside:
-                            if exhaustive or length <= len(text):
-                                found[group][rank] = _Border(text, inside - before, n)
-                            else:
-                                slot = deeper.setdefault(group, {})
-                                if text not in slot:
-                                    open_rows += n
-                                slot.setdefault(text, []).append((rank, inside - before))
-                            break
-                        before += n
+                        if before + n < inside:
+                            before += n
+                            continue
+                        if exhaustive or length <= len(text):
+                            found[group][rank] = _Border(text, inside - before, n)
+                        else:
+                            slot = deeper.setdefault(group, {})
+                            if text not in slot:
+                                open_rows += n
+                            slot.setdefault(text, []).append((rank, inside - before))
+                        break
         opened = deeper
-        if opened:
-            inside = narrow.where(_in_prefixes({g: set(p) for g, p in opened.items()}, width))
-            exhaustive = open_rows <= SETTLE_ROWS
-            width += NEXT_WIDTH
-            counts = _count(inside, F.col("k") if exhaustive else F.substring("k", 1, width))
     return found
 
 
@@ -113,19 +121,19 @@ def _case(group: Column, values: dict[Any, Column]) -> Column:
 def _split(df: DataFrame, key: Column, group: Column, sizes: Sizes, out: str, level: int, skip: int = 0) -> DataFrame:
     columns = df.columns
     narrow = df.select(group.alias("g"), key.alias("k"))
-    width = skip + FIRST_WIDTH
-    first = _count(narrow, F.substring("k", 1, width))
-    if None in first:
+    # reads the group column only, or just the row counts of the files when there is none
+    rows = narrow.groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
+    totals = {row["g"]: row["n"] for row in rows}
+    if None in totals:
         raise ValueError("the column that groups the rows contains missing values")
-    if len(first) > MAX_GROUPS:
-        raise ValueError(f"{len(first)} groups of rows, at most {MAX_GROUPS} are supported")
-    if not first:
+    if len(totals) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups of rows")
+    if not totals:
         return df.withColumn(out, F.lit(0))
-    totals = {g: sum(n for _, n, _ in entries) for g, entries in first.items()}
     parts = sizes(totals)
     borders = {g: [sum(parts[g][: i + 1]) for i in range(len(parts[g]) - 1)] for g in totals}
     inner = {g: {r for r in borders[g] if 0 < r < totals[g]} for g in totals}
-    found = _locate(narrow, first, inner, width)
+    found = _locate(narrow, totals, inner, skip)
 
     plain: dict[Any, Column] = {}
     ties: list[tuple[Any, str, int, list[int]]] = []  # group, key, parts before, sizes inside

@@ -35,8 +35,7 @@ def test_folds_do_not_depend_on_partitioning_or_pass_width(spark, sf_dir, monkey
     df = lineitem(spark, sf_dir)
     base = {tuple(r) for r in assign_folds(df, 5, IDS, target="l_returnflag").select(*IDS, "fold").collect()}
     monkeypatch.setattr(ranks, "SETTLE_ROWS", 0)
-    monkeypatch.setattr(ranks, "FIRST_WIDTH", 1)
-    monkeypatch.setattr(ranks, "NEXT_WIDTH", 1)
+    monkeypatch.setattr(ranks, "MAX_WIDTH", 1)
     again = {tuple(r) for r in assign_folds(df.repartition(7), 5, IDS, target="l_returnflag").select(*IDS, "fold").collect()}
     assert base == again
 
@@ -73,6 +72,14 @@ def test_copies_are_written_in_chunks(spark, monkeypatch):
     assert sorted(counts.values()) == [33, 33, 34]
 
 
+def test_many_classes_and_no_ids(spark):
+    df = spark.range(3000).select((F.col("id") % 600).alias("y"), F.col("id").alias("x"))
+    folds = assign_folds(df, 5, [], target="y")
+    assert folds.count() == 3000
+    assert {r["count"] for r in folds.groupBy("y", "fold").count().collect()} == {1}
+    assert {r["count"] for r in folds.groupBy("fold").count().collect()} == {600}
+
+
 def test_fold_contract(spark):
     few = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "id int, y int")
     with pytest.raises(ValueError):
