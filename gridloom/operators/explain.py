@@ -22,6 +22,10 @@ from gridloom.session import scratch_path
 # Method names a configuration may use.
 METHODS = {"shap": "shap", "treeinterpreter": "path", "path": "path"}
 
+SHAP_TABLE_CELLS = 8_000_000  # solved patterns a task keeps between batches: at most 64 MB
+
+_Batch = Callable[[np.ndarray], tuple[float, np.ndarray]]  # rows × slots → bias, contributions
+
 # --- the ensemble as tables and arrays ---------------------------------------
 
 
@@ -105,44 +109,61 @@ def _trees(nodes: DataFrame) -> list[_Tree]:
 # --- contributions of one batch of rows --------------------------------------
 
 
-def _path_batch(trees: Sequence[_Tree], x: np.ndarray) -> tuple[float, np.ndarray]:
+def _path_batches(trees: Sequence[_Tree]) -> _Batch:
     """Bias and contributions: each split credits the change of the node value to its feature."""
-    rows, out, bias = np.arange(len(x)), np.zeros_like(x), 0.0
-    for tree in trees:
-        bias += tree.weight * tree.value[0]
-        at = np.zeros(len(x), dtype=np.int64)
-        active = rows[tree.left[at] >= 0]
-        while len(active):
-            node = at[active]
-            slot = tree.slot[node]
-            child = np.where(tree.goes_left(node, x[active, slot]), tree.left[node], tree.right[node])
-            out[active, slot] += tree.weight * (tree.value[child] - tree.value[node])
-            at[active] = child
-            active = active[tree.left[child] >= 0]
-    return bias, out
-
-
-def _leaf_paths(tree: _Tree) -> Iterator[tuple[int, list[tuple[int, bool]]]]:
-    """Every leaf with the (node, went left) steps that lead to it."""
-    stack: list[tuple[int, list[tuple[int, bool]]]] = [(0, [])]
+    bias = float(sum(tree.weight * tree.value[0] for tree in trees))
+
+    def run(x: np.ndarray) -> tuple[float, np.ndarray]:
+        rows, out = np.arange(len(x)), np.zeros_like(x)
+        for tree in trees:
+            at = np.zeros(len(x), dtype=np.int64)
+            active = rows[tree.left[at] >= 0]
+            while len(active):
+                node = at[active]
+                slot = tree.slot[node]
+                child = np.where(tree.goes_left(node, x[active, slot]), tree.left[node], tree.right[node])
+                out[active, slot] += tree.weight * (tree.value[child] - tree.value[node])
+                at[active] = child
+                active = active[tree.left[child] >= 0]
+        return bias, out
+
+    return run
+
+
+@dataclass
+class _Leaf:
+    """A leaf with the steps to it, grouped by the feature they test."""
+
+    scale: float  # tree weight times leaf value
+    slots: list[int]
+    steps: list[list[tuple[int, bool]]]  # per slot: (node, leaf is on the left)
+    absent: np.ndarray  # per slot: share of training rows that follow the leaf's branches
+
+
+def _leaves(tree: _Tree) -> list[_Leaf]:
+    leaves, stack = [], [(0, {}, {})]
     while stack:
-        node, steps = stack.pop()
+        node, steps, absent = stack.pop()
         if tree.left[node] < 0:
-            yield node, steps
-        else:
-            stack.append((tree.left[node], [*steps, (node, True)]))
-            stack.append((tree.right[node], [*steps, (node, False)]))
+            slots = list(steps)
+            leaves.append(_Leaf(tree.weight * tree.value[node], slots, [steps[s] for s in slots], np.array([absent[s] for s in slots])))
+            continue
+        slot = int(tree.slot[node])
+        for child, left in ((tree.left[node], True), (tree.right[node], False)):
+            share = absent.get(slot, 1.0) * tree.cover[child] / tree.cover[node]
+            stack.append((child, {**steps, slot: [*steps.get(slot, []), (node, left)]}, {**absent, slot: share}))
+    return leaves
 
 
 def _shapley(hits: np.ndarray, absent: np.ndarray) -> np.ndarray:
     """Shapley values of a unit leaf for each pattern of fulfilled features.
 
-    ``hits`` is patterns × features (0/1), ``absent`` the share of training rows that
-    follow the leaf's branches of a feature. A coalition's value is the product of the
-    hits of its members and the shares of the others.
+    ``hits`` is patterns × features (0/1). A coalition's value is the product of the
+    hits of its members and the absent shares of the others.
     """
     n = hits.shape[1]
     values = np.zeros(hits.shape)
+    order = np.array([math.factorial(s) * math.factorial(n - 1 - s) / math.factorial(n) for s in range(n)])
     for i in range(n):
         by_size = np.zeros((len(hits), n))
         by_size[:, 0] = 1.0
@@ -151,44 +172,55 @@ def _shapley(hits: np.ndarray, absent: np.ndarray) -> np.ndarray:
                 shifted = by_size[:, :-1] * hits[:, j : j + 1]
                 by_size *= absent[j]
                 by_size[:, 1:] += shifted
-        order = [math.factorial(s) * math.factorial(n - 1 - s) / math.factorial(n) for s in range(n)]
-        values[:, i] = (hits[:, i] - absent[i]) * (by_size @ np.array(order))
+        values[:, i] = (hits[:, i] - absent[i]) * (by_size @ order)
     return values
 
 
-def _shap_batch(trees: Sequence[_Tree], x: np.ndarray) -> tuple[float, np.ndarray]:
+def _bits(patterns: np.ndarray, n: int) -> np.ndarray:
+    return ((patterns[:, None] >> np.arange(n)) & 1).astype(float)
+
+
+def _shap_batches(trees: Sequence[_Tree]) -> _Batch:
     """Bias and path-dependent SHAP values in margin space."""
-    out, bias = np.zeros_like(x), 0.0
-    for tree in trees:
-        went = {
-            int(node): tree.goes_left(np.full(len(x), node), x[:, tree.slot[node]]) for node in np.flatnonzero(tree.left >= 0)
-        }
-        for leaf, steps in _leaf_paths(tree):
-            scale, share = tree.weight * tree.value[leaf], {}
-            fulfilled: dict[int, np.ndarray] = {}
-            for node, left in steps:
-                child = tree.left[node] if left else tree.right[node]
-                slot = int(tree.slot[node])
-                share[slot] = share.get(slot, 1.0) * tree.cover[child] / tree.cover[node]
-                hit = went[node] if left else ~went[node]
-                fulfilled[slot] = fulfilled[slot] & hit if slot in fulfilled else hit
-            bias += scale * math.prod(share.values())
-            if not steps:
-                continue
-            slots = list(fulfilled)
-            pattern = np.zeros(len(x), dtype=np.int64)
-            for bit, slot in enumerate(slots):
-                pattern |= fulfilled[slot].astype(np.int64) << bit
-            # rows share few patterns: solve each once
-            patterns, inverse = np.unique(pattern, return_inverse=True)
-            hits = ((patterns[:, None] >> np.arange(len(slots))) & 1).astype(float)
-            out[:, slots] += scale * _shapley(hits, np.array([share[s] for s in slots]))[inverse]
-    return bias, out
+    leaves = [_leaves(tree) for tree in trees]
+    bias = sum(leaf.scale * float(np.prod(leaf.absent)) for group in leaves for leaf in group)
+    tables: dict[tuple[int, int], np.ndarray] = {}
+    room = SHAP_TABLE_CELLS
+
+    def run(x: np.ndarray) -> tuple[float, np.ndarray]:
+        nonlocal room
+        out = np.zeros_like(x)
+        for t, tree in enumerate(trees):
+            went = {int(n): tree.goes_left(np.full(len(x), n), x[:, tree.slot[n]]) for n in np.flatnonzero(tree.left >= 0)}
+            for k, leaf in enumerate(leaves[t]):
+                n = len(leaf.slots)
+                if n == 0:
+                    continue
+                pattern = np.zeros(len(x), dtype=np.int64)
+                for bit, steps in enumerate(leaf.steps):
+                    hit = went[steps[0][0]] == steps[0][1]
+                    for node, left in steps[1:]:
+                        hit = hit & (went[node] == left)
+                    pattern |= hit.astype(np.int64) << bit
+                # rows share few patterns, so each pattern is solved once
+                table = tables.get((t, k))
+                if table is None and 2**n <= max(len(x), 64):
+                    table = leaf.scale * _shapley(_bits(np.arange(2**n), n), leaf.absent)
+                    if table.size <= room:
+                        tables[(t, k)] = table
+                        room -= table.size
+                if table is None:
+                    patterns, pattern = np.unique(pattern, return_inverse=True)
+                    table = leaf.scale * _shapley(_bits(patterns, n), leaf.absent)
+                out[:, leaf.slots] += table[pattern]
+        return bias, out
+
+    return run
 
 
 # --- operators ---------------------------------------------------------------
 
-_BATCH: dict[str, Callable] = {"shap": _shap_batch, "path": _path_batch}
+_PREPARE: dict[str, Callable[[Sequence[_Tree]], _Batch]] = {"shap": _shap_batches, "path": _path_batches}
 
 
 def contributions(trained: TrainedModel, df: DataFrame, keep: Sequence[str], method: str = "shap") -> DataFrame:
@@ -202,21 +234,21 @@ def contributions(trained: TrainedModel, df: DataFrame, keep: Sequence[str], met
         raise ValueError(f"unsupported importance method: {method}")
     spark = df.sparkSession
     ensemble = spark.sparkContext.broadcast(_trees(node_table(spark, trained)))
-    batch_function = _BATCH[kind]
+    prepare = _PREPARE[kind]
     fields = [df.schema[name] for name in keep]
     schema = T.StructType(
         [*fields, T.StructField("bias", T.DoubleType()), T.StructField("margin", T.DoubleType()), T.StructField("contributions", T.ArrayType(T.DoubleType()))]
     )
 
     def explain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = ensemble.value
+        batch_values = prepare(ensemble.value)
         for batch in batches:
             n = batch.num_rows
             if n == 0:
                 continue
             column = batch.column(batch.num_columns - 1)
             x = column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(float)
-            bias, values = batch_function(trees, x)
+            bias, values = batch_values(x)
             offsets = pa.array(np.arange(n + 1) * x.shape[1], type=pa.int32())
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
             arrays += [

@@ -12,7 +12,7 @@ from gridloom.operators.search import SearchResult, cross_validate_search
 from gridloom.operators.train import BoostedTrees, TrainedModel
 from gridloom.plans.loading import TableLoader
 from gridloom.plans.processing import LABEL, DataProcessor
-from gridloom.session import build_session
+from gridloom.session import build_session, scratch_path
 from gridloom.sources.writers import default_name, write_study, write_table
 
 
@@ -59,8 +59,22 @@ class TabularRun:
     def _path(self, *words: str) -> str:
         return f"{self.output_dir}/{default_name(self.config.target_variable, *words)}"
 
+    def _materialised(self, data: DataFrame) -> DataFrame:
+        """Training passes over its input many times: parse text once and keep the typed columns as Parquet.
+
+        The table lies in the shared scratch folder, so it also survives lost executors.
+        """
+        if self.loader.data_config.input_data_source.upper() not in ("CSV", "JSON"):
+            return data
+        plan = self.processor.plan
+        used = {*plan.ids, *plan.features, plan.target}
+        if not self.config.keep_unused:
+            data = data.select(*[f"`{name}`" for name in data.columns if name in used])
+        return self.spark.read.parquet(write_table(data, scratch_path(self.spark, "typed"), "parquet"))
+
     def _train(self, data: DataFrame) -> None:
         config = self.config
+        data = self._materialised(data)
         processed = self.processor.process_data(data, is_training=True, create_folds=True)
         self.search = cross_validate_search(
             processed.folds, config.space, config.num_hp_searches, config.problem_type, config.evaluation_metric,

@@ -140,14 +140,17 @@ def _brute_force(tree, x):
     return tree.weight * phi
 
 
-def test_shap_equals_coalition_enumeration(spark, trained):
+def test_shap_equals_coalition_enumeration(spark, trained, monkeypatch):
     model, data, ids = trained
     trees = ex._trees(ex.node_table(spark, model))
     assert any(t.nominal.any() for t in trees)
     x = np.array([r["features"].toArray() for r in data.orderBy(*ids).limit(25).collect()])
-    _, got = ex._shap_batch(trees, x)
     want = np.array([sum(_brute_force(t, row) for t in trees) for row in x])
-    assert np.allclose(got, want, atol=1e-10)
+    run = ex._shap_batches(trees)
+    assert np.allclose(run(x)[1], want, atol=1e-10)
+    assert np.allclose(run(x[:3])[1], want[:3], atol=1e-10)  # stored tables
+    monkeypatch.setattr(ex, "SHAP_TABLE_CELLS", 0)
+    assert np.allclose(ex._shap_batches(trees)(x[:2])[1], want[:2], atol=1e-10)
 
 
 def test_explain_ranks_and_rolls_up(trained):
