@@ -59,40 +59,58 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _key_limit(n_bad: int, wanted: int) -> str:
+    """A hash-key bound that about sixteen times the wanted cells fall below."""
+    share = min(1.0, 16 * wanted / max(n_bad, 1))
+    return "g" if share >= 1.0 else f"{int(share * 16**12):012x}"  # 'g' is above every hex key
+
+
+def _sample_cells(keyed: DataFrame, limits: dict[str, str], n_samples: int) -> DataFrame:
+    """The first unparsable cells per column in key order, among the keys below each column's bound."""
+    order = Window.partitionBy("column_name").orderBy("sample_key", "value")
+    bound = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("column_name")]
+    return (
+        _long(keyed.where(F.col("sample_key") < max(limits.values())), ["sample_key"], list(limits))
+        .where((F.col("sample_key") < bound) & is_unparsable(F.col("value")))
+        .withColumn("position", F.row_number().over(order))
+        .where(F.col("position") <= n_samples)
+    )
+
+
 def problem_strings(df: DataFrame, columns: Sequence[str], ids: Sequence[str], n_samples: int = 5, seed: int = 42) -> DataFrame:
     """For every text column: is it numeric, does an unparsable text contain ``e``, and some such texts.
 
-    The sample is the ``n_samples`` rows with the smallest key hash; Spark limits
-    each group before the shuffle, so a column full of bad values stays cheap.
+    The sample holds the ``n_samples`` unparsable cells with the smallest key hash. The
+    counts tell how small a hash bound leaves just enough cells, so the second pass
+    drops nearly all rows before anything is sorted; columns that came out short
+    because keys repeat are sampled again without a bound. The report has one row
+    per column.
     """
-    counts = [F.count(F.lit(1)).alias("n")]
+    counts = []
     for i, name in enumerate(columns):
         column = F.col(f"`{name}`")
         counts += [
             F.count_if(is_unparsable(column)).alias(f"bad{i}"),
             F.coalesce(F.bool_or(is_unparsable(column) & F.contains(column, F.lit("e"))), F.lit(False)).alias(f"e{i}"),
         ]
-    entries = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.col(f"bad{i}").alias("n_not_numeric"),
-            (F.col(f"bad{i}") == 0).alias("is_numeric"),
-            F.col(f"e{i}").alias("contains_e"),
-        )
+    summary = df.agg(*counts).first()
+    n_bad = {name: summary[f"bad{i}"] for i, name in enumerate(columns)}
+    keyed = df.select(hash_key(ids, seed).alias("sample_key"), *columns)
+    samples: dict[str, list[str]] = {}
+    limits = {name: _key_limit(n, n_samples) for name, n in n_bad.items() if n}
+    while limits:
+        found: dict[str, list[tuple[int, str]]] = {}
+        for row in _sample_cells(keyed, limits, n_samples).collect():
+            found.setdefault(row["column_name"], []).append((row["position"], row["value"]))
+        short = [name for name in limits if len(found.get(name, [])) < min(n_samples, n_bad[name])]
+        samples.update({name: [text for _, text in sorted(cells)] for name, cells in found.items()})
+        limits = dict.fromkeys(short, "g")
+    rows = [
+        (name, n_bad[name], n_bad[name] == 0, summary[f"e{i}"], " | ".join(samples[name]) if name in samples else None)
         for i, name in enumerate(columns)
     ]
-    summary = df.agg(*counts).select(F.inline(F.array(*entries)))
-    order = Window.partitionBy("column_name").orderBy("sample_key", "value")
-    keyed = df.select(hash_key(ids, seed).alias("sample_key"), *columns)
-    samples = (
-        _long(keyed, ["sample_key"], columns)
-        .where(is_unparsable(F.col("value")))
-        .withColumn("position", F.row_number().over(order))
-        .where(F.col("position") <= n_samples)
-        .groupBy("column_name")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "value"))), lambda s: s["value"]), " | ").alias("samples"))
-    )
-    return summary.join(samples, "column_name", "left")
+    schema = "column_name string, n_not_numeric long, is_numeric boolean, contains_e boolean, samples string"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def bad_cells(df: DataFrame, ids: Sequence[str], columns: Sequence[str], limit: int | None = 10) -> DataFrame:

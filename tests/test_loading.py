@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gridloom.config import DataConfig, Dimension, ModelConfig, load_json, parse_space, sample_trials
 from gridloom.functions.coerce import to_boolean, to_category, to_number
+from gridloom.functions.keys import hash_key
 from gridloom.operators import audit
 from gridloom.operators.typing import apply_types, bool_to_double, scoring_columns, training_columns, validate_columns
 from gridloom.sources.metadata import FeaturePlan, read_metadata, route_features
@@ -215,3 +216,12 @@ def test_audit_edges(spark):
     assert sum(r["n_rows"] for r in audit.histogram(df.where("id > 5"), "p", 4).collect()) == 0
     strings = {r["column_name"]: r for r in audit.problem_strings(df, ["t"], ["id"]).collect()}
     assert strings["t"]["is_numeric"] and not strings["t"]["contains_e"] and strings["t"]["samples"] is None
+
+
+def test_problem_samples_with_one_hot_key(spark):
+    # almost all bad cells share one id, whose key may lie above the bound
+    df = spark.range(2000).select(F.when(F.col("id") < 1995, 7).otherwise(F.col("id")).alias("id"), F.concat(F.lit("t"), F.col("id")).alias("t"))
+    row = audit.problem_strings(df, ["t"], ["id"]).first()
+    keys = df.select("t", hash_key(["id"], 42).alias("k")).orderBy("k", "t").limit(5)
+    assert row["samples"].split(" | ") == [r["t"] for r in keys.collect()]
+    assert row["n_not_numeric"] == 2000

@@ -1,5 +1,9 @@
 import itertools
 import math
+import os
+import pathlib
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -8,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gridloom.config import parse_space
+from gridloom.functions import trees as tree_code
 from gridloom.operators import explain as ex
 from gridloom.operators import metrics as m
 from gridloom.operators.encode import FeatureEncoder
@@ -142,15 +147,16 @@ def _brute_force(tree, x):
 
 def test_shap_equals_coalition_enumeration(spark, trained, monkeypatch):
     model, data, ids = trained
-    trees = ex._trees(ex.node_table(spark, model))
+    trees = ex.collect_trees(ex.node_table(spark, model))
+    arrays = [vars(t) for t in trees]
     assert any(t.nominal.any() for t in trees)
     x = np.array([r["features"].toArray() for r in data.orderBy(*ids).limit(25).collect()])
     want = np.array([sum(_brute_force(t, row) for t in trees) for row in x])
-    run = ex._shap_batches(trees)
+    run = tree_code.shap_batches(arrays)
     assert np.allclose(run(x)[1], want, atol=1e-10)
     assert np.allclose(run(x[:3])[1], want[:3], atol=1e-10)  # stored tables
-    monkeypatch.setattr(ex, "SHAP_TABLE_CELLS", 0)
-    assert np.allclose(ex._shap_batches(trees)(x[:2])[1], want[:2], atol=1e-10)
+    monkeypatch.setattr(tree_code, "SHAP_TABLE_CELLS", 0)
+    assert np.allclose(tree_code.shap_batches(arrays)(x[:2])[1], want[:2], atol=1e-10)
 
 
 def test_explain_ranks_and_rolls_up(trained):
@@ -221,3 +227,19 @@ def test_regression_and_balanced_weights(frame):
     mean = [t.score(weighted, plan.ids).agg(F.avg("prediction")).first()[0] for t in (balanced, plain)]
     assert mean[0] > mean[1] + 0.01
     assert balanced.score(weighted, plan.ids).columns == ["prediction", *plan.ids]
+
+
+def test_tasks_do_not_need_the_package(tmp_path, sf_dir):
+    """Workers started outside the repository, as on a cluster, cannot import the package."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {str(pathlib.Path(__file__).resolve().parent.parent)!r})\n"
+        "from gridloom.plans.catalog import QUERIES\n"
+        "from gridloom.session import build_session\n"
+        "spark = build_session('job', 'local[2]', spark__sql__shuffle__partitions='2')\n"
+        f"print('rows', QUERIES['group_contributions_shap'](spark, {sf_dir!r}).count(), QUERIES['group_contributions_path'](spark, {sf_dir!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 6000 6000" in done.stdout, done.stderr[-2000:]
