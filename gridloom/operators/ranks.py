@@ -48,26 +48,26 @@ def even_sizes(total: int, k: int, start: int = 0) -> list[int]:
     return [total // k + (1 if (part - start) % k < total % k else 0) for part in range(k)]
 
 
-def _width(n_open: int, n_rows: int) -> int:
-    """Hex characters to add: as many as the count table allows, no more than the rows need."""
-    allowed = min(MAX_COUNTS, max(16 * n_open, n_rows // 16)) / n_open
-    return max(1, min(MAX_WIDTH, int(math.log(max(allowed, 16), 16))))
+def _width(n_open: int, n_borders: int, n_rows: int) -> int:
+    """Hex characters to add: enough to settle the borders after this pass, no more than the driver may hold."""
+    wanted = math.ceil(math.log(max(16.0, n_rows / n_open * n_borders / max(1, SETTLE_ROWS)), 16))
+    allowed = int(math.log(max(16.0, MAX_COUNTS / n_open), 16))
+    return max(1, min(wanted, allowed, MAX_WIDTH))
 
 
-def _in_prefixes(wanted: dict[Any, set[str]], width: int) -> Column:
-    condition = F.lit(False)
-    for group, prefixes in wanted.items():
-        condition = condition | ((F.col("g") == F.lit(group)) & F.substring("k", 1, width).isin(*sorted(prefixes)))
-    return condition
+def _in_prefixes(opened: dict[int, dict[str, Any]], width: int) -> Column:
+    """Rows under an open prefix; the key appears once, so it is hashed once per row."""
+    texts = [f"{group}:{prefix}" for group, prefixes in opened.items() for prefix in prefixes]
+    return F.concat(F.col("g").cast("string"), F.lit(":"), F.substring("k", 1, width)).isin(*texts)
 
 
-def _count(narrow: DataFrame, prefix: Column) -> dict[Any, list[tuple[str, int, int]]]:
+def _count(narrow: DataFrame, prefix: Column) -> dict[int, list[tuple[str, int, int]]]:
     rows = (
         narrow.groupBy("g", prefix.alias("p"))
         .agg(F.count(F.lit(1)).alias("n"), F.max(F.length("k")).alias("len"))
         .collect()
     )
-    counts: dict[Any, list[tuple[str, int, int]]] = {}
+    counts: dict[int, list[tuple[str, int, int]]] = {}
     for row in rows:
         counts.setdefault(row["g"], []).append((row["p"], row["n"], row["len"]))
     for entries in counts.values():
@@ -75,19 +75,21 @@ def _count(narrow: DataFrame, prefix: Column) -> dict[Any, list[tuple[str, int,
     return counts
 
 
-def _locate(narrow: DataFrame, totals: dict[Any, int], ranks: dict[Any, set[int]], skip: int) -> dict[Any, dict[int, _Border]]:
-    """The border key at every wanted 1-based rank of every group."""
-    found: dict[Any, dict[int, _Border]] = {group: {} for group in ranks}
+def _locate(narrow: DataFrame, totals: list[int], ranks: list[set[int]], skip: int) -> list[dict[int, _Border]]:
+    """The border key at every wanted 1-based rank of every group; groups are numbered in ``g``."""
+    found: list[dict[int, _Border]] = [{} for _ in ranks]
     # open ranks: group -> prefix -> [(rank, rank inside the prefix)]
-    opened: dict[Any, dict[str, list[tuple[int, int]]]] = {g: {"": [(r, r) for r in wanted]} for g, wanted in ranks.items() if wanted}
+    opened: dict[int, dict[str, list[tuple[int, int]]]] = {g: {"": [(r, r) for r in wanted]} for g, wanted in enumerate(ranks) if wanted}
     open_rows = sum(totals[g] for g in opened)
     depth, text_depth = 0, skip
     while opened:
-        rows = narrow if depth == 0 else narrow.where(_in_prefixes({g: set(p) for g, p in opened.items()}, text_depth))
+        rows = narrow if depth == 0 else narrow.where(_in_prefixes(opened, text_depth))
         exhaustive = open_rows <= SETTLE_ROWS
-        text_depth += _width(sum(len(p) for p in opened.values()), open_rows)
+        n_open = sum(len(prefixes) for prefixes in opened.values())
+        n_borders = sum(len(wanted) for prefixes in opened.values() for wanted in prefixes.values())
+        text_depth += _width(n_open, n_borders, open_rows)
         counts = _count(rows, F.col("k") if exhaustive else F.substring("k", 1, text_depth))
-        deeper: dict[Any, dict[str, list[tuple[int, int]]]] = {}
+        deeper: dict[int, dict[str, list[tuple[int, int]]]] = {}
         open_rows, depth = 0, depth + 1
         for group, prefixes in opened.items():
             for prefix, wanted in prefixes.items():
@@ -120,9 +122,8 @@ def _case(group: Column, values: dict[Any, Column]) -> Column:
 
 def _split(df: DataFrame, key: Column, group: Column, sizes: Sizes, out: str, level: int, skip: int = 0) -> DataFrame:
     columns = df.columns
-    narrow = df.select(group.alias("g"), key.alias("k"))
     # reads the group column only, or just the row counts of the files when there is none
-    rows = narrow.groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
+    rows = df.select(group.alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
     totals = {row["g"]: row["n"] for row in rows}
     if None in totals:
         raise ValueError("the column that groups the rows contains missing values")
@@ -133,12 +134,14 @@ def _split(df: DataFrame, key: Column, group: Column, sizes: Sizes, out: str, le
     parts = sizes(totals)
     borders = {g: [sum(parts[g][: i + 1]) for i in range(len(parts[g]) - 1)] for g in totals}
     inner = {g: {r for r in borders[g] if 0 < r < totals[g]} for g in totals}
-    found = _locate(narrow, totals, inner, skip)
+    numbers = {g: i for i, g in enumerate(totals)}
+    narrow = df.select(_case(group, {g: F.lit(i) for g, i in numbers.items()}).alias("g"), key.alias("k"))
+    found = _locate(narrow, list(totals.values()), list(inner.values()), skip)
 
     plain: dict[Any, Column] = {}
     ties: list[tuple[Any, str, int, list[int]]] = []  # group, key, parts before, sizes inside
     for g in totals:
-        at = [found[g].get(r) for r in borders[g]]
+        at = [found[numbers[g]].get(r) for r in borders[g]]
         part = F.lit(sum(1 for r in borders[g] if r <= 0))
         for border in at:
             if border is not None:

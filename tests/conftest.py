@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[8]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
