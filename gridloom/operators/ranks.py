@@ -48,9 +48,13 @@ def even_sizes(total: int, k: int, start: int = 0) -> list[int]:
     return [total // k + (1 if (part - start) % k < total % k else 0) for part in range(k)]
 
 
-def _width(n_open: int, n_borders: int, n_rows: int) -> int:
-    """Hex characters to add: enough to settle the borders after this pass, no more than the driver may hold."""
-    wanted = math.ceil(math.log(max(16.0, n_rows / n_open * n_borders / max(1, SETTLE_ROWS)), 16))
+def _width(n_open: int, n_borders: int, n_rows: int, natural: bool) -> int:
+    """Characters to add: enough to settle the borders after this pass, no more than the driver may hold.
+
+    Hash keys spread evenly, so the need is known; keys of natural order often share
+    their next characters and take the full width.
+    """
+    wanted = MAX_WIDTH if natural else math.ceil(math.log(max(16.0, n_rows / n_open * n_borders / max(1, SETTLE_ROWS)), 16))
     allowed = int(math.log(max(16.0, MAX_COUNTS / n_open), 16))
     return max(1, min(wanted, allowed, MAX_WIDTH))
 
@@ -61,42 +65,46 @@ def _in_prefixes(opened: dict[int, dict[str, Any]], width: int) -> Column:
     return F.concat(F.col("g").cast("string"), F.lit(":"), F.substring("k", 1, width)).isin(*texts)
 
 
-def _count(narrow: DataFrame, prefix: Column) -> dict[int, list[tuple[str, int, int]]]:
-    rows = (
-        narrow.groupBy("g", prefix.alias("p"))
-        .agg(F.count(F.lit(1)).alias("n"), F.max(F.length("k")).alias("len"))
-        .collect()
-    )
-    counts: dict[int, list[tuple[str, int, int]]] = {}
+def _common(low: str, high: str) -> int:
+    """Length of the common start of two texts."""
+    return next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+
+
+def _count(narrow: DataFrame, prefix: Column, natural: bool) -> dict[int, list[tuple[str, int, int, int]]]:
+    """(prefix, rows, longest key, characters shared by its keys) per group, in prefix order."""
+    ends = [F.min("k").alias("low"), F.max("k").alias("high")] if natural else []
+    rows = narrow.groupBy("g", prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"), F.max(F.length("k")).alias("len"), *ends).collect()
+    counts: dict[int, list[tuple[str, int, int, int]]] = {}
     for row in rows:
-        counts.setdefault(row["g"], []).append((row["p"], row["n"], row["len"]))
+        shared = _common(row["low"], row["high"]) if natural else len(row["p"])
+        counts.setdefault(row["g"], []).append((row["p"], row["n"], row["len"], shared))
     for entries in counts.values():
         entries.sort()
     return counts
 
 
-def _locate(narrow: DataFrame, totals: list[int], ranks: list[set[int]], skip: int) -> list[dict[int, _Border]]:
+def _locate(narrow: DataFrame, totals: list[int], ranks: list[set[int]], skip: int, natural: bool) -> list[dict[int, _Border]]:
     """The border key at every wanted 1-based rank of every group; groups are numbered in ``g``."""
     found: list[dict[int, _Border]] = [{} for _ in ranks]
     # open ranks: group -> prefix -> [(rank, rank inside the prefix)]
     opened: dict[int, dict[str, list[tuple[int, int]]]] = {g: {"": [(r, r) for r in wanted]} for g, wanted in enumerate(ranks) if wanted}
     open_rows = sum(totals[g] for g in opened)
-    depth, text_depth = 0, skip
+    depth, text_depth, shared_depth = 0, skip, skip
     while opened:
         rows = narrow if depth == 0 else narrow.where(_in_prefixes(opened, text_depth))
         exhaustive = open_rows <= SETTLE_ROWS
         n_open = sum(len(prefixes) for prefixes in opened.values())
         n_borders = sum(len(wanted) for prefixes in opened.values() for wanted in prefixes.values())
-        text_depth += _width(n_open, n_borders, open_rows)
-        counts = _count(rows, F.col("k") if exhaustive else F.substring("k", 1, text_depth))
+        text_depth = shared_depth + _width(n_open, n_borders, open_rows, natural)
+        counts = _count(rows, F.col("k") if exhaustive else F.substring("k", 1, text_depth), natural)
         deeper: dict[int, dict[str, list[tuple[int, int]]]] = {}
-        open_rows, depth = 0, depth + 1
+        open_rows, depth, shared_depth = 0, depth + 1, None
         for group, prefixes in opened.items():
             for prefix, wanted in prefixes.items():
                 entries = [e for e in counts[group] if e[0].startswith(prefix)]
                 for rank, inside in wanted:
                     before = 0
-                    for text, n, length in entries:
+                    for text, n, length, shared in entries:
                         if before + n < inside:
                             before += n
                             continue
@@ -106,6 +114,7 @@ def _locate(narrow: DataFrame, totals: list[int], ranks: list[set[int]], skip: i
                             slot = deeper.setdefault(group, {})
                             if text not in slot:
                                 open_rows += n
+                                shared_depth = shared if shared_depth is None else min(shared_depth, shared)
                             slot.setdefault(text, []).append((rank, inside - before))
                         break
         opened = deeper
@@ -120,7 +129,7 @@ def _case(group: Column, values: dict[Any, Column]) -> Column:
     return result
 
 
-def _split(df: DataFrame, key: Column, group: Column, sizes: Sizes, out: str, level: int, skip: int = 0) -> DataFrame:
+def _split(df: DataFrame, key: Column, group: Column, sizes: Sizes, out: str, level: int, skip: int = 0, natural: bool = False) -> DataFrame:
     columns = df.columns
     # reads the group column only, or just the row counts of the files when there is none
     rows = df.select(group.alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
@@ -136,7 +145,7 @@ def _split(df: DataFrame, key: Column, group: Column, sizes: Sizes, out: str, le
     inner = {g: {r for r in borders[g] if 0 < r < totals[g]} for g in totals}
     numbers = {g: i for i, g in enumerate(totals)}
     narrow = df.select(_case(group, {g: F.lit(i) for g, i in numbers.items()}).alias("g"), key.alias("k"))
-    found = _locate(narrow, list(totals.values()), list(inner.values()), skip)
+    found = _locate(narrow, list(totals.values()), list(inner.values()), skip, natural)
 
     plain: dict[Any, Column] = {}
     ties: list[tuple[Any, str, int, list[int]]] = []  # group, key, parts before, sizes inside
@@ -211,8 +220,8 @@ def split_by_rank(df: DataFrame, key: Column, sizes: Sizes, out: str, group: str
     if sorted_text:
         low, high = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
         if low is not None:
-            skip = next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
-    return _split(df, key, group_column, sizes, out, level=0, skip=skip)
+            skip = _common(low, high)
+    return _split(df, key, group_column, sizes, out, level=0, skip=skip, natural=sorted_text)
 
 
 def row_numbers(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
