@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-ROWS_PER_RANGE = 500_000  # distinct scores one task should sort
+ROWS_PER_RANGE = 1_000_000  # distinct scores one task should sort
 MAX_RANGES = 20_000
 
 # Accepted metric names.
