@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from gridloom.llm.decontaminate import op7_benchmark_decontamination
+from gridloom.llm.language_cnn import op5_language_id
 from gridloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from gridloom.llm.mixing import OP9_SQL, op9_source_mixing
 from gridloom.llm.quality_gam import op2_quality_classifier
 from gridloom.llm.quality_rules import OP6_SQL, op6_quality_rules
 from gridloom.llm.simhash import op1_simhash
+from gridloom.llm.surrogates import op4_pii_surrogates
 from gridloom.llm.url_filters import OP3_SQL, op3_url_filters
 
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_url_filters": op3_url_filters,
+    "op4_pii_surrogates": op4_pii_surrogates,
+    "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_line_dedup": op8_line_dedup,
