@@ -6,6 +6,7 @@ from gridloom.llm.decontaminate import op7_benchmark_decontamination
 from gridloom.llm.language_cnn import op5_language_id
 from gridloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from gridloom.llm.mixing import OP9_SQL, op9_source_mixing
+from gridloom.llm.ngram_lm import op10_lm_scoring
 from gridloom.llm.quality_gam import op2_quality_classifier
 from gridloom.llm.quality_rules import OP6_SQL, op6_quality_rules
 from gridloom.llm.simhash import op1_simhash
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op9_source_mixing": op9_source_mixing,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLES = {
     "op3_url_filters": OP3_SQL,
