@@ -53,6 +53,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is not in the one column of ``ids``; null equals null."""
-    gone = ids.select(F.col(ids.columns[0]).alias("__gone"))
+    """The rows of ``docs`` whose ``doc_id`` is not in the one column of ``ids``; null equals null.
+
+    The ids are stored first: their size is then known, and Spark moves the documents only if the ids are too many to broadcast.
+    """
+    gone = stored(ids.select(F.col(ids.columns[0]).alias("__gone")), "gone")
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")

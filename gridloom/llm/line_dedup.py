@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import BLANK_CHARS, ascii_lower, let, table, texts
+from gridloom.llm.common import BLANK_CHARS, ascii_lower, let, stored, table, texts
 
 MIN_DOCUMENTS = 10
 
@@ -55,11 +55,13 @@ def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_length:
         .select("i", "t", "pos", _digest(F.col("key")).alias("d"))
         .select("i", "t", "pos", "d.h", "d.g")
     )
+    frequent = stored(frequent_lines(docs, min_documents, min_length).select("h", "g"), "frequent-lines")
     dropped = (
-        lines.join(frequent_lines(docs, min_documents, min_length).select("h", "g"), ["h", "g"])
+        lines.join(frequent, ["h", "g"])
         .groupBy(F.col("i").alias("__i"), F.col("t").alias("__t"))
         .agg(F.collect_set("pos").alias("__gone"))
     )
+    dropped = stored(dropped, "dropped-lines")
     joined = base.join(dropped, base["doc_id"].eqNullSafe(dropped["__i"]) & (base["__hash"] == dropped["__t"]), "left")
     gone = F.coalesce("__gone", F.array().cast("array<int>"))
     kept = let(

@@ -16,6 +16,8 @@ BITS = 64
 SEED = 42
 #: A bucket of more fingerprints than this is split by further bits before its members are compared.
 BUCKET = 256
+#: How often a bucket is split. What stays large then shares most bits; it is compared where it is, in slices that Spark cuts from a skewed join.
+SPLITS = 1
 #: Cost of one probe row against one compared pair.
 PROBE_COST = 8.0
 
@@ -157,7 +159,7 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     Every fingerprint stands in one bucket per probed part and looks into the buckets of
     its changed values; a pair is compared where they meet. Buckets of more than ``BUCKET``
     fingerprints agree in the bits of their part, so they are divided again over the
-    remaining bits, with a plan of their own, until they are small or no bits are left.
+    remaining bits, with a plan of their own, ``SPLITS`` times. Only links leave a comparison.
     """
     n, both = bit_statistics(fps)
     empty = fps.sparkSession.createDataFrame([], "a bigint, b bigint")
@@ -165,9 +167,9 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
         return empty
     found, level = [], 0
     rows = fps.select("fp", F.lit(0).cast("long").alias("bucket"))
-    pending = [(rows, rows, list(range(BITS)))]
+    pending = [(rows, rows, list(range(BITS)), SPLITS)]
     while pending:
-        owners, seekers, left = pending.pop()
+        owners, seekers, left, splits = pending.pop()
         for part, threshold in plan_parts(n, both, left, distance):
             rest = [b for b in left if b not in part]
             part_mask, level = F.lit(_signed(sum(1 << b for b in part))), level + 1
@@ -178,12 +180,12 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
             own = owners.select("fp", key(F.col("fp")).alias("bucket"))
             looks = [key(F.col("fp").bitwiseXOR(F.lit(m))) for m in _probes(part, threshold)]
             seek = seekers.select("fp", F.explode(F.array(*looks)).alias("bucket"))
-            if rest:
+            if rest and splits:
                 sizes = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
                 hot = stored(sizes.where(F.col("size") > BUCKET).select("bucket"), "simhash-hot")
                 if not hot.isEmpty():
                     again = [stored(side.join(hot, "bucket", "left_semi"), "simhash-again") for side in (own, seek)]
-                    pending.append((*again, rest))
+                    pending.append((*again, rest, splits - 1))
                     own, seek = own.join(hot, "bucket", "left_anti"), seek.join(hot, "bucket", "left_anti")
             a, b = own.select(F.col("fp").alias("a"), "bucket"), seek.select(F.col("fp").alias("b"), F.col("bucket").alias("other"))
             near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
