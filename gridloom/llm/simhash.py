@@ -237,7 +237,8 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataF
     smallest = named.groupBy("component").agg(F.min("first").alias("root"))
     roots = named.join(smallest, "component").select(F.col("node").alias("fp"), "root")
     final = classes.join(roots, "fp", "left").select("fp", F.coalesce("root", "first").alias("component_id"))
-    return rows.join(final, "fp").select("doc_id", "fp", "component_id")
+    # stored, so that both sides of the last join are plain shuffles and Spark can split a fingerprint with many copies
+    return rows.join(stored(final, "fingerprint-components"), "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataFrame:
