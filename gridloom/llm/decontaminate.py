@@ -107,6 +107,7 @@ def slot_agreement(docs: DataFrame, benchmark: DataFrame, found: DataFrame) -> D
         F.col("doc_id").alias("i"), F.col("doc_hash").alias("x"), "item_id", "kind", "item_value", (F.col("item_pos") + F.col("shift")).alias("pos")
     )
     wanted = wanted.where(F.col("pos") >= 0).groupBy("i", "x").agg(F.collect_list(F.struct("item_id", "kind", "item_value", "pos")).alias("slots"))
+    wanted = stored(wanted, "benchmark-slots")  # of known size: the texts move only if it is too large to broadcast
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("doc_hash"))
     picked = keyed.join(wanted, keyed["doc_id"].eqNullSafe(wanted["i"]) & (keyed["doc_hash"] == wanted["x"])).dropDuplicates(["doc_id", "doc_hash"])
     body = F.coalesce("text", F.lit(""))
