@@ -49,10 +49,13 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), n_row
     """Exact area under the ROC curve per group, ties counted half; NULL when a group has one class only.
 
     Equal scores are combined first. Distinct scores are then ranked range by range
-    and the ranges are chained through their totals, so no task sees all scores.
+    and the ranges are chained through their totals, so no task sees all scores. A missing
+    score, NULL or NaN, is an error at every size. ``n_rows`` only decides the number of ranges.
     """
     by = list(by)
-    rows = df.select(*by, F.col(label).cast("long").alias("__y"), F.col(score).cast("double").alias("__s"))
+    value = F.col(score).cast("double")
+    known = F.when(value.isNull() | F.isnan(value), F.raise_error(F.lit("the score has missing values"))).otherwise(value)
+    rows = df.select(*by, F.col(label).cast("long").alias("__y"), known.alias("__s"))
     rows = _score_ranges(rows, "__s", n_rows)
     tied = rows.groupBy(*by, "__range", "__s").agg(
         F.sum("__y").cast("double").alias("pos"), F.sum(1 - F.col("__y")).cast("double").alias("neg")

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,7 +107,7 @@ def cross_validate_search(
         outcome = {"trial_number": number, "fold": fold.number, "metric": None, "error": None}
         try:
             outcome["metric"] = run_fold(fold, trials[number], problem_type, metric, label, seed, patience)
-        except Exception as err:  # noqa: BLE001 - one bad parameter set must not end the search
+        except (ValueError, IllegalArgumentException) as err:  # a bad parameter set must not end the search, a lost cluster must
             outcome["error"] = f"{type(err).__name__}: {str(err)[:500]}"
         return outcome
 

@@ -48,10 +48,17 @@ def bool_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_types(nulls, {"as_true": "bool"}, missing_bool="true")
 
 
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prose with quotes, commas and line breaks, and ids of 19 digits, through the writer and the reader."""
+    docs = fr.table(spark, sf_dir, "documents").select(F.lit("d").alias("kind"), F.col("doc_id").alias("id"), F.col("text"))
+    turns = fr.table(spark, sf_dir, "conversations").select(F.lit("c").alias("kind"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text"))
+    both = docs.unionByName(turns).withColumn("wide_id", F.col("id") + F.lit(9007199254740993000)).withColumn("text", F.concat(F.lit(' "'), "text", F.lit('", ')))
+    path = write_table(both, scratch_path(spark, "csv"), "csv")
+    return read_table(spark, "CSV", path, infer=True, multi_line=True).select("kind", "id", "wide_id", F.sha2("text", 256).alias("text_sha256"))
+
+
 def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "csv")
-    writer = fr.raw_line(spark, sf_dir).write.option("header", True).option("escape", '"')
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    path = write_table(fr.raw_line(spark, sf_dir), scratch_path(spark, "csv"), "csv")
     return with_inferred_types(apply_types(read_table(spark, "CSV", path), RAW_TYPES))
 
 
@@ -243,6 +250,12 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.roc_auc(fr.scored_lines(spark, sf_dir), "label", "score"))
 
 
+def auc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same areas over several ranges of scores, as a table of many million rows would have."""
+    many = 8 * metrics.ROWS_PER_RANGE
+    return rounded(metrics.roc_auc(fr.scored_lines(spark, sf_dir), "label", "score", by=["l_returnflag"], n_rows=many))
+
+
 def roc_auc_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.roc_auc(fr.scored_lines(spark, sf_dir), "label", "score", by=["l_returnflag"]))
 
@@ -324,7 +337,8 @@ def train_score_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_model(spark: SparkSession, sf_dir: str) -> tuple[TrainedModel, DataFrame, int]:
-    df = fr.line_flag(spark, sf_dir)
+    # the narrow result of the joins is kept: two statistics passes and the vectors read it
+    df = fr.line_flag(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     encoder = FeatureEncoder(fr.line_flag_plan()).fit(df)
     # the learner passes over its input several times; cached vectors spare it the joins
     data = encoder.feature_frame(df, [*fr.LINE_IDS, "label"]).persist(StorageLevel.MEMORY_AND_DISK)
@@ -555,12 +569,12 @@ def run_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        typed_cast, bool_parity, csv_scan_typed, inferred_types, metadata_unpivot, feature_routing, metadata_counts, scoring_projection,
+        typed_cast, bool_parity, csv_text_roundtrip, csv_scan_typed, inferred_types, metadata_unpivot, feature_routing, metadata_counts, scoring_projection,
         profile_columns, distinct_counts, value_counts, problem_strings, bad_numeric_cells, bad_numeric_report, score_histogram,
         stratified_folds, plain_folds, fold_sizes, fold_train_validation, ordered_split, exact_sample, first_rows,
         scale_fit, scale_impute_apply, mode_impute, bool_impute, bool_as_number, onehot, onehot_na, passthrough, encoded_table,
         loo_fold_stats, fold_encoded_table, document_slice, category_dictionary, category_codes,
-        class_weights, roc_auc, roc_auc_by_group, threshold_metrics, regression_metrics, cv_mean, cv_best_trial,
+        class_weights, roc_auc, auc_ranges, roc_auc_by_group, threshold_metrics, regression_metrics, cv_mean, cv_best_trial,
         argmax_prediction, flat_prediction, mean_abs_importance, importance_rank, top_importance, importance_by_group,
         train_score_binary, train_score_lines, train_score_regression, train_score_multiclass, cv_search, early_stopping,
         path_contributions, shap_contributions, shap_importance, surrogate_scores, split_importance,

@@ -24,7 +24,7 @@ class TableLoader:
         self.feature_metadata = read_metadata(spark, self.data_config.metadata_path)
         # one row per column of the table: plan input, bounded by the table's width
         self.metadata_rows = [row.asDict() for row in self.feature_metadata.collect()]
-        self.input_data = read_table(spark, self.data_config.input_data_source, self.data_config.file_path, self.data_config.infer_types)
+        self.input_data = read_table(spark, self.data_config.input_data_source, self.data_config.file_path, self.data_config.infer_types, self.data_config.multi_line)
         target = self.model_config.target_variable if self.data_config.training else None
         validate_columns(self.input_data, self.metadata_rows, target)
 

@@ -208,6 +208,8 @@ def _first_seen_code(column: str) -> str:
 ORACLES: dict[str, str] = {
     "typed_cast": f"WITH {_RAW} {_TYPED}",
     "bool_parity": f"WITH {_RAW} SELECT {_IDS}, {_FLAG} AS as_null, coalesce({_FLAG}, TRUE) AS as_true FROM raw",
+    "csv_text_roundtrip": """SELECT kind, id, id + 9007199254740993000 AS wide_id, sha256(' "' || text || '", ') AS text_sha256
+FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'c', conv_id * 1000 + turn, text FROM conversations)""",
     "csv_scan_typed": f"""WITH {_RAW}, typed AS ({_TYPED})
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, qty_text, flag_text, cat_text, tax_text FROM typed""",
     "inferred_types": f"WITH {_RAW} "
@@ -266,6 +268,7 @@ SELECT k, 'ship_month', NULL, NULL, mode FROM fm""",
     "class_weights": f"""WITH {_LINE} SELECT label, n AS n_rows, round(sum(n) OVER () / (count(*) OVER () * n), 6) AS weight
 FROM (SELECT label, count(*) AS n FROM line GROUP BY label)""",
     "roc_auc": f"WITH {_SCORED} SELECT round(auc, 6) AS rocauc FROM ({_auc('scored', [])})",
+    "auc_ranges": f"WITH {_SCORED} SELECT l_returnflag, round(auc, 6) AS rocauc FROM ({_auc('scored', ['l_returnflag'])})",
     "roc_auc_by_group": f"WITH {_SCORED} SELECT l_returnflag, round(auc, 6) AS rocauc FROM ({_auc('scored', ['l_returnflag'])})",
     "threshold_metrics": f"""WITH {_SCORED}, c AS (SELECT l_returnflag, count(*) FILTER (label = 1 AND score > 0.5) AS tp, count(*) FILTER (label = 0 AND score > 0.5) AS fp,
   count(*) FILTER (label = 1 AND score <= 0.5) AS fn, count(*) FILTER (label = 0 AND score <= 0.5) AS tn FROM scored GROUP BY l_returnflag)

@@ -8,26 +8,32 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.coerce import NUMERIC_TEXT, blank_to_null
 
-_INTEGER_TEXT = r"^\s*[+-]?\d{1,18}\s*$"
+_INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 _BOOLEAN_TEXT = ("True", "TRUE", "true", "False", "FALSE", "false")
 _FORMATS = {"PARQUET": "parquet", "JSON": "json", "ORC": "orc"}
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a header as text columns, null tokens turned into NULL.
 
-    No schema inference and no multi-line mode, so the files stay splittable and
-    unused columns are pruned by the parser.
+    Types are not inferred, so unused columns are pruned by the parser. Line by line
+    the files stay splittable; ``multi_line`` reads records with line breaks in quotes, a file
+    per task. Without it a line whose quotes do not close is an error, never two broken rows.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+    if not multi_line:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        if not spark.read.text(path).where(quotes % 2 != 0).isEmpty():
+            raise ValueError(f"{path} has lines with open quotes; set multi_line to read line breaks inside quotes")
     return raw.select(*[blank_to_null(F.col(f"`{name}`")).alias(name) for name in raw.columns])
 
 
 def infer_types(df: DataFrame) -> dict[str, str]:
     """Type of every text column from one aggregate over the whole table.
 
-    boolean: every value spells a boolean. bigint: whole numbers and none missing.
-    double: numbers. string: everything else, and columns without any value.
+    boolean: every value spells a boolean. bigint: whole numbers of 64 bits and none missing.
+    double: numbers. string: everything else, columns without any value, and columns that hold
+    only whole numbers of which some are wider than 64 bits, since ids must not be rounded.
     """
     texts = [name for name, dtype in df.dtypes if dtype == "string"]
     if not texts:
@@ -37,7 +43,8 @@ def infer_types(df: DataFrame) -> dict[str, str]:
         column = F.col(f"`{name}`")
         counts += [
             F.count(column).alias(f"present{i}"),
-            F.count_if(column.rlike(_INTEGER_TEXT)).alias(f"whole{i}"),
+            F.count_if(column.rlike(_INTEGER_TEXT)).alias(f"digits{i}"),
+            F.count_if(column.rlike(_INTEGER_TEXT) & F.trim(column).try_cast("bigint").isNotNull()).alias(f"whole{i}"),
             F.count_if(column.rlike(NUMERIC_TEXT)).alias(f"number{i}"),
             F.count_if(column.isin(*_BOOLEAN_TEXT)).alias(f"boolean{i}"),
         ]
@@ -51,6 +58,8 @@ def infer_types(df: DataFrame) -> dict[str, str]:
             types[name] = "boolean"
         elif row[f"whole{i}"] == row["n"]:
             types[name] = "bigint"
+        elif row[f"digits{i}"] == present and row[f"whole{i}"] < present:
+            types[name] = "string"
         elif row[f"number{i}"] == present:
             types[name] = "double"
         else:
@@ -69,14 +78,14 @@ def with_inferred_types(df: DataFrame) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, source: str, path: str, infer: bool = False) -> DataFrame:
-    """Scan ``path`` as ``source``: CSV, PARQUET, JSON, ORC or TABLE."""
+def read_table(spark: SparkSession, source: str, path: str, infer: bool = False, multi_line: bool = False) -> DataFrame:
+    """Scan ``path`` as ``source``: CSV, PARQUET, JSON, ORC or TABLE; ``multi_line`` is for CSV."""
     kind = source.upper()
     if kind not in ("CSV", "TABLE", *_FORMATS):
         raise ValueError(f"unsupported data source type: {source}")
     try:
         if kind == "CSV":
-            df = read_csv_text(spark, path)
+            df = read_csv_text(spark, path, multi_line)
         elif kind == "TABLE":
             df = spark.table(path)
         else:

@@ -24,11 +24,11 @@ def _format_of(path: str, fallback: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, fmt: str | None = None) -> str:
-    """Overwrite ``path`` as a folder of part files; CSV gets a header."""
+    """Overwrite ``path`` as a folder of part files; CSV gets a header and keeps blanks, quotes and line breaks."""
     fmt = fmt or _format_of(path, "parquet")
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.save(path)
     return path
 

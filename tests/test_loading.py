@@ -10,7 +10,7 @@ from gridloom.operators import audit
 from gridloom.operators.typing import apply_types, bool_to_double, scoring_columns, training_columns, validate_columns
 from gridloom.sources.metadata import FeaturePlan, read_metadata, route_features
 from gridloom.sources.readers import infer_types, read_table, with_inferred_types
-from gridloom.sources.writers import write_study
+from gridloom.sources.writers import write_study, write_table
 
 MODEL = {
     "target_variable": "y", "id_variables": ["id"], "problem_type": "classification", "evaluation_metric": "rocauc",
@@ -181,6 +181,22 @@ def test_csv_scan(spark, tmp_path):
     assert read_table(spark, "csv", str(tmp_path / "in.csv"), infer=True).dtypes[0] == ("id", "bigint")
 
 
+def test_csv_keeps_line_breaks_blanks_and_wide_ids(spark, tmp_path):
+    rows = [(" a ", 'x\ny "z", w', 9007199254740993001), ("b", " ", 9007199254740993002)]
+    path = write_table(spark.createDataFrame(rows, "id string, t string, wide long"), str(tmp_path / "out"), "csv")
+    back = read_table(spark, "CSV", path, infer=True, multi_line=True)
+    assert dict(back.dtypes)["wide"] == "bigint"
+    got = sorted(map(tuple, back.select("id", "wide", F.coalesce("t", F.lit(" "))).collect()))
+    assert got == [(" a ", rows[0][2], rows[0][1]), ("b", rows[1][2], " ")]
+    with pytest.raises(ValueError, match="multi_line"):
+        read_table(spark, "CSV", path)
+
+
+def test_whole_numbers_beyond_64_bits_stay_text(spark):
+    df = spark.createDataFrame([("9223372036854775807", "9223372036854775808"), ("1", "2")], "a string, b string")
+    assert infer_types(df) == {"a": "bigint", "b": "string"}
+
+
 def test_other_sources(spark, tmp_path, sf_dir):
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     region.write.json(str(tmp_path / "r.json"))

@@ -201,6 +201,14 @@ def test_search_history(spark, frame):
     assert result.history_frame(spark).count() == 2 and result.fold_frame(spark).count() == 4
 
 
+@pytest.mark.parametrize("n_rows", [None, 20_000_000])
+@pytest.mark.parametrize("score", [None, math.nan])
+def test_missing_scores_are_errors_at_every_size(spark, n_rows, score):
+    df = spark.createDataFrame([(0, 0.2), (1, 0.7), (1, score)], "y int, s double")
+    with pytest.raises(Exception, match="missing values"):
+        m.roc_auc(df, "y", "s", n_rows=n_rows).collect()
+
+
 def test_failed_trial_has_no_value(frame):
     df, plan = frame
     folded = assign_folds(df, 2, plan.ids, target="label")
