@@ -78,7 +78,7 @@ def _sample_cells(keyed: DataFrame, limits: dict[str, str], n_samples: int) -> D
 
 
 def problem_strings(df: DataFrame, columns: Sequence[str], ids: Sequence[str], n_samples: int = 5, seed: int = 42) -> DataFrame:
-    """For every text column: is it numeric, does an unparsable text contain ``e``, and some such texts.
+    """For every text column: is it numeric, does it contain an ``e`` if not, and some unparsable texts.
 
     The sample holds the ``n_samples`` unparsable cells with the smallest key hash. The
     counts tell how small a hash bound leaves just enough cells, so the second pass
@@ -91,7 +91,7 @@ def problem_strings(df: DataFrame, columns: Sequence[str], ids: Sequence[str], n
         column = F.col(f"`{name}`")
         counts += [
             F.count_if(is_unparsable(column)).alias(f"bad{i}"),
-            F.coalesce(F.bool_or(is_unparsable(column) & F.contains(column, F.lit("e"))), F.lit(False)).alias(f"e{i}"),
+            F.coalesce(F.bool_or(F.contains(column, F.lit("e"))), F.lit(False)).alias(f"e{i}"),
         ]
     summary = df.agg(*counts).first()
     n_bad = {name: summary[f"bad{i}"] for i, name in enumerate(columns)}
@@ -106,7 +106,7 @@ def problem_strings(df: DataFrame, columns: Sequence[str], ids: Sequence[str], n
         samples.update({name: [text for _, text in sorted(cells)] for name, cells in found.items()})
         limits = dict.fromkeys(short, "g")
     rows = [
-        (name, n_bad[name], n_bad[name] == 0, summary[f"e{i}"], " | ".join(samples[name]) if name in samples else None)
+        (name, n_bad[name], n_bad[name] == 0, n_bad[name] > 0 and summary[f"e{i}"], " | ".join(samples[name]) if name in samples else None)
         for i, name in enumerate(columns)
     ]
     schema = "column_name string, n_not_numeric long, is_numeric boolean, contains_e boolean, samples string"

@@ -118,7 +118,7 @@ def _profile() -> str:
 def _problems() -> str:
     summary = " UNION ALL ".join(
         f"SELECT '{n}' AS column_name, count(*) FILTER ({_bad(n)}) AS n_not_numeric, count(*) FILTER ({_bad(n)}) = 0 AS is_numeric, "
-        f"count(*) FILTER ({_bad(n)} AND contains({n}, 'e')) > 0 AS contains_e FROM raw"
+        f"count(*) FILTER (contains({n}, 'e')) > 0 AND count(*) FILTER ({_bad(n)}) > 0 AS contains_e FROM raw"
         for n in _RAW_COLUMNS
     )
     cells = _long("keyed", "k", _RAW_COLUMNS)

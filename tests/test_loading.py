@@ -192,6 +192,12 @@ def test_csv_keeps_line_breaks_blanks_and_wide_ids(spark, tmp_path):
         read_table(spark, "CSV", path)
 
 
+def test_an_e_in_a_number_counts_in_a_mixed_column(spark):
+    df = spark.createDataFrame([(1, "1e5", "1e5"), (2, "abc", "2")], "id int, t string, n string")
+    rows = {r["column_name"]: r["contains_e"] for r in audit.problem_strings(df, ["t", "n"], ["id"]).collect()}
+    assert rows == {"t": True, "n": False}
+
+
 def test_whole_numbers_beyond_64_bits_stay_text(spark):
     df = spark.createDataFrame([("9223372036854775807", "9223372036854775808"), ("1", "2")], "a string, b string")
     assert infer_types(df) == {"a": "bigint", "b": "string"}
