@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import stored, table, texts, without
+from gridloom.llm.common import ascii_lower, let, stored, table, texts, without, words
 
 BITS = 64
 SEED = 42
@@ -20,18 +20,21 @@ BUCKET = 256
 SPLITS = 1
 #: Cost of one probe row against one compared pair.
 PROBE_COST = 8.0
+#: For documents compared by their shingles: words of a shingle, least similarity, and the differing bits of word fingerprints that candidates may have.
+SHINGLE, SIMILARITY, WORD_DISTANCE = 5, 0.8, 8
 
 _VALUES = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLANES = (np.arange(8) * 256)[None, :]
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: str, width: int = 3) -> int:
+def fingerprint(text: str | bytes, width: int = 3) -> int:
     """64 bits; bit j is set if more than half of the shingle hashes have it. No words: 0.
 
     The hashes are counted byte by byte in 8 histograms, chunk by chunk, so memory does not depend on the length.
     """
-    tokens = text.encode("utf-8", "replace").lower().split()  # of bytes: A-Z and the six ASCII blanks only
+    raw = text if isinstance(text, bytes) else text.encode("utf-8", "replace")
+    tokens = raw.lower().split()  # of bytes: A-Z and the six ASCII blanks only
     if not tokens:
         return 0
     n = max(1, len(tokens) - width + 1)
@@ -55,6 +58,11 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return texts(docs).select("doc_id", of("text").alias("fp"))
 
 
+def word_fingerprint(text: str) -> int:
+    """64 bits over the distinct words; a changed word moves them less than it moves shingles. No words: 0."""
+    return fingerprint(b" ".join(set(text.encode("utf-8", "replace").lower().split())), 1)
+
+
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
     """The number of fingerprints and, for each pair of bits, how many have both set; a 64 x 64 sum per task."""
 
@@ -154,19 +162,24 @@ def _probes(part: list[int], threshold: int) -> list[int]:
 
 
 def links(fps: DataFrame, distance: int = 3) -> DataFrame:
-    """``a, b`` (a < b): all pairs of distinct fingerprints of ``fps(fp)`` that differ in at most ``distance`` bits.
+    """``a, b`` (a < b): all pairs of ``node`` of ``fps(node, fp, group)`` of different groups whose ``fp`` differ in at most ``distance`` bits.
 
     Every fingerprint stands in one bucket per probed part and looks into the buckets of
-    its changed values; a pair is compared where they meet. Buckets of more than ``BUCKET``
-    fingerprints agree in the bits of their part, so they are divided again over the
-    remaining bits, with a plan of their own, ``SPLITS`` times. Only links leave a comparison.
+    its changed values; a pair is compared where they meet. Large buckets agree in the bits
+    of their part, so they are divided again over the remaining bits, with a plan of their
+    own, ``SPLITS`` times. A bucket is large from ``BUCKET`` fingerprints, or from where the
+    probes of a division cost less than comparing. Only links leave a comparison.
+    Without ``node`` and ``group`` each fingerprint is its own.
     """
+    label = "node" if "node" in fps.columns else "fp"
+    group = "group" if "group" in fps.columns else label
+    columns = list(dict.fromkeys([label, "fp", group]))
     n, both = bit_statistics(fps)
     empty = fps.sparkSession.createDataFrame([], "a bigint, b bigint")
     if n < 2:
         return empty
     found, level = [], 0
-    rows = fps.select("fp", F.lit(0).cast("long").alias("bucket"))
+    rows = fps.select(*columns, F.lit(0).cast("long").alias("bucket"))
     pending = [(rows, rows, list(range(BITS)), SPLITS)]
     while pending:
         owners, seekers, left, splits = pending.pop()
@@ -177,26 +190,73 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
             def key(value, at=level, mask=part_mask):
                 return F.xxhash64("bucket", F.lit(at), value.bitwiseAND(mask))
 
-            own = owners.select("fp", key(F.col("fp")).alias("bucket"))
+            own = owners.select(*columns, key(F.col("fp")).alias("bucket"))
             looks = [key(F.col("fp").bitwiseXOR(F.lit(m))) for m in _probes(part, threshold)]
-            seek = seekers.select("fp", F.explode(F.array(*looks)).alias("bucket"))
+            seek = seekers.select(*columns, F.explode(F.array(*looks)).alias("bucket"))
             if rest and splits:
+                probes = sum(len(_probes(p, t)) for p, t in plan_parts(n, both, rest, distance))
+                large = max(BUCKET, int(4 * PROBE_COST * probes))
                 sizes = own.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-                hot = stored(sizes.where(F.col("size") > BUCKET).select("bucket"), "simhash-hot")
+                hot = stored(sizes.where(F.col("size") > large).select("bucket"), "simhash-hot")
                 if not hot.isEmpty():
                     again = [stored(side.join(hot, "bucket", "left_semi"), "simhash-again") for side in (own, seek)]
                     pending.append((*again, rest, splits - 1))
                     own, seek = own.join(hot, "bucket", "left_anti"), seek.join(hot, "bucket", "left_anti")
-            a, b = own.select(F.col("fp").alias("a"), "bucket"), seek.select(F.col("fp").alias("b"), F.col("bucket").alias("other"))
-            near = (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+            a = own.select(*[F.col(c).alias(f"a_{c}") for c in columns], "bucket")
+            b = seek.select(*[F.col(c).alias(f"b_{c}") for c in columns], F.col("bucket").alias("other"))
+            near = (F.col(f"a_{group}") != F.col(f"b_{group}")) & (F.bit_count(F.col("a_fp").bitwiseXOR(F.col("b_fp"))) <= distance)
             pairs = a.join(b, (F.col("bucket") == F.col("other")) & near)
-            found.append(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+            found.append(pairs.select(F.least(f"a_{label}", f"b_{label}").alias("a"), F.greatest(f"a_{label}", f"b_{label}").alias("b")))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out.distinct()
 
 
+def star_links(fps: DataFrame, distance: int) -> DataFrame:
+    """``a, b``: pairs of :func:`links` of ``fps(node, fp)`` of which one is the smallest node of a shared bucket; at most one per row and part."""
+    n, both = bit_statistics(fps)
+    found = fps.sparkSession.createDataFrame([], "a bigint, b bigint")
+    if n < 2:
+        return found
+    for part, _ in plan_parts(n, both, list(range(BITS)), distance):
+        bucket = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in part))))
+        rows = fps.select("node", "fp", bucket.alias("bucket"))
+        least = rows.groupBy("bucket").agg(F.min("node").alias("a"))  # of longs, so hashed and combined before the shuffle
+        first = rows.select(F.col("node").alias("a"), F.col("fp").alias("a_fp"), "bucket").join(least, ["bucket", "a"])
+        near = (F.col("node") != F.col("a")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("a_fp"))) <= distance)
+        found = found.unionByName(rows.join(first, "bucket").where(near).select("a", F.col("node").alias("b")))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _node(text):
+    """Hash of the lower-cased words in their order: copies that differ in blanks or case are one node."""
+    return F.xxhash64(F.array_join(words(ascii_lower(text)), " "))
+
+
+def shingle_hashes(text):
+    """The distinct hashes of the ``SHINGLE``-word shingles of a text; of the whole sequence if it is shorter."""
+
+    def of(ws):
+        at = F.sequence(F.lit(0), F.size(ws) - SHINGLE)
+        windows = F.transform(at, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(SHINGLE)]))
+        return F.array_distinct(F.when(F.size(ws) < SHINGLE, F.array(F.xxhash64(F.array_join(ws, " ")))).otherwise(windows))
+
+    return let(words(ascii_lower(text)), of)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose texts share ``similarity`` of their shingles; only texts in a pair are read into shingles."""
+    pairs = stored(pairs, "simhash-candidates")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-wanted")
+    sets = texts(docs).select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
+    sets = stored(sets.groupBy("node").agg(F.first("text").alias("text")).select("node", shingle_hashes(F.col("text")).alias("s")), "simhash-shingles")
+    side = lambda name: sets.select(F.col("node").alias(name), F.col("s").alias(f"s_{name}"))
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    enough = common >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - common)
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b"), "simhash-verified")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component``: the smallest node reachable, for every node of ``edges(a, b)``.
 
@@ -241,9 +301,37 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataF
     return rows.join(stored(final, "fingerprint-components"), "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataFrame:
-    """``docs`` with the smallest id of each component; rows that share an id stay or go together, null ids stay."""
-    found = near_duplicates(docs, distance, width)
+def similar_documents(docs: DataFrame, distance: int = WORD_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, component_id`` for every row: documents that share ``similarity`` of their five-word shingles, directly or over others.
+
+    Candidates are the pairs of different texts whose word fingerprints differ in at most
+    ``distance`` bits; each is checked on its shingles. Each text first meets the smallest of
+    every bucket that it stands in; what that joins is not compared again, so a large group
+    of copies leaves few pairs. Texts of equal words in order are one node; null and empty
+    texts are one node too. Ids as in :func:`near_duplicates`. No rows: no rows.
+    """
+
+    @F.pandas_udf("long")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(np.array([word_fingerprint(t) for t in batch], dtype=np.uint64).astype(np.int64))
+
+    rows = stored(texts(docs).select("doc_id", _node(F.col("text")).alias("node"), of("text").alias("fp")), "word-fingerprints")
+    nodes = stored(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("first")), "word-fingerprint-nodes")
+    near = verified(star_links(nodes.select("node", "fp"), distance), docs, similarity)
+    joined = stored(components(near), "simhash-stars")
+    grouped = nodes.join(joined, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("group"))
+    more = verified(links(stored(grouped, "simhash-groups"), distance), docs, similarity)
+    linked = components(near.unionByName(more))
+    roots = nodes.join(linked, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    smallest = roots.groupBy("component").agg(F.min("first").alias("component_id"))
+    final = stored(roots.join(smallest, "component").select("node", "component_id"), "simhash-roots")
+    return rows.join(final, "node").select("doc_id", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, distance: int = WORD_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with the smallest id of each component of :func:`similar_documents`; rows that share an id stay or go together, null ids stay."""
+    found = similar_documents(docs, distance, similarity)
     return without(docs, found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
 
 
