@@ -18,8 +18,8 @@ SEED = 42
 BUCKET = 256
 #: How often a bucket is split. What stays large then shares most bits; it is compared where it is, in slices that Spark cuts from a skewed join.
 SPLITS = 1
-#: Cost of one probe row against one compared pair.
-PROBE_COST = 8.0
+#: Cost of one probe row against one compared pair: a probe is hashed, shuffled and sorted (1 to 2 microseconds), a pair is one comparison within a join.
+PROBE_COST = 32.0
 #: For documents compared by their shingles: words of a shingle, least similarity, and the differing bits of word fingerprints that candidates may have.
 SHINGLE, SIMILARITY, WORD_DISTANCE = 5, 0.8, 8
 
