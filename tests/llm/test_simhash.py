@@ -47,6 +47,7 @@ def test_query_against_all_pairs(spark, sf_dir):
 
 def test_dense_buckets_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(sh, "BUCKET", 8)
+    monkeypatch.setattr(sh, "PROBE_COST", 8.0)  # so that buckets of this size are split
     rng = random.Random(3)
     centre = rng.getrandbits(64)
     values = {rng.getrandbits(64) for _ in range(60)}
