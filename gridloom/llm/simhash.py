@@ -20,8 +20,10 @@ BUCKET = 256
 SPLITS = 1
 #: Cost of one probe row against one compared pair: a probe is hashed, shuffled and sorted (1 to 2 microseconds), a pair is one comparison within a join.
 PROBE_COST = 32.0
-#: For documents compared by their shingles: words of a shingle, least similarity, and the differing bits of word fingerprints that candidates may have.
-SHINGLE, SIMILARITY, WORD_DISTANCE = 5, 0.8, 8
+#: For documents compared by their shingles: words of a shingle, least similarity, and the differing bits of word fingerprints that pairs may have: all.
+SHINGLE, SIMILARITY, WORD_DISTANCE = 5, 0.8, BITS
+#: Texts whose shingles are counted to put common ones last, and from how many of them a shingle is common. Both change the cost, not the pairs.
+COUNTED, COMMON = 20_000, 8
 
 _VALUES = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLANES = (np.arange(8) * 256)[None, :]
@@ -213,22 +215,6 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     return out.distinct()
 
 
-def star_links(fps: DataFrame, distance: int) -> DataFrame:
-    """``a, b``: pairs of :func:`links` of ``fps(node, fp)`` of which one is the smallest node of a shared bucket; at most one per row and part."""
-    n, both = bit_statistics(fps)
-    found = fps.sparkSession.createDataFrame([], "a bigint, b bigint")
-    if n < 2:
-        return found
-    for part, _ in plan_parts(n, both, list(range(BITS)), distance):
-        bucket = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in part))))
-        rows = fps.select("node", "fp", bucket.alias("bucket"))
-        least = rows.groupBy("bucket").agg(F.min("node").alias("a"))  # of longs, so hashed and combined before the shuffle
-        first = rows.select(F.col("node").alias("a"), F.col("fp").alias("a_fp"), "bucket").join(least, ["bucket", "a"])
-        near = (F.col("node") != F.col("a")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("a_fp"))) <= distance)
-        found = found.unionByName(rows.join(first, "bucket").where(near).select("a", F.col("node").alias("b")))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def _node(text):
     """Hash of the lower-cased words in their order: copies that differ in blanks or case are one node."""
     return F.xxhash64(F.array_join(words(ascii_lower(text)), " "))
@@ -245,12 +231,11 @@ def shingle_hashes(text):
     return let(words(ascii_lower(text)), of)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``pairs(a, b)`` whose texts share ``similarity`` of their shingles; only texts in a pair are read into shingles."""
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose ``sets(node, s)`` share ``similarity`` of their shingles; only sets in a pair are moved."""
     pairs = stored(pairs, "simhash-candidates")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-wanted")
-    sets = texts(docs).select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
-    sets = stored(sets.groupBy("node").agg(F.first("text").alias("text")).select("node", shingle_hashes(F.col("text")).alias("s")), "simhash-shingles")
+    sets = stored(sets.join(wanted, "node", "left_semi"), "simhash-shingles")
     side = lambda name: sets.select(F.col("node").alias(name), F.col("s").alias(f"s_{name}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     enough = common >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - common)
@@ -301,37 +286,84 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataF
     return rows.join(stored(final, "fingerprint-components"), "fp").select("doc_id", "fp", "component_id")
 
 
-def similar_documents(docs: DataFrame, distance: int = WORD_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, component_id`` for every row: documents that share ``similarity`` of their five-word shingles, directly or over others.
+def common_shingles(sets: DataFrame) -> np.ndarray:
+    """Shingles of ``COMMON`` or more of about ``COUNTED`` texts of ``sets(node, s)``, the rarest first."""
+    share = max(1, sets.count() // COUNTED)
+    counted = sets.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).select(F.explode("s").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+    return counted.where(F.col("c") >= COMMON).orderBy("c", "h").select("h").toPandas()["h"].to_numpy(np.int64)
+
 
-    Candidates are the pairs of different texts whose word fingerprints differ in at most
-    ``distance`` bits; each is checked on its shingles. Each text first meets the smallest of
-    every bucket that it stands in; what that joins is not compared again, so a large group
-    of copies leaves few pairs. Texts of equal words in order are one node; null and empty
-    texts are one node too. Ids as in :func:`near_duplicates`. No rows: no rows.
+def prefix_buckets(sets: DataFrame, similarity: float) -> DataFrame:
+    """``node, n, bucket``: size of the set and, one per row, the first shingles of each of ``sets(node, s)`` in one order of all shingles.
+
+    If two sets share ``similarity`` of their union, they share at least that part of either, so
+    each misses less than the rest of its own; of the first ``n - ceil(similarity * n) + 1`` of
+    both, in any order that is the same for all sets, one is then shared. Uncommon ones come first.
     """
+    common = common_shingles(sets)
+    by_value = np.argsort(common)
+    sent = sets.sparkSession.sparkContext.broadcast((common[by_value], by_value))
 
-    @F.pandas_udf("long")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<long>")
+    def first(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        values, rank = sent.value
         for batch in batches:
-            yield pd.Series(np.array([word_fingerprint(t) for t in batch], dtype=np.uint64).astype(np.int64))
+            out = []
+            for s in batch:
+                h = np.asarray(s, dtype=np.int64)
+                keep = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
+                place = np.full(len(h), -1)
+                if len(values):
+                    at = np.minimum(np.searchsorted(values, h), len(values) - 1)
+                    place = np.where(values[at] == h, rank[at], -1)
+                out.append(h[np.lexsort((h, place))[:keep]])
+            yield pd.Series(out)
+
+    return sets.select("node", F.size("s").alias("n"), F.explode(first("s")).alias("bucket"))
+
+
+def shared_buckets(sets: DataFrame, similarity: float) -> DataFrame:
+    """``bucket, node, n, a``: the rows of :func:`prefix_buckets` whose bucket holds more than one node, and ``a``, the smallest of them."""
+    rows = stored(prefix_buckets(sets, similarity), "simhash-buckets")
+    ends = rows.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z"))
+    return stored(rows.join(stored(ends.where("a <> z").select("bucket", "a"), "simhash-shared"), "bucket"), "simhash-bucket-rows")
 
-    rows = stored(texts(docs).select("doc_id", _node(F.col("text")).alias("node"), of("text").alias("fp")), "word-fingerprints")
-    nodes = stored(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("first")), "word-fingerprint-nodes")
-    near = verified(star_links(nodes.select("node", "fp"), distance), docs, similarity)
+
+def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, component_id`` for every row: documents that share ``similarity`` of their five-word shingles, directly or over others.
+
+    Candidates are the pairs of different texts that share a bucket of :func:`prefix_buckets`,
+    which every such pair does; each is checked on its shingles. Each text first meets the
+    smallest of every bucket that it stands in; what that joins is not compared again, so a large
+    group of copies leaves few pairs. Texts of equal words in order are one node; null and
+    empty texts are one node too. Ids as in :func:`near_duplicates`. No rows: no rows.
+    """
+    rows = stored(texts(docs).select("doc_id", _node(F.col("text")).alias("node"), shingle_hashes(F.col("text")).alias("s")), "shingles")
+    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first")), "shingle-nodes")
+    sets = stored(rows.select("node", "s").dropDuplicates(["node"]), "shingle-sets")
+    shared = shared_buckets(sets, similarity)
+    fits = lambda n, m: F.least(n, m) >= F.lit(similarity) * F.greatest(n, m)
+    least = shared.where("node = a").select("bucket", F.col("n").alias("m"))
+    star = shared.where("node <> a").join(least, "bucket").where(fits("n", "m")).select("a", F.col("node").alias("b")).distinct()
+    near = verified(star, sets, similarity)
     joined = stored(components(near), "simhash-stars")
-    grouped = nodes.join(joined, "node", "left").select("node", "fp", F.coalesce("component", "node").alias("group"))
-    more = verified(links(stored(grouped, "simhash-groups"), distance), docs, similarity)
+    grouped = stored(shared.drop("a").join(joined, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("group")), "simhash-groups")
+    ends = grouped.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    mixed = stored(grouped.join(stored(ends.where("low <> high").select("bucket"), "simhash-mixed"), "bucket"), "simhash-mixed-rows")
+    a, b = (mixed.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "group")]) for side in "ab")
+    other = (F.col("a_node") < F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & fits("a_n", "b_n")
+    more = a.join(b.withColumnRenamed("bucket", "other"), (F.col("bucket") == F.col("other")) & other)
+    more = verified(more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), sets, similarity)
     linked = components(near.unionByName(more))
     roots = nodes.join(linked, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     smallest = roots.groupBy("component").agg(F.min("first").alias("component_id"))
     final = stored(roots.join(smallest, "component").select("node", "component_id"), "simhash-roots")
-    return rows.join(final, "node").select("doc_id", "component_id")
+    return rows.select("doc_id", "node").join(final, "node").select("doc_id", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, distance: int = WORD_DISTANCE, similarity: float = SIMILARITY) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the smallest id of each component of :func:`similar_documents`; rows that share an id stay or go together, null ids stay."""
-    found = similar_documents(docs, distance, similarity)
+    found = similar_documents(docs, similarity)
     return without(docs, found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
 
 

@@ -137,3 +137,28 @@ def test_word_fingerprints_find_similar_documents(spark, sf_dir):
         if min(len(sets[a]), len(sets[b])) >= 0.8 * max(len(sets[a]), len(sets[b])) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
             found, near = found + 1, near + (bin(sh.word_fingerprint(a) ^ sh.word_fingerprint(b)).count("1") <= sh.WORD_DISTANCE)
     assert near >= 0.9 * found
+
+
+def test_similar_documents_of_other_edits(spark, monkeypatch):
+    """Appended passages, cut tails and replaced blocks: every pair of enough shingles is found, however far its word fingerprints lie apart."""
+    monkeypatch.setattr(sh, "COMMON", 3)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(900)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    made = []
+    for _ in range(60):
+        ws = draw(rng.randint(80, 400))
+        n = len(ws)
+        at = rng.randrange(n // 2)
+        made += [ws, ws + draw(n // 5), ws[: n - n // 6], ws[:at] + draw(n // 12) + ws[at + n // 12 :]]
+    made += [draw(40) + ["one", "common", "passage", "of", "six", "words"] for _ in range(30)]
+    made = [" ".join(ws) for ws in made]
+    sets, fps = [_shingles(t) for t in made], [sh.word_fingerprint(t) for t in made]
+    links = [(j, i) for i in range(len(made)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert sum(bin(fps[i] ^ fps[j]).count("1") > 8 for i, j in links) > 20
+    root = list(range(len(made)))
+    for _ in made:
+        for j, i in links:
+            root[i] = root[j] = min(root[i], root[j])
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in sh.similar_documents(docs).collect()} == dict(enumerate(root))
