@@ -21,8 +21,8 @@ from gridloom.llm.common import fold, stored, table
 from gridloom.llm.elias_fano import Section, build_section
 
 FOLD, HELD_OUT = 7, 2
-#: Pairs seen less often are left to the backoff weight of their first word.
-MIN_PAIRS = 3
+#: Pairs seen less often are left to the backoff weight of their first word; with 1 every pair is kept.
+MIN_PAIRS = 1
 DISCOUNT = 0.75
 #: Trie entries of a section, encoded section bytes of a round, tokens that are handled at once.
 SECTION_ENTRIES = 1_000_000

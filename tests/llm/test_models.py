@@ -156,6 +156,14 @@ def test_language_model_against_brute_force(spark, sf_dir):
         assert r["score"] == pytest.approx(exact, abs=0.1 * len(ts))
 
 
+def test_pairs_seen_once_are_scored(spark):
+    docs = spark.createDataFrame([(1, "red fox ran"), (2, "blue owl sat")], "doc_id long, text string")
+    assert {r["c"] for r in lm.count_pairs(docs).collect()} == {1} and lm.count_pairs(docs).count() == 8
+    asked = spark.createDataFrame([(1, "red fox"), (2, "red owl")], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in lm.score_texts(asked, docs).collect()}
+    assert score[1] > score[2] + 0.2
+
+
 def test_rounds_and_sections_add_up(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     one = {r["doc_id"]: r for r in lm.score_texts(docs, docs, entries=4000).collect()}
