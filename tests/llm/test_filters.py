@@ -90,6 +90,20 @@ def test_slots_that_contradict_are_no_match(spark):
     assert [r["doc_id"] for r in dc.contaminated(docs, bench).collect()] == [1]
 
 
+def test_items_of_one_template_and_repeated_copies(spark):
+    """Every item of a template is compared, at every place where its windows line up."""
+    item = "if x has 3 and y has 3 and z has 3 and w has 3 and v has 3 then all have 3"
+    other = item
+    for n in (4, 5, 6, 7, 8, 9):
+        other = other.replace("3", str(n), 1)
+    bench = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item), (2, other), (3, f"{other} . {item}")], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contaminated(docs, bench).collect()}
+    assert got == {(1, 1), (2, 2), (3, 1), (3, 2)}
+    first = bench.where("item_id = 1")
+    assert [r["doc_id"] for r in dc.contaminated(docs, first).orderBy("doc_id").collect()] == [1, 3]
+
+
 def test_leaks_against_brute_force(spark, sf_dir):
     got = {(r["doc_id"], r["item_id"]) for r in dc.op7_benchmark_decontamination(spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
