@@ -55,7 +55,7 @@ def _tokens(df: DataFrame, *key: str) -> DataFrame:
 
 def _benchmark_items(benchmark: DataFrame) -> DataFrame:
     """``item_id, key, t, v`` of the items with words, those of equal words once; ``key`` is what windows are taken of, the plain words of items below ``MIN_TOKENS``."""
-    items = _tokens(benchmark, "item_id").where(F.size("t") >= MIN_TOKENS).groupBy("t", "v").agg(F.min("item_id").alias("item_id"))
+    items = _tokens(benchmark, "item_id").where(F.size("t") > 0).groupBy("t", "v").agg(F.min("item_id").alias("item_id"))
     short = F.size("t") < MIN_TOKENS
     return stored(items.select("item_id", F.when(short, F.col("v")).otherwise(F.col("t")).alias("key"), short.alias("plain"), "t", "v"), "benchmark-items")
 
@@ -116,7 +116,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     span = lambda first, last, run: F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"), F.lit(run).alias("run"))
     runs = F.filter(F.zip_with(starts, ends, lambda a, b: span(a, b + F.col("len") - 1, True)), lambda r: r["last"] - r["first"] + 1 >= MIN_RUN)
     whole = (F.col("s.own_cover") >= MIN_COVER) | ((F.col("cover") >= MIN_COVER) & (F.col("s.shift") == F.col("best")))
-    spans = F.concat(F.when(whole, F.array(span(F.lit(0), F.col("n_tokens") - 1, False))).otherwise(F.array().cast("array<struct<first:int,last:int,run:boolean>>")), F.filter(runs, lambda _: F.lit(False)))
+    spans = F.concat(F.when(whole, F.array(span(F.lit(0), F.col("n_tokens") - 1, False))).otherwise(F.array().cast("array<struct<first:int,last:int,run:boolean>>")), runs)
     aligned = each.select("doc_id", "doc_hash", "template", "n_windows", "cover", F.col("s.shift").alias("shift"), F.explode(spans).alias("r"))
     members = stored(items.join(templates, ["key", "plain"]).select("item_id", "template"), "benchmark-members")
     return aligned.join(members, "template").select("doc_id", "doc_hash", "item_id", "n_windows", "cover", "shift", "r.first", "r.last", "r.run")
@@ -171,9 +171,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, doc_hash, item_id, n_windows, cover, n_slots, agreement`` of documents that hold a benchmark item.
 
     A pair counts if one of its alignments does: template windows cover ``MIN_COVER`` of the
-    item, and the placeholders
+    item, or a run of ``MIN_RUN`` words of it with ``MIN_SAME`` equal ones, and the placeholders
     there, if any, agree to ``MIN_AGREEMENT``; the figures are of the alignment that agrees most.
-    Items of fewer than ``MIN_TOKENS`` words match nothing. Items of
+    Items of fewer than ``MIN_TOKENS`` words are met word by word, with their values. Items of
     equal words are reported under the smallest id, those of equal templates each under its
     own. Null texts are empty and match nothing; a null id is an id; repeated rows give
     one pair. No documents or no items: no rows.

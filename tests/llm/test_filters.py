@@ -104,6 +104,21 @@ def test_items_of_one_template_and_repeated_copies(spark):
     assert [r["doc_id"] for r in dc.contaminated(docs, first).orderBy("doc_id").collect()] == [1, 3]
 
 
+def test_long_passages_and_short_items(spark):
+    """A passage below half of its item counts by its length, an item of few words if all its words are there."""
+    long = " ".join(f"{a}{b}" for a in "bcdfghjk" for b in "aeiouwy") + " ending here now"
+    taken = long.split()[10:35]
+    numbers = " ".join(str(n * n) for n in range(3, 23))
+    bench = spark.createDataFrame([(1, long), (2, "Who was Kepler?"), (3, numbers + " " + " ".join(reversed(long.split()))), (4, "at 7")], "item_id long, text string")
+    filler = "other words that say nothing of it"
+    docs = [
+        (1, f"{filler} {' '.join(taken)} {filler}"), (2, f"{filler} who was Kepler {filler}"), (3, f"{filler} {' '.join(taken[:12])} {filler}"), (4, " ".join(str(n + 90) for n in range(40))),
+        (5, "who was Galilei and kepler was who"), (6, f"{filler} {numbers} {filler}"), (7, "at 8 or at 9"), (8, "not at 7"),
+    ]
+    got = {(r["doc_id"], r["item_id"]) for r in dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1), (2, 2), (6, 3), (8, 4)}
+
+
 def test_leaks_against_brute_force(spark, sf_dir):
     got = {(r["doc_id"], r["item_id"]) for r in dc.op7_benchmark_decontamination(spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
