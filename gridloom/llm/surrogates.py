@@ -34,6 +34,12 @@ GIVEN_NAMES = {
 }
 TITLES = {"f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"], "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Господин", "Κύριος"]}
 
+# Characters of an IBAN by country; others end where their groups do.
+IBAN_SIZES = {c: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH DE GB GE IE ME RS", 23: "AE GI IL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VA", 25: "PT", 26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ CY DO HU LB PL", 29: "BR QA UA", 31: "MT",
+}.items() for c in codes.split()}
+
 # Letter classes whose members stand in for each other.
 LETTERS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóú", "àèìòù", "âêîôû", "äöü", "аеёиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "άέήίόύώ", "βγδζθκλμνξπρστφχψ"]
 
@@ -42,12 +48,15 @@ _GIVEN = {name.lower(): (pool, i) for pool in GIVEN_NAMES.values() for i, name i
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
 
 _CAPITAL = "[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+"
+#: Phone numbers with a country: in the usual four parts, and in any parts of 8 to 15 digits in all.
+_NATIONAL = r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{3,4}"
+_ABROAD = r"\+\(?\d(?:[ .-]?[()]?[ .-]?\d){7,14}"
 _SPOTTED = re.compile(
     r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
     r"|(?i:\b(?:token|key|secret|password|passwd|api_key)\b\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-]{12,})"
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))(?![\w]|\.\d)"
-    r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7})(?!\w)"
-    r"|(?<![\w+])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{3,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
+    r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?=(?: ?[A-Z0-9]){11})(?: ?[A-Z0-9]{4}){2,7}(?:[A-Z0-9]{1,3}| (?=[A-Z]*\d)[A-Z0-9]{1,3})?)(?!\w)"
+    rf"|(?<![\w+])(?P<phone>{_NATIONAL}(?![ .-]?\d)|{_ABROAD}(?![ .-]?\d)|{_NATIONAL}(?!\d)|{_ABROAD}(?!\d)|\(\d{{3}}\) ?\d{{3}}-\d{{4}}(?!\d)|\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?!\d))"
     r"|(?<!\d)(?P<ssn>\d{3}-\d{2}-\d{4})(?!\d)"
     r"|(?<!\d)(?P<card>\d(?:[ -]?\d){12,18})(?!\d)"
 )
@@ -165,6 +174,13 @@ def dressed(kind: str, original: str, surrogate: str) -> str:
     return surrogate
 
 
+def _iban_end(value: str) -> int:
+    """Where the number ends: after the characters of its country if a blank follows them, as words in capitals may follow."""
+    at = [i for i, c in enumerate(value) if c != " "]
+    size = IBAN_SIZES.get(value[:2], len(at))
+    return at[size] - 1 if size < len(at) and value[at[size] - 1] == " " else len(value)
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` of the entities of a text, in order and without overlap.
 
@@ -177,7 +193,8 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             kind = m.lastgroup
             if kind == "card" and not 13 <= len(re.sub(r"\D", "", m[kind])) <= 19:
                 continue
-            found.append((*m.span(kind), kind))
+            start, end = m.span(kind)
+            found.append((start, _iban_end(m[kind]) + start if kind == "iban" else end, kind))
     taken = [(a, b) for a, b, _ in found]
     for m in _NAMED.finditer(text):
         start, kind = m.start("words"), ""

@@ -148,6 +148,27 @@ def test_surrogates_keep_kind_and_identity():
     assert pii.replaced(MIXED, {})[0] == text and pii.replaced(MIXED, {})[0] != pii.replaced(MIXED, {("ip", "10.1.2.3"): 1})[0]
 
 
+def test_formats_of_account_and_phone_numbers():
+    ibans = [
+        "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "GB29 NWBK 6016 1331 9268 19", "NL91ABNA0417164300", "NL91 ABNA 0417 1643 00",
+        "FR1420041010050500013M02606", "FR14 2004 1010 0505 0001 3M02 606", "IT60X0542811101000000123456", "AT611904300234573201", "AT61 1904 3002 3457 3201",
+        "NO9386011117947", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S", "BE68 5390 0754 7034",
+    ]
+    phones = [
+        "+44 20 7946 0958", "+33 6 12 34 56 78", "+49 30 12345678", "+34 612 34 56 78", "+7 495 123-45-67", "+1 (437) 555-0689", "+442079460958", "+49 (0)30 1234-5678", "+1.437.555.0689",
+        "+49 171 123 456 78", "(437) 555-0689", "437-555-0689",
+    ]
+    for kind, values in (("iban", ibans), ("phone", phones)):
+        for value in values:
+            for text in (value, f"see {value}, please", f"({value})", f"{value} OR so"):
+                assert [(text[a:b], k) for a, b, k in pii.entities(text)] == [(value, kind)], text
+                out = pii.replaced(text, {})[0]
+                assert value not in out and len(out) == len(text) and [(b - a, k) for a, b, k in pii.entities(out)] == [(len(value), kind)]
+    text = "+1 (437) 555-0689 4111 1111 1111 1111"
+    assert [k for _, _, k in pii.entities(text)] == ["phone", "card"]
+    assert pii.entities("AB12 no number, +12 34 neither, DE89 3704") == []
+
+
 def test_cycles_are_one_to_one_and_move_everything():
     for size in (2, 3, 10, 97, 1000):
         images = [pii.next_on_cycle("k", "l", size, v) for v in range(size)]
