@@ -26,3 +26,10 @@ def test_stages_of_odd_rows(spark, odd_docs, no_docs, sf_dir):
         for _, stage in cp.STAGES[:-1]:
             out = stage(spark, docs, sf_dir)
             assert out.columns == docs.columns and out.count() <= docs.count()
+
+
+def test_a_leak_without_id_removes_only_itself(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    rows = [(None, f"Before it. {item}"), (None, "nothing of the kind"), (None, None), (1, item), (1, "another text"), (2, "clean")]
+    left = cp.decontaminate(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sorted(map(str, (tuple(r) for r in left))) == sorted(map(str, [rows[1], rows[2], rows[4], rows[5]]))
