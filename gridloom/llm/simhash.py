@@ -23,7 +23,7 @@ PROBE_COST = 32.0
 #: For documents compared by their shingles: words of a shingle, least similarity, and the differing bits of word fingerprints that pairs may have: all.
 SHINGLE, SIMILARITY, WORD_DISTANCE = 5, 0.8, BITS
 #: Texts whose shingles are counted to put common ones last, and from how many of them a shingle is common. Both change the cost, not the pairs.
-COUNTED, COMMON = 20_000, 8
+COUNTED, COMMON = 5_000, 4
 
 _VALUES = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLANES = (np.arange(8) * 256)[None, :]
@@ -231,11 +231,12 @@ def shingle_hashes(text):
     return let(words(ascii_lower(text)), of)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``pairs(a, b)`` whose ``sets(node, s)`` share ``similarity`` of their shingles; only sets in a pair are moved."""
+def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose texts share ``similarity`` of their shingles; only texts in a pair are read into shingles."""
     pairs = stored(pairs, "simhash-candidates")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-wanted")
-    sets = stored(sets.join(wanted, "node", "left_semi"), "simhash-shingles")
+    sets = texts(docs).select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
+    sets = stored(sets.groupBy("node").agg(F.first("text").alias("text")).select("node", shingle_hashes(F.col("text")).alias("s")), "simhash-shingles")
     side = lambda name: sets.select(F.col("node").alias(name), F.col("s").alias(f"s_{name}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     enough = common >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - common)
@@ -286,23 +287,23 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataF
     return rows.join(stored(final, "fingerprint-components"), "fp").select("doc_id", "fp", "component_id")
 
 
-def common_shingles(sets: DataFrame) -> np.ndarray:
-    """Shingles of ``COMMON`` or more of about ``COUNTED`` texts of ``sets(node, s)``, the rarest first."""
-    share = max(1, sets.count() // COUNTED)
-    counted = sets.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0).select(F.explode("s").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
+def common_shingles(docs: DataFrame, n: int) -> np.ndarray:
+    """Shingles of ``COMMON`` or more of about ``COUNTED`` of ``n`` documents, the rarest first."""
+    share = F.pmod(F.xxhash64(_node(F.col("text"))), F.lit(max(1, n // COUNTED)))
+    counted = texts(docs).where(share == 0).select(F.explode(shingle_hashes(F.col("text"))).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
     return counted.where(F.col("c") >= COMMON).orderBy("c", "h").select("h").toPandas()["h"].to_numpy(np.int64)
 
 
-def prefix_buckets(sets: DataFrame, similarity: float) -> DataFrame:
-    """``node, n, bucket``: size of the set and, one per row, the first shingles of each of ``sets(node, s)`` in one order of all shingles.
+def prefix_buckets(docs: DataFrame, n: int, similarity: float) -> DataFrame:
+    """``node, n, bucket`` of every text: the size of its set of shingles and, one per row, the first of them in one order of all shingles.
 
     If two sets share ``similarity`` of their union, they share at least that part of either, so
     each misses less than the rest of its own; of the first ``n - ceil(similarity * n) + 1`` of
     both, in any order that is the same for all sets, one is then shared. Uncommon ones come first.
     """
-    common = common_shingles(sets)
+    common = common_shingles(docs, n)
     by_value = np.argsort(common)
-    sent = sets.sparkSession.sparkContext.broadcast((common[by_value], by_value))
+    sent = docs.sparkSession.sparkContext.broadcast((common[by_value], by_value))
 
     @F.pandas_udf("array<long>")
     def first(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -319,12 +320,14 @@ def prefix_buckets(sets: DataFrame, similarity: float) -> DataFrame:
                 out.append(h[np.lexsort((h, place))[:keep]])
             yield pd.Series(out)
 
-    return sets.select("node", F.size("s").alias("n"), F.explode(first("s")).alias("bucket"))
+    sets = texts(docs).select(_node(F.col("text")).alias("node"), shingle_hashes(F.col("text")).alias("s"))
+    once = sets.select("node", F.size("s").alias("n"), first("s").alias("first")).dropDuplicates(["node"])
+    return once.select("node", "n", F.explode("first").alias("bucket"))
 
 
-def shared_buckets(sets: DataFrame, similarity: float) -> DataFrame:
+def shared_buckets(docs: DataFrame, n: int, similarity: float) -> DataFrame:
     """``bucket, node, n, a``: the rows of :func:`prefix_buckets` whose bucket holds more than one node, and ``a``, the smallest of them."""
-    rows = stored(prefix_buckets(sets, similarity), "simhash-buckets")
+    rows = stored(prefix_buckets(docs, n, similarity), "simhash-buckets")
     ends = rows.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     return stored(rows.join(stored(ends.where("a <> z").select("bucket", "a"), "simhash-shared"), "bucket"), "simhash-bucket-rows")
 
@@ -338,14 +341,13 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     group of copies leaves few pairs. Texts of equal words in order are one node; null and
     empty texts are one node too. Ids as in :func:`near_duplicates`. No rows: no rows.
     """
-    rows = stored(texts(docs).select("doc_id", _node(F.col("text")).alias("node"), shingle_hashes(F.col("text")).alias("s")), "shingles")
+    rows = stored(texts(docs).select("doc_id", _node(F.col("text")).alias("node")), "shingle-rows")
     nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first")), "shingle-nodes")
-    sets = stored(rows.select("node", "s").dropDuplicates(["node"]), "shingle-sets")
-    shared = shared_buckets(sets, similarity)
+    shared = shared_buckets(docs, rows.count(), similarity)
     fits = lambda n, m: F.least(n, m) >= F.lit(similarity) * F.greatest(n, m)
     least = shared.where("node = a").select("bucket", F.col("n").alias("m"))
     star = shared.where("node <> a").join(least, "bucket").where(fits("n", "m")).select("a", F.col("node").alias("b")).distinct()
-    near = verified(star, sets, similarity)
+    near = verified(star, docs, similarity)
     joined = stored(components(near), "simhash-stars")
     grouped = stored(shared.drop("a").join(joined, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("group")), "simhash-groups")
     ends = grouped.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
@@ -353,12 +355,12 @@ def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     a, b = (mixed.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "group")]) for side in "ab")
     other = (F.col("a_node") < F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & fits("a_n", "b_n")
     more = a.join(b.withColumnRenamed("bucket", "other"), (F.col("bucket") == F.col("other")) & other)
-    more = verified(more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), sets, similarity)
+    more = verified(more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), docs, similarity)
     linked = components(near.unionByName(more))
     roots = nodes.join(linked, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     smallest = roots.groupBy("component").agg(F.min("first").alias("component_id"))
     final = stored(roots.join(smallest, "component").select("node", "component_id"), "simhash-roots")
-    return rows.select("doc_id", "node").join(final, "node").select("doc_id", "component_id")
+    return rows.join(final, "node").select("doc_id", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
