@@ -111,8 +111,9 @@ class ByteNetwork:
 def fit_network(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE) -> ByteNetwork:
     """Fitted on labelled documents outside the held-out fold: of each language about 0.9 * ``max_per_language``
     at most, drawn by a hash of the id, and ``WINDOWS_PER_DOCUMENT`` windows of each at positions drawn from the whole text."""
-    known = docs.where((fold(F.col("doc_id"), FOLD) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", F.col("lang").alias("l"))
-    counts = docs.where(F.col("lang").isNotNull()).groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"))
+    taught = docs.where((fold(F.col("doc_id"), FOLD) != HELD_OUT) & F.col("lang").isNotNull())
+    known = taught.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "text", F.col("lang").alias("l"))
+    counts = taught.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"))
     counts = stored(counts, "language-counts")  # of known size, so that no text is moved to the count of its language
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * 0.9 * max_per_language / F.col("n")
 

@@ -20,8 +20,14 @@ def _digest(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("h"), F.hash(key).alias("g"))
 
 
-def frequent_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_length: int = 1) -> DataFrame:
-    """``h, g, documents`` of each line key that at least ``min_documents`` rows of ``docs`` hold.
+def document_lines(docs: DataFrame, min_length: int = 1) -> DataFrame:
+    """``i, t, pos, h, g``: id and text hash of the row, position and digest of each line whose key has ``min_length`` code points."""
+    rows = texts(docs).select(F.col("doc_id").alias("i"), F.xxhash64("text").alias("t"), F.posexplode(F.transform(F.split("text", "\n"), line_key)).alias("pos", "key"))
+    return rows.where(F.length("key") >= min_length).select("i", "t", "pos", _digest(F.col("key")).alias("d")).select("i", "t", "pos", "d.h", "d.g")
+
+
+def repeated_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_length: int = 1) -> DataFrame:
+    """``h, g`` of each line key that at least ``min_documents`` rows of ``docs`` hold, whatever their ids.
 
     Each key counts once per row, so counts combine before the shuffle and a line
     that is everywhere costs one row per task.
@@ -32,35 +38,39 @@ def frequent_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_leng
         .select(F.explode(F.filter(keys, lambda k: F.length(k) >= min_length)).alias("key"))
         .select(_digest(F.col("key")).alias("d"))
         .groupBy("d.h", "d.g")
-        .agg(F.count(F.lit(1)).alias("documents"))
-        .where(F.col("documents") >= min_documents)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(F.col("rows") >= min_documents)
+        .select("h", "g")
     )
 
 
+def frequent_lines(held: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """``h, g, documents`` of the line keys of ``held`` (rows of :func:`document_lines`) that at least ``min_documents`` documents hold.
+
+    Rows with one id are one document; rows without an id are one if their texts are equal.
+    """
+    document = F.coalesce(F.col("i").cast("string"), F.concat(F.lit("text "), F.col("t").cast("string")))
+    counted = held.select("h", "g", document.alias("document")).distinct().groupBy("h", "g").agg(F.count(F.lit(1)).alias("documents"))
+    return counted.where(F.col("documents") >= min_documents)
+
+
 def dedup_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_length: int = 1) -> DataFrame:
     """All columns of ``docs`` with the frequent lines taken out of ``text``, and ``__n_lines``, ``__n_dropped``.
 
-    Only (document, position, hash) of the lines is joined to the frequent keys and
-    only dropped positions are grouped by document, so the texts move at most once and
+    Lines that enough rows hold are found first, from counts that combine before the shuffle;
+    only their (document, position, digest) rows are kept, and distinct documents are counted
+    among them. Only dropped positions are grouped by document, so the texts move at most once and
     a line of a third of all documents splits like any skewed join side.
 
-    Null text: one empty line. Every row is a document of its own: a row that is there
-    twice counts twice; rows that share an id but not the text are kept apart. Null ids
-    are ids. Keys shorter than ``min_length`` code points always stay. No rows: no rows.
+    Null text: one empty line. Rows that share an id are one document when lines are
+    counted; rows without an id are one if their texts are equal. Each row loses its own
+    lines. Keys shorter than ``min_length`` code points always stay. No rows: no rows.
     """
     base = docs.withColumns({"__text": F.coalesce("text", F.lit("")), "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    lines = (
-        base.select(F.col("doc_id").alias("i"), F.col("__hash").alias("t"), F.posexplode(F.transform(F.split("__text", "\n"), line_key)).alias("pos", "key"))
-        .where(F.length("key") >= min_length)
-        .select("i", "t", "pos", _digest(F.col("key")).alias("d"))
-        .select("i", "t", "pos", "d.h", "d.g")
-    )
-    frequent = stored(frequent_lines(docs, min_documents, min_length).select("h", "g"), "frequent-lines")
-    dropped = (
-        lines.join(frequent, ["h", "g"])
-        .groupBy(F.col("i").alias("__i"), F.col("t").alias("__t"))
-        .agg(F.collect_set("pos").alias("__gone"))
-    )
+    repeated = stored(repeated_lines(docs, min_documents, min_length), "repeated-lines")
+    held = stored(document_lines(docs, min_length).join(repeated, ["h", "g"]), "held-lines")
+    frequent = stored(frequent_lines(held, min_documents).select("h", "g"), "frequent-lines")
+    dropped = held.join(frequent, ["h", "g"]).groupBy(F.col("i").alias("__i"), F.col("t").alias("__t")).agg(F.collect_set("pos").alias("__gone"))
     dropped = stored(dropped, "dropped-lines")
     joined = base.join(dropped, base["doc_id"].eqNullSafe(dropped["__i"]) & (base["__hash"] == dropped["__t"]), "left")
     gone = F.coalesce("__gone", F.array().cast("array<int>"))
@@ -87,12 +97,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH line AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  SELECT doc_id, md5(coalesce(text, '')) AS t, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM documents
 ), keyed AS (
   SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM line
 ), frequent AS (
-  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT coalesce(doc_id::VARCHAR, 'text ' || t)) >= 10
 ), marked AS (
   SELECT k.*, f.key IS NOT NULL AS gone FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 )

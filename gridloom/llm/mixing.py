@@ -152,12 +152,12 @@ def mixture(docs: DataFrame, target: MixTarget = MixTarget()) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, target: MixTarget = MixTarget()) -> DataFrame:
-    """``docs`` with ``copies``, how often a pass over the mixture meets the row; rows outside the mixture go."""
+    """``docs`` with ``copies``, how often a pass over the mixture meets the row, in place of a column of that name; rows outside the mixture go."""
     times = mixture(docs, target).groupBy(F.col("doc_id").alias("__i"), F.col("doc_hash").alias("__x")).agg(F.max("epoch").alias("__e"))
     times = stored(times, "mix-times")
     keyed = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = keyed.join(times, keyed["doc_id"].eqNullSafe(times["__i"]) & (keyed["__hash"] == times["__x"]))
-    return joined.select(*[keyed[f"`{name}`"] for name in docs.columns], (F.col("__e") + 1).cast("int").alias("copies"))
+    return joined.select(*[keyed[f"`{name}`"] for name in docs.columns if name != "copies"], (F.col("__e") + 1).cast("int").alias("copies"))
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import ascii_lower, let, stored, table, texts, without, words
+from gridloom.llm.common import stored, table, texts, without
 
 BITS = 64
 SEED = 42
@@ -20,10 +20,6 @@ BUCKET = 256
 SPLITS = 1
 #: Cost of one probe row against one compared pair: a probe is hashed, shuffled and sorted (1 to 2 microseconds), a pair is one comparison within a join.
 PROBE_COST = 32.0
-#: For documents compared by their shingles: words of a shingle, least similarity, and the differing bits of word fingerprints that pairs may have: all.
-SHINGLE, SIMILARITY, WORD_DISTANCE = 5, 0.8, BITS
-#: Texts whose shingles are counted to put common ones last, and from how many of them a shingle is common. Both change the cost, not the pairs.
-COUNTED, COMMON = 5_000, 4
 
 _VALUES = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLANES = (np.arange(8) * 256)[None, :]
@@ -60,11 +56,6 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return texts(docs).select("doc_id", of("text").alias("fp"))
 
 
-def word_fingerprint(text: str) -> int:
-    """64 bits over the distinct words; a changed word moves them less than it moves shingles. No words: 0."""
-    return fingerprint(b" ".join(set(text.encode("utf-8", "replace").lower().split())), 1)
-
-
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
     """The number of fingerprints and, for each pair of bits, how many have both set; a 64 x 64 sum per task."""
 
@@ -215,34 +206,6 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     return out.distinct()
 
 
-def _node(text):
-    """Hash of the lower-cased words in their order: copies that differ in blanks or case are one node."""
-    return F.xxhash64(F.array_join(words(ascii_lower(text)), " "))
-
-
-def shingle_hashes(text):
-    """The distinct hashes of the ``SHINGLE``-word shingles of a text; of the whole sequence if it is shorter."""
-
-    def of(ws):
-        at = F.sequence(F.lit(0), F.size(ws) - SHINGLE)
-        windows = F.transform(at, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(SHINGLE)]))
-        return F.array_distinct(F.when(F.size(ws) < SHINGLE, F.array(F.xxhash64(F.array_join(ws, " ")))).otherwise(windows))
-
-    return let(words(ascii_lower(text)), of)
-
-
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``pairs(a, b)`` whose texts share ``similarity`` of their shingles; only texts in a pair are read into shingles."""
-    pairs = stored(pairs, "simhash-candidates")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "simhash-wanted")
-    sets = texts(docs).select(_node(F.col("text")).alias("node"), "text").join(wanted, "node", "left_semi")
-    sets = stored(sets.groupBy("node").agg(F.first("text").alias("text")).select("node", shingle_hashes(F.col("text")).alias("s")), "simhash-shingles")
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("s").alias(f"s_{name}"))
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    enough = common >= F.lit(similarity) * (F.size("s_a") + F.size("s_b") - common)
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").where(enough).select("a", "b"), "simhash-verified")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``node, component``: the smallest node reachable, for every node of ``edges(a, b)``.
 
@@ -287,85 +250,9 @@ def near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataF
     return rows.join(stored(final, "fingerprint-components"), "fp").select("doc_id", "fp", "component_id")
 
 
-def common_shingles(docs: DataFrame, n: int) -> np.ndarray:
-    """Shingles of ``COMMON`` or more of about ``COUNTED`` of ``n`` documents, the rarest first."""
-    share = F.pmod(F.xxhash64(_node(F.col("text"))), F.lit(max(1, n // COUNTED)))
-    counted = texts(docs).where(share == 0).select(F.explode(shingle_hashes(F.col("text"))).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    return counted.where(F.col("c") >= COMMON).orderBy("c", "h").select("h").toPandas()["h"].to_numpy(np.int64)
-
-
-def prefix_buckets(docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """``node, n, bucket`` of every text: the size of its set of shingles and, one per row, the first of them in one order of all shingles.
-
-    If two sets share ``similarity`` of their union, they share at least that part of either, so
-    each misses less than the rest of its own; of the first ``n - ceil(similarity * n) + 1`` of
-    both, in any order that is the same for all sets, one is then shared. Uncommon ones come first.
-    """
-    common = common_shingles(docs, n)
-    by_value = np.argsort(common)
-    sent = docs.sparkSession.sparkContext.broadcast((common[by_value], by_value))
-
-    @F.pandas_udf("array<long>")
-    def first(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        values, rank = sent.value
-        for batch in batches:
-            out = []
-            for s in batch:
-                h = np.asarray(s, dtype=np.int64)
-                keep = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
-                place = np.full(len(h), -1)
-                if len(values):
-                    at = np.minimum(np.searchsorted(values, h), len(values) - 1)
-                    place = np.where(values[at] == h, rank[at], -1)
-                out.append(h[np.lexsort((h, place))[:keep]])
-            yield pd.Series(out)
-
-    sets = texts(docs).select(_node(F.col("text")).alias("node"), shingle_hashes(F.col("text")).alias("s"))
-    once = sets.select("node", F.size("s").alias("n"), first("s").alias("first")).dropDuplicates(["node"])
-    return once.select("node", "n", F.explode("first").alias("bucket"))
-
-
-def shared_buckets(docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """``bucket, node, n, a``: the rows of :func:`prefix_buckets` whose bucket holds more than one node, and ``a``, the smallest of them."""
-    rows = stored(prefix_buckets(docs, n, similarity), "simhash-buckets")
-    ends = rows.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z"))
-    return stored(rows.join(stored(ends.where("a <> z").select("bucket", "a"), "simhash-shared"), "bucket"), "simhash-bucket-rows")
-
-
-def similar_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, component_id`` for every row: documents that share ``similarity`` of their five-word shingles, directly or over others.
-
-    Candidates are the pairs of different texts that share a bucket of :func:`prefix_buckets`,
-    which every such pair does; each is checked on its shingles. Each text first meets the
-    smallest of every bucket that it stands in; what that joins is not compared again, so a large
-    group of copies leaves few pairs. Texts of equal words in order are one node; null and
-    empty texts are one node too. Ids as in :func:`near_duplicates`. No rows: no rows.
-    """
-    rows = stored(texts(docs).select("doc_id", _node(F.col("text")).alias("node")), "shingle-rows")
-    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("first")), "shingle-nodes")
-    shared = shared_buckets(docs, rows.count(), similarity)
-    fits = lambda n, m: F.least(n, m) >= F.lit(similarity) * F.greatest(n, m)
-    least = shared.where("node = a").select("bucket", F.col("n").alias("m"))
-    star = shared.where("node <> a").join(least, "bucket").where(fits("n", "m")).select("a", F.col("node").alias("b")).distinct()
-    near = verified(star, docs, similarity)
-    joined = stored(components(near), "simhash-stars")
-    grouped = stored(shared.drop("a").join(joined, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("group")), "simhash-groups")
-    ends = grouped.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
-    mixed = stored(grouped.join(stored(ends.where("low <> high").select("bucket"), "simhash-mixed"), "bucket"), "simhash-mixed-rows")
-    a, b = (mixed.select("bucket", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "group")]) for side in "ab")
-    other = (F.col("a_node") < F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & fits("a_n", "b_n")
-    more = a.join(b.withColumnRenamed("bucket", "other"), (F.col("bucket") == F.col("other")) & other)
-    more = verified(more.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), docs, similarity)
-    linked = components(near.unionByName(more))
-    roots = nodes.join(linked, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
-    smallest = roots.groupBy("component").agg(F.min("first").alias("component_id"))
-    final = stored(roots.join(smallest, "component").select("node", "component_id"), "simhash-roots")
-    return rows.join(final, "node").select("doc_id", "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with the smallest id of each component of :func:`similar_documents`; rows that share an id stay or go together, null ids stay."""
-    found = similar_documents(docs, similarity)
+def drop_near_duplicates(docs: DataFrame, distance: int = 3, width: int = 3) -> DataFrame:
+    """``docs`` with the smallest id of each component of :func:`near_duplicates`; rows that share an id stay or go together, null ids stay."""
+    found = near_duplicates(docs, distance, width)
     return without(docs, found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
 
 

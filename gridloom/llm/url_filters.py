@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import UPPER, LOWER, table
 
-#: Characters of all rules up to which the trie is sent to the tasks; longer lists are joined.
-MAX_TRIE_CHARS = 32_000_000
+#: Characters of all rules up to which the trie is sent to the tasks, where it takes about 45 bytes for each (90 MB); longer lists are joined.
+MAX_TRIE_CHARS = 2_000_000
 
 #: The rules of the query, as (host, path, verdict).
 QUERY_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -27,38 +27,67 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def normal_rules(rules: Iterable[tuple[str | None, str | None, str]]) -> list[tuple[str, str, str]]:
+    """Rules with host and path, verdicts in lower case, each (host, path) once: of two verdicts block decides."""
+    known: dict[tuple[str, str], str] = {}
+    for host, path, verdict in rules:
+        if host is not None and path is not None:
+            known[host, path] = max(verdict.lower(), known.get((host, path), ""))
+    return [(host, path, verdict) for (host, path), verdict in known.items()]
+
+
+class HostNode:
+    """Child labels, and the root of the paths of the rules for this host."""
+
+    __slots__ = ("labels", "paths")
+
+    def __init__(self):
+        self.labels: dict[str, HostNode] = {}
+        self.paths: PathNode | None = None
+
+
+class PathNode:
+    """Child segments, and the rules that end in the middle of the next segment, by that beginning."""
+
+    __slots__ = ("segments", "ends")
+
+    def __init__(self):
+        self.segments: dict[str, PathNode] = {}
+        self.ends: dict[str, tuple[str, str]] = {}
+
+
 class RuleTrie:
-    """Host labels from the right, then path segments. A node keeps the rules that end in the middle of its next segment."""
+    """Host labels from the right, then path segments."""
 
     def __init__(self, rules: Iterable[tuple[str, str, str]]):
-        self.hosts: dict = {}
-        for host, path, verdict in rules:
-            node = self.hosts
+        self.root = HostNode()
+        for host, path, verdict in normal_rules(rules):
+            node = self.root
             for label in reversed(host.split(".")):
-                node = node.setdefault(label, {})
+                node = node.labels.setdefault(label, HostNode())
+            if node.paths is None:
+                node.paths = PathNode()
             *segments, tail = path.split("/")
-            node = node.setdefault("", {})  # no label is empty in a rule, so '' leads to the paths
+            at = node.paths
             for segment in segments:
-                node = node.setdefault(("seg", segment), {})
-            known = node.setdefault("ends", {})
-            if known.get(tail, (None, "allow"))[1] != "block":  # the same rule twice: block decides
-                known[tail] = (host + path, verdict)
+                at = at.segments.setdefault(segment, PathNode())
+            at.ends[tail] = (host + path, verdict)
 
     def fit(self, host: str, path: str) -> tuple[str, str] | None:
-        """The rule with the most characters that fits, as (rule, verdict); of two equally long ones a block."""
-        best, node, segments = None, self.hosts, path.split("/")
+        """The rule with the most characters that fits, as (rule, verdict); of equally long ones a block, of these the last by name."""
+        best, node, segments = None, self.root, path.split("/")
         for label in reversed(host.split(".")):
-            node = node.get(label)
+            node = node.labels.get(label)
             if node is None:
                 break
-            at = node.get("")
+            at = node.paths
             for segment in segments:
                 if at is None:
                     break
-                for tail, found in at.get("ends", {}).items():
-                    if segment.startswith(tail) and (best is None or (len(found[0]), found[1]) > (len(best[0]), best[1])):
-                        best = found
-                at = at.get(("seg", segment))
+                for tail, (rule, verdict) in at.ends.items():
+                    if segment.startswith(tail) and (best is None or (len(rule), verdict, rule) > (len(best[0]), best[1], best[0])):
+                        best = rule, verdict
+                at = at.segments.get(segment)
         return best
 
 
@@ -67,13 +96,14 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default: str
 
     ``rules`` are (host, path, 'allow' | 'block'). A rule fits its host and every
     subdomain if the path starts with the rule's path. The rule with the most characters
-    decides, of equally long ones a block; without a rule the verdict is ``default``.
+    decides, of equally long ones a block, of these the last by name; without a rule the verdict is ``default``.
+    Rules without host or path are left out, and verdicts may be in any case.
     Lists of more than ``MAX_TRIE_CHARS`` characters go to :func:`judge_joined`.
 
     Null urls and urls without ``://`` have an empty host and path, which no rule fits.
     Repeated rows and null ids stay as they are, other columns are left out. No rows: no rows.
     """
-    rules = list(rules)
+    rules = normal_rules(rules)
     if sum(len(host) + len(path) for host, path, _ in rules) > MAX_TRIE_CHARS:
         spark = pages.sparkSession
         return judge_joined(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), default)

@@ -23,6 +23,13 @@ def test_urls_and_trie_against_every_rule(spark):
         fits = [(len(h + p), v, h + p) for h, p, v in rules if (r["host"] == h or r["host"].endswith("." + h)) and r["path"].startswith(p)]
         want = max(fits, default=(0, "allow", None))
         assert (r["rule"], r["verdict"]) == (want[2], want[1])
+    odd = [("z.net", "/b/", "block"), ("net", "/b/cd", "BLOCK"), ("net", "/b/c", "Allow"), ("net", "/b/c", "block"), ("net", "", "block"), (None, "/", "block"), ("org", None, "block"), ("a.net", "/", "allow"), ("net", "/ab", "allow")]
+    urls = ["http://z.net/b/cd", "http://ends..net/x", "http://..net", "http://x.org/", "http://a.net/ab", "http://net/b/c"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    first = uf.judge(pages, odd).collect()
+    second = uf.judge_joined(pages, spark.createDataFrame(odd, "host string, path string, verdict string")).collect()
+    assert sorted(map(str, first)) == sorted(map(str, second))
+    assert [(r["rule"], r["verdict"]) for r in sorted(first)] == [("z.net/b/", "block"), ("net", "block"), ("net", "block"), (None, "allow"), ("net/ab", "allow"), ("net/b/c", "block")]
     assert uf.judge(pages.where("1 = 0"), rules).count() == 0 and {r["verdict"] for r in uf.judge(pages, []).collect()} == {"allow"}
 
 
@@ -62,6 +69,14 @@ def test_lines_of_odd_rows(odd_docs, no_docs):
     assert ld.dedup_lines(no_docs).count() == 0
 
 
+def test_lines_count_documents(spark):
+    """Rows of one id are one document; rows without an id are one if their texts are equal."""
+    rows = [(1, f"{i}\none id") for i in range(10)] + [(None, "equal rows")] * 10 + [(None, f"{i}\nno id") for i in range(10)] + [(i, " Many\t") for i in range(2, 12)] + [(1, "many")]
+    got = [tuple(r) for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect()]
+    want = [(1, f"{i}\none id") for i in range(10)] + [(None, "equal rows")] * 10 + [(None, f"{i}") for i in range(10)] + [(i, "") for i in range(1, 12)]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 ITEM = "A train leaves Paris at 9 km per hour with 120 people and reaches London after 7 hours how many people are in it"
 
 

@@ -13,7 +13,7 @@ def test_stages_take_effect(spark, sf_dir):
     scored = {r["doc_id"]: r["predicted"] for r in quality_gam.score_documents(docs, labels).collect()}
     assert set(ids[1]) == {d for d in ids[0] if scored[d]}
     assert set(ids[2]) == set(ids[1])
-    roots = {r["component_id"] for r in simhash.similar_documents(steps[2]).collect()}
+    roots = {r["component_id"] for r in simhash.near_duplicates(steps[2]).collect()}
     assert set(ids[3]) == roots
     leaked = {r["doc_id"] for r in decontaminate.contaminated(steps[3], spark.read.parquet(f"{sf_dir}/benchmark.parquet")).collect()}
     assert set(ids[4]) == set(ids[3]) - leaked
@@ -26,6 +26,8 @@ def test_stages_of_odd_rows(spark, odd_docs, no_docs, sf_dir):
         for _, stage in cp.STAGES[:-1]:
             out = stage(spark, docs, sf_dir)
             assert out.columns == docs.columns and out.count() <= docs.count()
+        out = cp.mix(spark, docs, sf_dir)
+        assert out.columns == [*docs.columns, "copies"] and out.count() <= docs.count()
 
 
 def test_a_leak_without_id_removes_only_itself(spark, sf_dir):

@@ -1,4 +1,3 @@
-import itertools
 import random
 
 import numpy as np
@@ -90,75 +89,3 @@ def test_odd_rows(odd_docs, no_docs):
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(1) == 2 and 2 not in ids and 8 not in ids and ids.count(None) == 2
     assert sh.near_duplicates(no_docs).count() == 0 and sh.drop_near_duplicates(no_docs).count() == 0
-
-
-def _shingles(text):
-    tokens = text.encode().lower().split()
-    return {b" ".join(tokens[i : i + 5]) for i in range(max(1, len(tokens) - 4))}
-
-
-def test_similar_documents_against_all_pairs(spark):
-    """Edited copies in a large group, chains of edits and reordered words: every pair of enough shingles and near fingerprints, no other."""
-    rng = random.Random(5)
-    vocabulary = [f"w{i}" for i in range(400)]
-    base = [[rng.choice(vocabulary) for _ in range(rng.randint(4, 150))] for _ in range(60)]
-    made = [" ".join(ws) for ws in base]
-    for ws in base[:30] + [base[0]] * 150:
-        ws = list(ws)
-        for _ in range(rng.randint(0, 3)):
-            ws[rng.randrange(len(ws))] = rng.choice(vocabulary)
-        made.append(" ".join(ws))
-    made += ["a b", "b a", "A  b", "", None, made[0], " ".join(reversed(base[1]))]
-    texts = [t or "" for t in made]
-    sets, fps = [_shingles(t) for t in texts], [sh.word_fingerprint(t) for t in texts]
-    parent = list(range(len(texts)))
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i in range(len(texts)):
-        for j in range(i):
-            if bin(fps[i] ^ fps[j]).count("1") <= sh.WORD_DISTANCE and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                a, b = root(i), root(j)
-                parent[max(a, b)] = min(a, b)
-    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in sh.similar_documents(docs).collect()}
-    assert got == {i: root(i) for i in range(len(texts))}
-    assert sum(root_id == 0 for root_id in got.values()) > 50
-
-
-def test_word_fingerprints_find_similar_documents(spark, sf_dir):
-    """Of the pairs that share 0.8 of their shingles, at least 0.9 differ in few enough bits of their word fingerprints."""
-    docs = {r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect() if r["text"]}
-    sets, found, near = {t: _shingles(t) for t in docs}, 0, 0
-    for a, b in itertools.combinations(docs, 2):
-        if min(len(sets[a]), len(sets[b])) >= 0.8 * max(len(sets[a]), len(sets[b])) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-            found, near = found + 1, near + (bin(sh.word_fingerprint(a) ^ sh.word_fingerprint(b)).count("1") <= sh.WORD_DISTANCE)
-    assert near >= 0.9 * found
-
-
-def test_similar_documents_of_other_edits(spark, monkeypatch):
-    """Appended passages, cut tails and replaced blocks: every pair of enough shingles is found, however far its word fingerprints lie apart."""
-    monkeypatch.setattr(sh, "COMMON", 3)
-    rng = random.Random(8)
-    vocabulary = [f"w{i}" for i in range(900)]
-    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
-    made = []
-    for _ in range(60):
-        ws = draw(rng.randint(80, 400))
-        n = len(ws)
-        at = rng.randrange(n // 2)
-        made += [ws, ws + draw(n // 5), ws[: n - n // 6], ws[:at] + draw(n // 12) + ws[at + n // 12 :]]
-    made += [draw(40) + ["one", "common", "passage", "of", "six", "words"] for _ in range(30)]
-    made = [" ".join(ws) for ws in made]
-    sets, fps = [_shingles(t) for t in made], [sh.word_fingerprint(t) for t in made]
-    links = [(j, i) for i in range(len(made)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    assert sum(bin(fps[i] ^ fps[j]).count("1") > 8 for i, j in links) > 20
-    root = list(range(len(made)))
-    for _ in made:
-        for j, i in links:
-            root[i] = root[j] = min(root[i], root[j])
-    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
-    assert {r["doc_id"]: r["component_id"] for r in sh.similar_documents(docs).collect()} == dict(enumerate(root))
