@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from gridloom.llm.decontaminate import op7_benchmark_decontamination
 from gridloom.llm.language_cnn import op5_language_id
+from gridloom.llm.lexical_search import OP13_SQL, op13_ranked_search
 from gridloom.llm.line_dedup import OP8_SQL, op8_line_dedup
+from gridloom.llm.merkle import OP12_SQL, op12_merkle_manifest
 from gridloom.llm.mixing import OP9_SQL, op9_source_mixing
 from gridloom.llm.ngram_lm import op10_lm_scoring
 from gridloom.llm.quality_gam import op2_quality_classifier
 from gridloom.llm.quality_rules import OP6_SQL, op6_quality_rules
 from gridloom.llm.simhash import op1_simhash
 from gridloom.llm.surrogates import op4_pii_surrogates
+from gridloom.llm.toxicity import op11_toxicity
 from gridloom.llm.url_filters import OP3_SQL, op3_url_filters
 
 QUERIES = {
@@ -24,10 +27,15 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_toxicity": op11_toxicity,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLES = {
     "op3_url_filters": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
     "op9_source_mixing": OP9_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }

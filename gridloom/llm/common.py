@@ -45,10 +45,10 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus, F.lit(-1))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared scratch folder and read again: later steps neither repeat the work nor depend on its executors."""
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Written to the shared scratch folder and read again: later steps neither repeat the work nor depend on its executors. ``options`` are the writer's."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
