@@ -65,7 +65,6 @@ class DataConfig:
     strip_leading_slash: bool = False
     missing_bool: str = "null"
     infer_types: bool = False
-    multi_line: bool = False
 
     @classmethod
     def from_dict(cls, document: dict[str, Any]) -> DataConfig:

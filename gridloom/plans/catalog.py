@@ -54,7 +54,15 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = fr.table(spark, sf_dir, "conversations").select(F.lit("c").alias("kind"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text"))
     both = docs.unionByName(turns).withColumn("wide_id", F.col("id") + F.lit(9007199254740993000)).withColumn("text", F.concat(F.lit(' "'), "text", F.lit('", ')))
     path = write_table(both, scratch_path(spark, "csv"), "csv")
-    return read_table(spark, "CSV", path, infer=True, multi_line=True).select("kind", "id", "wide_id", F.sha2("text", 256).alias("text_sha256"))
+    return read_table(spark, "CSV", path, infer=True).select("kind", "id", "wide_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def csv_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes within cells that are not quoted, beside cells with line breaks and doubled quotes."""
+    docs = fr.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit('" pipe')).alias("size"), F.concat(F.lit(' "x",\n"y" '), "text").alias("text"))
+    path = scratch_path(spark, "csv")
+    docs.write.option("header", True).option("escape", '"').option("escapeQuotes", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_table(spark, "CSV", path, infer=True).select("doc_id", "size", F.sha2("text", 256).alias("text_sha256"))
 
 
 def csv_scan_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -569,7 +577,7 @@ def run_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        typed_cast, bool_parity, csv_text_roundtrip, csv_scan_typed, inferred_types, metadata_unpivot, feature_routing, metadata_counts, scoring_projection,
+        typed_cast, bool_parity, csv_text_roundtrip, csv_stray_quotes, csv_scan_typed, inferred_types, metadata_unpivot, feature_routing, metadata_counts, scoring_projection,
         profile_columns, distinct_counts, value_counts, problem_strings, bad_numeric_cells, bad_numeric_report, score_histogram,
         stratified_folds, plain_folds, fold_sizes, fold_train_validation, ordered_split, exact_sample, first_rows,
         scale_fit, scale_impute_apply, mode_impute, bool_impute, bool_as_number, onehot, onehot_na, passthrough, encoded_table,

@@ -210,6 +210,7 @@ ORACLES: dict[str, str] = {
     "bool_parity": f"WITH {_RAW} SELECT {_IDS}, {_FLAG} AS as_null, coalesce({_FLAG}, TRUE) AS as_true FROM raw",
     "csv_text_roundtrip": """SELECT kind, id, id + 9007199254740993000 AS wide_id, sha256(' "' || text || '", ') AS text_sha256
 FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'c', conv_id * 1000 + turn, text FROM conversations)""",
+    "csv_stray_quotes": """SELECT doc_id, doc_id || '" pipe' AS size, sha256(' "x",' || chr(10) || '"y" ' || text) AS text_sha256 FROM documents""",
     "csv_scan_typed": f"""WITH {_RAW}, typed AS ({_TYPED})
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, qty_text, flag_text, cat_text, tax_text FROM typed""",
     "inferred_types": f"WITH {_RAW} "

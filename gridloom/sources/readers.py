@@ -7,24 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions.coerce import NUMERIC_TEXT, blank_to_null
+from gridloom.sources.csv_records import csv_lines, has_open_lines, read_csv_records
 
 _INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 _BOOLEAN_TEXT = ("True", "TRUE", "true", "False", "FALSE", "false")
 _FORMATS = {"PARQUET": "parquet", "JSON": "json", "ORC": "orc"}
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header as text columns, null tokens turned into NULL.
 
-    Types are not inferred, so unused columns are pruned by the parser. Line by line
-    the files stay splittable; ``multi_line`` reads records with line breaks in quotes, a file
-    per task. Without it a line whose quotes do not close is an error, never two broken rows.
+    Types are not inferred, so unused columns are pruned by the parser. Files stay
+    splittable: where no record goes on in a second line they are parsed line by line, else by
+    :func:`~gridloom.sources.csv_records.read_csv_records`. A quote opens only at the beginning of a cell.
     """
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
-    if not multi_line:
-        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-        if not spark.read.text(path).where(quotes % 2 != 0).isEmpty():
-            raise ValueError(f"{path} has lines with open quotes; set multi_line to read line breaks inside quotes")
+    lines = csv_lines(spark, path)
+    if has_open_lines(lines):
+        raw = read_csv_records(spark, path, lines)
+    else:
+        raw = spark.read.option("header", True).option("escape", '"').csv(path)
     return raw.select(*[blank_to_null(F.col(f"`{name}`")).alias(name) for name in raw.columns])
 
 
@@ -78,14 +79,14 @@ def with_inferred_types(df: DataFrame) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, source: str, path: str, infer: bool = False, multi_line: bool = False) -> DataFrame:
-    """Scan ``path`` as ``source``: CSV, PARQUET, JSON, ORC or TABLE; ``multi_line`` is for CSV."""
+def read_table(spark: SparkSession, source: str, path: str, infer: bool = False) -> DataFrame:
+    """Scan ``path`` as ``source``: CSV, PARQUET, JSON, ORC or TABLE."""
     kind = source.upper()
     if kind not in ("CSV", "TABLE", *_FORMATS):
         raise ValueError(f"unsupported data source type: {source}")
     try:
         if kind == "CSV":
-            df = read_csv_text(spark, path, multi_line)
+            df = read_csv_text(spark, path)
         elif kind == "TABLE":
             df = spark.table(path)
         else:

@@ -1,13 +1,17 @@
+import csv
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.config import DataConfig, Dimension, ModelConfig, load_json, parse_space, sample_trials
-from gridloom.functions.coerce import to_boolean, to_category, to_number
+from gridloom.functions.coerce import NULL_TOKENS, to_boolean, to_category, to_number
 from gridloom.functions.keys import hash_key
 from gridloom.operators import audit
 from gridloom.operators.typing import apply_types, bool_to_double, scoring_columns, training_columns, validate_columns
+from gridloom.sources.csv_records import csv_lines, has_open_lines, state_after
 from gridloom.sources.metadata import FeaturePlan, read_metadata, route_features
 from gridloom.sources.readers import infer_types, read_table, with_inferred_types
 from gridloom.sources.writers import write_study, write_table
@@ -184,12 +188,72 @@ def test_csv_scan(spark, tmp_path):
 def test_csv_keeps_line_breaks_blanks_and_wide_ids(spark, tmp_path):
     rows = [(" a ", 'x\ny "z", w', 9007199254740993001), ("b", " ", 9007199254740993002)]
     path = write_table(spark.createDataFrame(rows, "id string, t string, wide long"), str(tmp_path / "out"), "csv")
-    back = read_table(spark, "CSV", path, infer=True, multi_line=True)
+    back = read_table(spark, "CSV", path, infer=True)
     assert dict(back.dtypes)["wide"] == "bigint"
     got = sorted(map(tuple, back.select("id", "wide", F.coalesce("t", F.lit(" "))).collect()))
     assert got == [(" a ", rows[0][2], rows[0][1]), ("b", rows[1][2], " ")]
-    with pytest.raises(ValueError, match="multi_line"):
-        read_table(spark, "CSV", path)
+
+
+def test_quotes_within_cells_are_data(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('a,b\n5" pipe,3\n"x, ""y""",\n ""z"", "\n')
+    assert [tuple(r) for r in read_table(spark, "CSV", str(tmp_path / "in.csv")).collect()] == [('5" pipe', "3"), ('x, "y"', None), (' ""z""', ' "')]
+
+
+def _cells(rng):
+    plain = rng.choice(["", "x", '5" pipe', "a b", '""', ' "', "NA", "12", 'q"'])
+    if not plain.startswith('"') and rng.random() < 0.5:
+        return plain
+    return '"' + "".join(rng.choice(["a", ",", "\n", '""', " ", "\r\n", "b,c", '""""', "é"]) for _ in range(rng.randrange(9))) + '"'
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_of_many_pieces(spark, tmp_path, seed):
+    """Files cut into pieces of some hundred bytes, with records that span several pieces, against Python's reader."""
+    rng = random.Random(seed)
+    want = []
+    for name in ("a.csv", "b.csv"):
+        end = rng.choice(["\n", "\r\n"])
+        lines = [",".join([str(i), _cells(rng), _cells(rng)]) for i in range(300)]
+        lines[40] = '40,"' + "long\n" * 400 + '",x'
+        if seed % 2:
+            lines[3:3] = [""]
+        text = end.join(["id,b,c", *lines, ""])
+        (tmp_path / name).write_bytes(text.encode())
+        want += [tuple(None if cell in NULL_TOKENS else cell for cell in row) for row in list(csv.reader(io.StringIO(text, newline="")))[1:] if row]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        lines = csv_lines(spark, str(tmp_path))
+        assert lines.select("file", "start").distinct().count() > 20 and has_open_lines(lines)
+        got = [tuple(r) for r in read_table(spark, "CSV", str(tmp_path)).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_states_of_lines(spark):
+    cases = {'a,"b': (1, 0), 'a"b': (0, 0), '"a","b"': (0, 0), '"a""': (1, 1), 'x","y': (0, 1), "plain": (0, 1), '5" pipe,"z': (1, 0), '""': (0, 1), '","': (0, 1), '': (0, 1)}
+    rows = spark.createDataFrame([(k,) for k in cases], "v string").select("v", state_after(F.col("v"), False), state_after(F.col("v"), True)).collect()
+
+    def slow(line, inside):
+        i, field = 0, True
+        while i < len(line):
+            c = line[i]
+            if inside:
+                if c == '"' and line[i + 1 : i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    inside, field = False, False
+            elif c == '"' and field:
+                inside = True
+            else:
+                field = c == ","
+            i += 1
+        return int(inside)
+
+    assert {r[0]: (r[1], r[2]) for r in rows} == {k: (slow(k, False), slow(k, True)) for k in cases}
 
 
 def test_an_e_in_a_number_counts_in_a_mixed_column(spark):
