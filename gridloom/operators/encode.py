@@ -12,12 +12,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
+from operator import add
 from typing import Any
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions.coerce import is_unparsable, to_number
 from gridloom.operators.ranks import row_numbers
@@ -25,10 +28,20 @@ from gridloom.operators.typing import require_columns
 from gridloom.sources.metadata import FeaturePlan
 from gridloom.sources.writers import read_document, write_document
 
+# How a dictionary is stored and looked up; none of these sizes changes a code.
 LITERAL_CATEGORIES = 64  # dictionaries up to this size are written into the plan, larger ones are joined
-COLLECTED_CATEGORIES = 10_000  # categories of one column the driver may hold
+COLLECTED_CATEGORIES = 10_000  # categories of one column the driver may hold; one-hot columns beyond are one sparse vector
 COLLECTED_TOTAL = 200_000  # categories of all columns the driver may hold
 
+# Codes of a category are ranks of mean labels, which a tree splits by threshold. Fixed value: rows of the overall mean
+# that are added to each category, so that rare ones do not take the extremes.
+CATEGORY_SMOOTH = 10.0
+CATEGORY_BINS = 256  # codes that the learner tells apart
+# A number that may be missing stands in the vector twice, missing below and above all others, so that a split can send it either way.
+MISSING_LOW, MISSING_HIGH = -1e300, 1e300
+HIGH_COPY = "__high"
+NUMERIC_KINDS = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double")
+
 Moments = tuple[int, float, float]  # count, mean, sum of squared deviations
 
 
@@ -54,12 +67,19 @@ def fold_moments(df: DataFrame, columns: Sequence[str], fold: str | None = None)
     return (df.groupBy(fold) if fold else df.groupBy()).agg(*stats)
 
 
-def category_counts(df: DataFrame, columns: Sequence[str], n_folds: int, fold: str | None = None) -> DataFrame:
-    """``(column_index, value, n)`` with one count per fold in ``n``; combined before the shuffle."""
+def category_counts(df: DataFrame, columns: Sequence[str], n_folds: int, fold: str | None = None, label: Column | None = None) -> DataFrame:
+    """``(column_index, value, n, s)`` with one count and one sum of labels per fold; combined before the shuffle."""
     cells = F.array(*[F.struct(F.lit(i).alias("column_index"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(columns)])
     fold_column = F.col(fold) if fold else F.lit(0)
-    long = df.select(fold_column.alias("fold"), F.inline(cells))
-    return long.groupBy("column_index", "value").agg(F.array(*[F.count_if(F.col("fold") == f) for f in range(n_folds)]).alias("n"))
+    long = df.select(fold_column.alias("fold"), (F.lit(0.0) if label is None else label).alias("y"), F.inline(cells))
+    in_fold = [F.col("fold") == f for f in range(n_folds)]
+    sums = [F.coalesce(F.sum(F.when(inside, F.col("y"))), F.lit(0.0)) for inside in in_fold]
+    return long.groupBy("column_index", "value").agg(F.array(*[F.count_if(inside) for inside in in_fold]).alias("n"), F.array(*sums).alias("s"))
+
+
+def smoothed(total: Any, n: Any, prior: Any) -> Any:
+    """Mean label of a category, drawn towards the overall mean; for numbers and columns."""
+    return (total + prior * CATEGORY_SMOOTH) / (n + CATEGORY_SMOOTH)
 
 
 @dataclass
@@ -70,6 +90,8 @@ class FittedEncoder:
     moments: dict[str, tuple[float, float]] = field(default_factory=dict)  # mean, standard deviation
     modes: dict[str, str] = field(default_factory=dict)
     categories: dict[str, list[str]] = field(default_factory=dict)
+    orders: dict[str, list[str | None]] = field(default_factory=dict)  # values of a plain category by code; None: missing
+    unknown: dict[str, float] = field(default_factory=dict)  # code of missing and unknown values
     saw_missing: list[str] = field(default_factory=list)  # category columns with missing training cells
     remainder: list[str] = field(default_factory=list)
     kinds: dict[str, str] = field(default_factory=dict)  # Spark type of the remainder columns
@@ -94,19 +116,62 @@ class FittedEncoder:
         mean, std = self.moments[name]
         return F.coalesce((F.col(f"`{name}`").cast("double") - F.lit(mean)) / F.lit(std), F.lit(0.0))
 
+    def _one_hot_names(self) -> list[tuple[str, str, list[str]]]:
+        """(label, source feature, slot names) of every one-hot column, in output order."""
+        out = []
+        for keep in (False, True):
+            for name in self._kept(self.plan.one_hot, keep):
+                if keep or name in self.modes:
+                    label = f"onehot_na__{name}" if keep else f"onehot__{name}"
+                    names = [f"{label}_{c}" for c in self.categories.get(name, [])]
+                    out.append((label, name, [*names, f"{label}_nan"] if keep and name in self.saw_missing else names))
+        return out
+
     def _one_hot(self) -> list[tuple[str, Column, str]]:
+        """One column per value; a sparse vector, added by :meth:`_with_wide`, for more than ``COLLECTED_CATEGORIES``."""
         slots = []
-        for name in self._kept(self.plan.one_hot, keep=False):
-            if name in self.modes:
-                value = F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(self.modes[name]))
-                slots += [(f"onehot__{name}_{c}", (value == c).cast("double"), name) for c in self.categories[name]]
-        for name in self._kept(self.plan.one_hot, keep=True):
+        for label, name, names in self._one_hot_names():
+            known = self.categories.get(name, [])
+            if len(known) > COLLECTED_CATEGORIES:
+                slots.append((label, F.col(f"`{label}`"), name))
+                continue
             value = F.col(f"`{name}`").cast("string")
-            slots += [(f"onehot_na__{name}_{c}", F.coalesce((value == c).cast("double"), F.lit(0.0)), name) for c in self.categories[name]]
-            if name in self.saw_missing:
-                slots.append((f"onehot_na__{name}_nan", value.isNull().cast("double"), name))
+            if name not in self.plan.keep_missing:
+                value = F.coalesce(value, F.lit(self.modes[name]))
+            slots += [(slot, F.coalesce((value == c).cast("double"), F.lit(0.0)), name) for slot, c in zip(names, known)]
+            if len(names) > len(known):
+                slots.append((names[-1], value.isNull().cast("double"), name))
         return slots
 
+    def _with_wide(self, df: DataFrame) -> DataFrame:
+        """Adds the sparse vectors, looked up in the dictionary; an unknown value has no entry."""
+        for label, name, names in self._one_hot_names():
+            known = self.categories.get(name, [])
+            if len(known) <= COLLECTED_CATEGORIES:
+                continue
+            kept = name in self.plan.keep_missing
+            value = F.col(f"`{name}`").cast("string")
+            value = value if kept else F.coalesce(value, F.lit(self.modes[name]))
+            df, found = self._joined(df, name, value, list(zip(known, map(float, range(len(known))))), label)
+            missing = float(len(known)) if len(names) > len(known) else float(len(names))
+            code = F.when(value.isNull(), F.lit(missing)).otherwise(F.coalesce(found, F.lit(float(len(names)))))
+            column = f"__hot_{label}"
+            df = df.withColumn(column, code.alias(column, metadata={"ml_attr": {"name": column, "type": "nominal", "num_vals": len(names)}}))
+            # the place behind the last value is that of invalid ones, which is then left out
+            encoder = OneHotEncoder(inputCol=column, outputCol=label, dropLast=True, handleInvalid="keep")
+            df = encoder.fit(df).transform(df)
+        return df
+
+    @staticmethod
+    def _joined(df: DataFrame, name: str, value: Column, dictionary: DataFrame | list, label: str) -> tuple[DataFrame, Column]:
+        """``df`` with the code of ``value`` from a dictionary; a list's size is known, so Spark's own threshold decides about a broadcast."""
+        if isinstance(dictionary, list):
+            dictionary = df.sparkSession.createDataFrame(dictionary, "value string, code double")
+        code, text, key = f"__code_{label}", f"__text_{label}", f"__key_{label}"
+        right = dictionary.select(F.col("value").alias(key), F.col("code").alias(code))
+        joined = df.withColumn(text, value).join(right, F.col(f"`{text}`") == F.col(f"`{key}`"), "left")
+        return joined, F.col(f"`{code}`")
+
     def _numbers(self) -> list[tuple[str, Column, str]]:
         names = self._kept(self.plan.numeric, keep=False)
         return [(f"num__{name}", self._scaled(name), name) for name in names if name in self.moments]
@@ -131,83 +196,73 @@ class FittedEncoder:
         """The transformed table: kept columns first, then the named feature columns.
 
         Missing cells of leave-as-missing features stay missing. Columns that were
-        not fitted are ignored; fitted columns must exist.
+        not fitted are ignored; fitted columns must exist. A one-hot column of more than
+        ``COLLECTED_CATEGORIES`` values is one sparse vector.
         """
         require_columns(df, self.inputs, "feature columns")
-        return df.select(*[F.col(f"`{name}`") for name in keep], *[expr.alias(name) for name, expr, _ in self.flat_columns()])
+        return self._with_wide(df).select(*[F.col(f"`{name}`") for name in keep], *[expr.alias(name) for name, expr, _ in self.flat_columns()])
 
     # --- model-ready output ---
 
-    def _code(self, df: DataFrame, name: str) -> tuple[DataFrame, Column, int | None]:
-        """Category code of a column; missing and unknown values share the code after the last one."""
-        value = F.col(f"`{name}`").cast("string")
+    def _coded(self, name: str) -> bool:
+        return name in self.orders or name in self.dictionaries
+
+    def _code(self, df: DataFrame, name: str) -> tuple[DataFrame, Column]:
+        """Category code of a column; missing and unknown values share one."""
+        value, label = F.col(f"`{name}`").cast("string"), f"cat__{name}"
         if name in self._plain_categories():
             value = F.coalesce(value, F.lit(self.modes[name]))
-        known = self.categories.get(name)
-        if known is not None and len(known) <= LITERAL_CATEGORIES:
-            code = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(c) for c in known]).cast("array<string>"), value), F.lit(0)) - 1, F.lit(len(known)))
-            return df, code.cast("double"), len(known) + 1
-        if known is not None:
-            # size known on the driver, so Spark's own threshold decides about a broadcast
-            dictionary = df.sparkSession.createDataFrame(list(zip(known, range(len(known)))), "value string, code long")
-            unknown, arity = len(known), len(known) + 1
-        else:
-            dictionary, unknown, arity = self.dictionaries[name], -1, None
-        code, text = f"__code_{name}", f"__text_{name}"
-        right = dictionary.select(F.col("value").alias(f"__key_{name}"), F.col("code").alias(code))
-        df = df.withColumn(text, value).join(right, F.col(f"`{text}`") == F.col(f"`__key_{name}`"), "left")
-        return df, F.coalesce(F.col(f"`{code}`"), F.lit(unknown)).cast("double"), arity
+        unknown = F.lit(float(self.unknown[name]))
+        order = self.orders.get(name)
+        if order is not None and len(order) <= LITERAL_CATEGORIES:
+            values = F.array(*[F.lit(c) for c in order]).cast("array<string>")
+            return df, F.coalesce((F.nullif(F.array_position(values, value), F.lit(0)) - 1).cast("double"), unknown)
+        known = self.dictionaries[name] if order is None else [(c, float(i)) for i, c in enumerate(order) if c is not None]
+        df, code = self._joined(df, name, value, known, label)
+        return df, F.coalesce(code, unknown)
 
     def feature_frame(self, df: DataFrame, keep: Sequence[str] = (), out: str = "features") -> DataFrame:
         """Kept columns and one feature vector without missing entries.
 
-        Leave-as-missing numbers become the training mean plus a 0/1 indicator,
-        plain categories become nominal codes that the tree learner splits by subset.
+        Leave-as-missing numbers stand in two slots, missing below and above all values; plain
+        categories become the rank of their mean label. Both are split by threshold.
         """
         require_columns(df, self.inputs, "feature columns")
-        numeric = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double"}
-        slots: list[Column] = [expr.alias(name) for name, expr, _ in self._numbers()]
-
-        def nominal(df: DataFrame, name: str, label: str) -> DataFrame:
-            df, code, arity = self._code(df, name)
-            attribute: dict[str, Any] = {"name": label, "type": "numeric"}
-            if arity is not None:
-                attribute = {"name": label, "type": "nominal", "vals": [*self.categories[name], "\x00missing"]}
-            slots.append(code.alias(label, metadata={"ml_attr": attribute}))
-            return df
-
+        df = self._with_wide(df)
+        slots = [(name, expr) for name, expr, _ in self._numbers()]
         for name in self._plain_categories():
-            df = nominal(df, name, f"cat__{name}")
-        slots += [expr.alias(name) for name, expr, _ in [*self._one_hot(), *self._binaries()]]
+            df, code = self._code(df, name)
+            slots.append((f"cat__{name}", code))
+        slots += [(name, expr) for name, expr, _ in self._one_hot()]
+        slots += [(name, expr) for name, expr, _ in self._binaries()]
         for name in self.remainder:
-            column, label = F.col(f"`{name}`"), f"remainder__{name}"
-            if name in self.categories or name in self.dictionaries:
-                df = nominal(df, name, label)
-            elif self.kinds[name] in numeric:
-                fill = self.moments[name][0] if name in self.moments else 0.0
-                slots.append(F.coalesce(column.cast("double"), F.lit(fill)).alias(label))
-                slots.append(column.isNull().cast("double").alias(f"{label}__isnull"))
-        names = [name for name, _ in self.vector_slots()]
-        flat = df.select(*[F.col(f"`{name}`") for name in keep], *slots)
-        return VectorAssembler(inputCols=names, outputCol=out).transform(flat).select(*keep, out)
+            label = f"remainder__{name}"
+            if self._coded(name):
+                df, code = self._code(df, name)
+                slots.append((label, code))
+            elif self.kinds[name] in NUMERIC_KINDS:
+                value = F.col(f"`{name}`").cast("double")
+                value = F.when(~F.isnan(value), value)
+                slots += [(label, F.coalesce(value, F.lit(MISSING_LOW))), (f"{label}{HIGH_COPY}", F.coalesce(value, F.lit(MISSING_HIGH)))]
+        flat = df.select(*[F.col(f"`{name}`") for name in keep], *[expr.alias(label) for label, expr in slots])
+        return VectorAssembler(inputCols=[label for label, _ in slots], outputCol=out).transform(flat).select(*keep, out)
 
     def vector_slots(self) -> list[tuple[str, str]]:
         """(slot name, source feature) of every vector entry, in order."""
-        numeric = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double"}
         slots = [(name, source) for name, _, source in self._numbers()]
         slots += [(f"cat__{name}", name) for name in self._plain_categories()]
-        slots += [(name, source) for name, _, source in [*self._one_hot(), *self._binaries()]]
+        slots += [(name, source) for _, source, names in self._one_hot_names() for name in names]
+        slots += [(name, source) for name, _, source in self._binaries()]
         for name in self.remainder:
-            if name in self.categories or name in self.dictionaries:
+            if self._coded(name):
                 slots.append((f"remainder__{name}", name))
-            elif self.kinds[name] in numeric:
-                slots += [(f"remainder__{name}", name), (f"remainder__{name}__isnull", name)]
+            elif self.kinds[name] in NUMERIC_KINDS:
+                slots += [(f"remainder__{name}", name), (f"remainder__{name}{HIGH_COPY}", name)]
         return slots
 
     def max_arity(self) -> int:
-        """Largest number of codes of a nominal slot; the tree learner needs as many bins."""
-        nominal = [*self._plain_categories(), *self.remainder]
-        return max([len(self.categories[name]) + 1 for name in nominal if name in self.categories], default=0)
+        """Bins that the tree learner needs to tell category codes apart; 0 without categories."""
+        return CATEGORY_BINS if any(map(self._coded, [*self._plain_categories(), *self.remainder])) else 0
 
     # --- persistence ---
 
@@ -224,6 +279,9 @@ class FittedEncoder:
         state.pop("dictionary_columns", None)
         plan = FeaturePlan(**state.pop("plan"))
         moments = {name: tuple(pair) for name, pair in state.pop("moments").items()}
+        if "orders" not in state:  # older documents number plain categories by their names
+            state["orders"] = {name: known for name, known in state["categories"].items() if name not in plan.one_hot}
+            state["unknown"] = {name: float(len(known)) for name, known in state["orders"].items()}
         return cls(plan=plan, moments=moments, categorical_mappings=document.get("categorical_mappings", {}), **state)
 
     def save(self, spark: SparkSession, path: str) -> str:
@@ -244,12 +302,14 @@ class FittedEncoder:
 class FeatureEncoder:
     """Unfitted preprocessing of the features in a plan.
 
-    ``keep_unused`` also passes through columns that the plan does not use.
+    ``keep_unused`` also passes through columns that the plan does not use. Dictionaries of more than ``collected``
+    values (``COLLECTED_CATEGORIES``) stay tables, with the same codes.
     """
 
-    def __init__(self, plan: FeaturePlan, keep_unused: bool = False):
+    def __init__(self, plan: FeaturePlan, keep_unused: bool = False, collected: int | None = None):
         self.plan = plan
         self.keep_unused = keep_unused
+        self.collected = collected
 
     def fit(self, df: DataFrame) -> FittedEncoder:
         """Fit on all rows."""
@@ -293,52 +353,93 @@ class FeatureEncoder:
                     constant = std <= 10 * 2.220446049250313e-16 * max(abs(mean), 1e-300)
                     encoder.moments[name] = (mean, 1.0 if constant else std)
 
+    def _label(self, df: DataFrame) -> Column:
+        """The target as a number, 0 where it is none."""
+        target = self.plan.target
+        if target not in df.columns or not isinstance(df.schema[target].dataType, (T.NumericType, T.BooleanType)):
+            return F.lit(0.0)
+        return F.coalesce(F.col(f"`{target}`").cast("double"), F.lit(0.0))
+
     def _fit_categories(self, df: DataFrame, cats: list[str], fold: str | None, fitted: list[FittedEncoder]) -> None:
         n_folds = len(fitted)
-        counts = category_counts(df, cats, n_folds, fold).persist(StorageLevel.MEMORY_AND_DISK)
+        most = COLLECTED_CATEGORIES if self.collected is None else self.collected
+        counts = category_counts(df, cats, n_folds, fold, self._label(df))
+
+        def training(column: str, f: int) -> Column:
+            parts = [F.col(column)[i] for i in range(n_folds) if fold is None or i != f]
+            return reduce(add, parts) if parts else F.lit(0)
+
+        # counts and label sums of the training set of every fold
+        counts = counts.select("column_index", "value", *[F.array(*[training(c, f) for f in range(n_folds)]).alias(c) for c in ("n", "s")])
+        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sizes = {row["column_index"]: row["n"] for row in counts.groupBy("column_index").agg(F.count("*").alias("n")).collect()}
-            collected, total = [], 0
-            for i in sorted(sizes, key=sizes.get):
-                if sizes[i] <= COLLECTED_CATEGORIES and total + sizes[i] <= COLLECTED_TOTAL:
+            # a one-hot column is as wide as its values, so the driver holds their names in any case
+            collected = [i for i in sizes if cats[i] in self.plan.one_hot]
+            total = 0
+            for i in sorted(set(sizes) - set(collected), key=lambda i: (sizes[i], i)):
+                if sizes[i] <= most and total + sizes[i] <= COLLECTED_TOTAL:
                     collected.append(i)
                     total += sizes[i]
             rows = counts.where(F.col("column_index").isin(collected)).collect() if collected else []
-            by_column: dict[int, list[tuple[str | None, list[int]]]] = {i: [] for i in collected}
+            by_column: dict[int, list[Any]] = {i: [] for i in collected}
             for row in rows:
-                by_column[row["column_index"]].append((row["value"], row["n"]))
+                by_column[row["column_index"]].append(row)
             for i, entries in by_column.items():
                 for f, encoder in enumerate(fitted):
-                    seen = {v: sum(n) - (n[f] if fold else 0) for v, n in entries}
-                    if seen.get(None):
-                        encoder.saw_missing.append(cats[i])
-                    present = {v: n for v, n in seen.items() if v is not None and n > 0}
-                    encoder.categories[cats[i]] = sorted(present)
-                    if present:
-                        encoder.modes[cats[i]] = min(present, key=lambda v: (-present[v], v))
+                    self._fit_small(cats[i], {r["value"]: (r["n"][f], r["s"][f]) for r in entries if r["n"][f]}, encoder)
             for i in sorted(set(sizes) - set(collected)):
-                self._fit_large(counts.where(F.col("column_index") == i), cats[i], fold, fitted)
+                for f, encoder in enumerate(fitted):
+                    one = counts.where((F.col("column_index") == i) & (F.col("n")[f] > 0))
+                    self._fit_large(one.select("value", F.col("n")[f].alias("n"), F.col("s")[f].alias("s")), cats[i], encoder)
         finally:
             counts.unpersist()
 
-    def _fit_large(self, counts: DataFrame, name: str, fold: str | None, fitted: list[FittedEncoder]) -> None:
-        """A dictionary that stays a table: codes in value order, modes by aggregate."""
+    def _fit_small(self, name: str, seen: dict[str | None, tuple[int, float]], encoder: FittedEncoder) -> None:
+        """A dictionary on the driver, from counts and label sums of one training set."""
+        present = {v: n for v, (n, _) in seen.items() if v is not None}
+        if None in seen:
+            encoder.saw_missing.append(name)
+        if present:
+            encoder.modes[name] = min(present, key=lambda v: (-present[v], v))
         if name in self.plan.one_hot:
-            raise ValueError(f"column '{name}' has too many values for one-hot columns; use it as a plain category")
-        total = F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b)
-        training = [total - (F.col("n")[f] if fold else F.lit(0)) for f in range(len(fitted))]
-        present = counts.where(F.col("value").isNotNull())
-        best = present.agg(
-            *[F.min(F.struct((-training[f]).alias("n"), F.col("value"))).alias(f"best{f}") for f in range(len(fitted))]
-        ).first()
-        missing = counts.where(F.col("value").isNull()).agg(*[F.max(training[f]).alias(f"m{f}") for f in range(len(fitted))]).first()
-        numbered = row_numbers(present, [F.col("value")], "__row").withColumn("code", F.col("__row") - 1)
-        for f, encoder in enumerate(fitted):
-            encoder.dictionaries[name] = numbered.where(training[f] > 0).select("value", "code")
-            if best[f"best{f}"] is not None:
-                encoder.modes[name] = best[f"best{f}"]["value"]
-            if missing[f"m{f}"]:
-                encoder.saw_missing.append(name)
+            encoder.categories[name] = sorted(present)
+            return
+        if name not in self.plan.keep_missing and None in seen and present:  # missing cells become the mode
+            (n, s), (m, t), mode = seen[None], seen[encoder.modes[name]], encoder.modes[name]
+            seen = {**{v: x for v, x in seen.items() if v is not None}, mode: (n + m, s + t)}
+        prior = sum(s for _, s in seen.values()) / max(1, sum(n for n, _ in seen.values()))
+        means = {v: smoothed(s, n, prior) for v, (n, s) in seen.items()}
+        order = sorted(means, key=lambda v: (means[v], v is not None, v or ""))
+        encoder.categories[name] = sorted(present)
+        encoder.orders[name] = order
+        encoder.unknown[name] = float(order.index(None)) if None in seen else sum(m < prior for m in means.values()) - 0.5
+
+    def _fit_large(self, counts: DataFrame, name: str, encoder: FittedEncoder) -> None:
+        """The same dictionary as a table: the mode by an aggregate, codes numbered range by range."""
+        totals = counts.agg(
+            F.min(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("value"), F.col("s")))).alias("best"),
+            F.max(F.when(F.col("value").isNull(), F.struct("n", "s"))).alias("missing"),
+            F.sum("n").alias("n"), F.sum("s").alias("s"),
+        ).first()
+        best, missing = totals["best"], totals["missing"]
+        if missing is not None:
+            encoder.saw_missing.append(name)
+        if best is not None:
+            encoder.modes[name] = best["value"]
+        rows, kept = counts, missing is not None
+        if name not in self.plan.keep_missing and missing is not None and best is not None:
+            at_mode = F.col("value") == best["value"]
+            rows = rows.where(F.col("value").isNotNull()).withColumns(
+                {"n": F.when(at_mode, F.col("n") + missing["n"]).otherwise(F.col("n")), "s": F.when(at_mode, F.lit(missing["s"]) + F.col("s")).otherwise(F.col("s"))}
+            )
+            kept = False
+        prior = (totals["s"] or 0.0) / max(1, totals["n"] or 0)
+        rows = rows.select("value", smoothed(F.col("s"), F.col("n"), F.lit(prior)).alias("m"))
+        numbered = row_numbers(rows, [F.col("m"), F.col("value")], "__row").select("value", "m", (F.col("__row") - 1).cast("double").alias("code"))
+        facts = numbered.agg(F.max(F.when(F.col("value").isNull(), F.col("code"))).alias("missing"), F.count_if(F.col("m") < prior).alias("below")).first()
+        encoder.dictionaries[name] = numbered.where(F.col("value").isNotNull()).select("value", "code")
+        encoder.unknown[name] = facts["missing"] if kept else facts["below"] - 0.5
 
 
 def out_of_fold(df: DataFrame, fitted: Sequence[FittedEncoder], keep: Sequence[str], fold: str = "fold") -> DataFrame:

@@ -17,9 +17,9 @@ from pyspark.sql.window import Window
 
 from gridloom.functions import trees
 from gridloom.functions.trees import Tree
+from gridloom.operators.ensemble import model_nodes
 from gridloom.operators.folds import exact_sample, first_rows
 from gridloom.operators.train import BoostedTrees, TrainedModel
-from gridloom.session import scratch_path
 
 # Method names a configuration may use.
 METHODS = {"shap": "shap", "treeinterpreter": "path", "path": "path"}
@@ -28,27 +28,8 @@ METHODS = {"shap": "shap", "treeinterpreter": "path", "path": "path"}
 
 
 def node_table(spark: SparkSession, trained: TrainedModel) -> DataFrame:
-    """One row per tree node with its split, value, cover and tree weight, read from the model's own Parquet form."""
-    path = scratch_path(spark, "nodes")
-    trained.model.write().save(path)
-    weights = spark.read.parquet(f"{path}/treesMetadata").select(F.col("_1").alias("tree"), F.col("_3").alias("weight"))
-    node, split = F.col("nodeData"), F.col("nodeData.split")
-    return (
-        spark.read.parquet(f"{path}/data")
-        .select(
-            F.col("treeID").alias("tree"),
-            node["id"].alias("node"),
-            node["leftChild"].alias("left"),
-            node["rightChild"].alias("right"),
-            node["prediction"].alias("value"),
-            node["rawCount"].alias("cover"),
-            node["gain"].alias("gain"),
-            split["featureIndex"].alias("slot"),
-            split["numCategories"].alias("n_categories"),
-            split["leftCategoriesOrThreshold"].alias("split"),
-        )
-        .join(weights, "tree")
-    )
+    """The nodes of a trained model, see :func:`~gridloom.operators.ensemble.model_nodes`."""
+    return model_nodes(spark, trained.model)
 
 
 def collect_trees(nodes: DataFrame) -> list[Tree]:
@@ -60,19 +41,20 @@ def collect_trees(nodes: DataFrame) -> list[Tree]:
     for number in sorted(by_tree):
         rows = sorted(by_tree[number], key=lambda r: r["node"])
         inner = [r["left"] >= 0 for r in rows]
-        nominal = np.array([i and r["n_categories"] >= 0 for i, r in zip(inner, rows)])
-        width = max([r["n_categories"] for r, n in zip(rows, nominal) if n], default=0)
+        nominal = np.array([i and r["codes"] is not None for i, r in zip(inner, rows)])
+        # one place more than the largest code that goes left, for all codes beyond
+        width = max([int(max(r["codes"], default=-1)) + 2 for r, n in zip(rows, nominal) if n], default=0)
         left_codes = np.zeros((len(rows), width), dtype=bool)
         for i, row in enumerate(rows):
             if nominal[i]:
-                left_codes[i, [int(code) for code in row["split"]]] = True
+                left_codes[i, [int(code) for code in row["codes"]]] = True
         ensemble.append(
             Tree(
                 weight=rows[0]["weight"],
                 left=np.array([r["left"] for r in rows]),
                 right=np.array([r["right"] for r in rows]),
                 slot=np.array([r["slot"] if i else 0 for i, r in zip(inner, rows)]),
-                threshold=np.array([r["split"][0] if i and not n and r["split"] else 0.0 for i, n, r in zip(inner, nominal, rows)]),
+                threshold=np.array([r["threshold"] if i and not n else 0.0 for i, n, r in zip(inner, nominal, rows)]),
                 value=np.array([r["value"] for r in rows]),
                 cover=np.array([float(r["cover"]) for r in rows]),
                 nominal=nominal,
@@ -95,12 +77,17 @@ def contributions(trained: TrainedModel, df: DataFrame, keep: Sequence[str], met
     ``margin`` is bias plus all contributions: the raw score of the positive class, or
     the regression value. One narrow stage; rows travel to Python in Arrow batches.
     """
+    return ensemble_contributions(node_table(df.sparkSession, trained), df, keep, method)
+
+
+def ensemble_contributions(nodes: DataFrame, df: DataFrame, keep: Sequence[str], method: str = "shap") -> DataFrame:
+    """The same for an ensemble that is given as a table of nodes."""
     kind = METHODS.get(method.lower())
     if kind is None:
         raise ValueError(f"unsupported importance method: {method}")
     spark = df.sparkSession
     # plain arrays, bounded by the training parameters
-    ensemble = spark.sparkContext.broadcast([vars(tree) for tree in collect_trees(node_table(spark, trained))])
+    ensemble = spark.sparkContext.broadcast([vars(tree) for tree in collect_trees(nodes)])
     prepare = _PREPARE[kind]
     fields = [df.schema[name] for name in keep]
     schema = T.StructType(
@@ -197,11 +184,14 @@ def explain(
     return Explanation(method.lower(), values, slots)
 
 
+def split_counts(nodes: DataFrame) -> DataFrame:
+    """``(slot, n_splits)`` of an ensemble's inner nodes."""
+    return nodes.where("left >= 0").groupBy("slot").agg(F.count(F.lit(1)).alias("n_splits"))
+
+
 def split_importance(spark: SparkSession, trained: TrainedModel) -> DataFrame:
     """How often each feature is split on, with the learner's gain importance."""
-    splits = (
-        node_table(spark, trained).where("left >= 0").groupBy("slot").agg(F.count(F.lit(1)).alias("n_splits"))
-    )
+    splits = split_counts(node_table(spark, trained))
     gains = trained.model.featureImportances.toArray().tolist()
     rows = [(i, slot, float(gains[i]) if i < len(gains) else 0.0) for i, (slot, _) in enumerate(trained.slots)]
     names = spark.createDataFrame(rows, "slot int, feature string, gain_importance double")

@@ -70,7 +70,7 @@ class SearchResult:
 def run_fold(fold: FoldData, params: dict[str, Any], problem_type: str, metric: str, label: str, seed: int, patience: int = PATIENCE) -> float | None:
     """Train on the other folds with early stopping on this one and return the validation metric."""
     trees = BoostedTrees(problem_type, params, label, seed)
-    trained = trees.fit(fold.training, fold.encoder.vector_slots(), fold.encoder.max_arity(), fold.validation, patience)
+    trained = trees.fit(fold.training, fold.encoder.vector_slots(), fold.encoder.max_arity(), fold.validation, patience, metric)
     scored = trained.score(fold.validation, [label])
     return evaluate(scored, problem_type, metric, label, "prediction").first()["metric"]
 

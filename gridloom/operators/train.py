@@ -14,7 +14,8 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.operators.metrics import class_weights, evaluate
+from gridloom.operators.ensemble import model_nodes, staged_margins, staged_metrics
+from gridloom.operators.metrics import REGRESSION_METRICS, class_weights, evaluate
 from gridloom.session import checkpoint_root
 from gridloom.sources.writers import read_document, write_document
 
@@ -154,6 +155,17 @@ class BoostedTrees:
             weight = F.when(F.col(self.label) == value, F.lit(w)).otherwise(weight)
         return df.withColumn(_WEIGHT, weight) if weights else df
 
+    def _losses(self, model: Any, validation: DataFrame, watch: str | None) -> list[float]:
+        """One number per beginning of the ensemble, smaller is better; rows of one class tell nothing."""
+        regression = self.problem_type == "regression"
+        metric = watch if watch in (REGRESSION_METRICS if regression else ("rocauc",)) else "rmse" if regression else "rocauc"
+        nodes = model_nodes(validation.sparkSession, model)
+        staged = staged_margins(nodes, validation, vector_to_array("features"), [self.label])
+        n_rows = 0 if regression else validation.count() * model.getNumTrees
+        found = {r["n_trees"]: r["metric"] for r in staged_metrics(staged, self.label, metric, n_rows=n_rows).collect()}  # one row per tree
+        sign = 1.0 if regression else -1.0
+        return [sign * (found.get(i) or 0.0) for i in range(1, model.getNumTrees + 1)]
+
     def fit(
         self,
         df: DataFrame,
@@ -161,9 +173,13 @@ class BoostedTrees:
         max_arity: int = 0,
         validation: DataFrame | None = None,
         patience: int = PATIENCE,
+        watch: str | None = None,
     ) -> TrainedModel:
         """Train on ``features`` and the label; with ``validation`` keep the best number of trees.
 
+        Best by ``watch`` (``rocauc``, ``rmse`` or ``mae``): the area under the ROC curve for
+        classes, the root of the mean squared error for numbers, if nothing is given.
+
         The learner bins the rows and keeps its own compact copy, so the input is not cached here.
         """
         checkpoint_root(df.sparkSession)  # long boosting runs cut their lineage there
@@ -173,9 +189,7 @@ class BoostedTrees:
         model = learner.fit(self._weighted(df, weights))
         params = dict(self.params)
         if validation is not None:
-            held_out = self._weighted(validation, weights)
-            losses = model.evaluateEachIteration(held_out, "squared") if self.problem_type == "regression" else model.evaluateEachIteration(held_out)
-            params["best_iteration"] = best_length(losses, patience)
+            params["best_iteration"] = best_length(self._losses(model, validation, watch), patience)
             model = first_trees(model, params["best_iteration"])
         return TrainedModel(model, self.problem_type, params, list(slots))
 

@@ -18,7 +18,9 @@ from gridloom.operators.search import cross_validate_search, encode_folds
 from gridloom.operators.train import BoostedTrees, TrainedModel
 from gridloom.operators.typing import apply_types, bool_to_double, scoring_columns
 from gridloom.plans import frames as fr
+from gridloom.plans.frames import rounded
 from gridloom.plans.run import TabularRun
+from gridloom.plans.tree_queries import TREE_QUERIES
 from gridloom.session import scratch_path
 from gridloom.sources.metadata import FeaturePlan, route_features, wide_to_long
 from gridloom.sources.readers import infer_types, read_table, with_inferred_types
@@ -30,11 +32,6 @@ RAW_TYPES = {"qty_text": "float", "flag_text": "bool", "cat_text": "category", "
 N_FOLDS = 5
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that both engines print the same value."""
-    return df.select(*[F.round(F.col(f"`{n}`"), digits).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes])
-
-
 # --- scans and typing ---------------------------------------------------------
 
 
@@ -589,5 +586,6 @@ QUERIES: dict[str, Query] = {
         group_binary, group_regression, group_contributions_path, group_contributions_shap, group_importance, group_split_count,
         group_train_metric, group_surrogate, group_search,
         non_numeric_codes, encoder_roundtrip, model_roundtrip, run_predictions, run_study, run_importance, run_contributions,
+        *TREE_QUERIES,
     )
 }

@@ -54,9 +54,11 @@ def compare(spark, con, name, query, sql, sf_dir):
 if __name__ == "__main__":
     sys.path.insert(0, ".")
     from gridloom.plans.catalog import QUERIES
-    from gridloom.plans.oracles import ORACLES
+    from gridloom.plans.oracles import ORACLES as TABLE_ORACLES
+    from gridloom.plans.tree_queries import TREE_ORACLES
     from gridloom.session import build_session
 
+    ORACLES = {**TABLE_ORACLES, **TREE_ORACLES}
     sf = sys.argv[1]
     only = sys.argv[2:] or list(QUERIES)
     session = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="16g", spark__ui__showConsoleProgress="false")

@@ -80,7 +80,49 @@ def test_vector_has_no_missing_and_keeps_names(table, plan):
     names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
     assert [names[i] for i in sorted(names)] == [name for name, _ in fitted.vector_slots()]
     assert all(not math.isnan(v) for r in frame.collect() for v in r["features"].toArray())
-    assert {a["name"] for a in attrs["nominal"]} == {"cat__cat"}
+    assert "nominal" not in attrs
+    at = [name for name, _ in fitted.vector_slots()].index("remainder__raw")
+    raw = {r["id"]: tuple(r["features"].toArray()[at : at + 2]) for r in frame.collect()}
+    assert raw == {1: (10.0, 10.0), 2: (encode.MISSING_LOW, encode.MISSING_HIGH), 3: (30.0, 30.0), 4: (40.0, 40.0), 5: (50.0, 50.0)}
+    assert fitted.vector_slots()[at : at + 2] == [("remainder__raw", "raw"), ("remainder__raw__high", "raw")]
+
+
+def test_category_codes_are_ranks_of_mean_labels(spark):
+    rows = [(i, "abcde"[i % 5], [0.0, 4.0, 2.0, 9.0, 2.0][i % 5]) for i in range(100)]
+    rows += [(i, None, 6.0) for i in range(100, 120)] + [(120, "rare", 1000.0)]
+    df = spark.createDataFrame(rows, "id int, c string, y double")
+    kept = FeatureEncoder(FeaturePlan(["id"], "y", categorical=["c"], keep_missing=["c"])).fit(df)
+    assert kept.orders["c"] == ["a", "c", "e", "b", None, "d", "rare"] and kept.unknown["c"] == 4.0
+    new = spark.createDataFrame([(1, "d"), (2, None), (3, "new"), (4, "a")], "id int, c string")
+    assert {r["id"]: r["features"][0] for r in kept.feature_frame(new, ["id"]).collect()} == {1: 5.0, 2: 4.0, 3: 4.0, 4: 0.0}
+    filled = FeatureEncoder(FeaturePlan(["id"], "y", categorical=["c"])).fit(df)
+    assert filled.modes["c"] == "a" and None not in filled.orders["c"] and filled.unknown["c"] % 1 == 0.5
+    assert {r["id"]: r["features"][0] for r in filled.feature_frame(new, ["id"]).collect()}[2] == filled.orders["c"].index("a")
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_stored_sizes_change_no_vector(spark, sf_dir, monkeypatch, limit, tmp_path):
+    """Dictionaries in the plan, joined or kept as tables, for the whole table and for folds: the same codes, also of missing and unknown values."""
+    df = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        "p_partkey", F.when(F.col("p_size") > 3, F.col("p_type")).alias("t"), F.when(F.col("p_size") < 48, F.col("p_brand")).alias("b"),
+        F.col("p_size").cast("string").alias("s"), F.when(F.col("p_size") != 9, F.substring("p_name", 1, 3)).alias("o"), (F.col("p_retailprice") > 1400).cast("int").alias("label"),
+    )
+    plan = FeaturePlan(["p_partkey"], "label", categorical=["t", "b"], one_hot=["s", "o"], keep_missing=["b", "o"])
+    folded = assign_folds(df, 3, ["p_partkey"], target="label")
+    new = folded.withColumns({"t": F.when(F.col("p_partkey") % 7 == 0, F.lit("new")).otherwise(F.col("t")), "s": F.when(F.col("p_partkey") % 5 == 0, F.lit("new")).otherwise(F.col("s"))})
+
+    def vectors():
+        encoders = [FeatureEncoder(plan).fit(df), *FeatureEncoder(plan).fit_folds(folded, 3)]
+        loaded = FittedEncoder.load(spark, encoders[0].save(spark, str(tmp_path / f"enc{encode.COLLECTED_CATEGORIES}")))
+        return [e.vector_slots() for e in encoders], [{r[0]: tuple(r[1].toArray()) for r in e.feature_frame(new, ["p_partkey"]).collect()} for e in [*encoders, loaded]]
+
+    want = vectors()
+    assert want[1][0] == want[1][-1]
+    for name in ("LITERAL_CATEGORIES", "COLLECTED_CATEGORIES", "COLLECTED_TOTAL"):
+        monkeypatch.setattr(encode, name, limit)
+    assert vectors() == want
+    flat = FeatureEncoder(plan).fit(df).transform(new, ["p_partkey"])
+    assert {"onehot__s"} | ({"onehot_na__o"} if not limit else set()) <= set(flat.columns) and flat.count() == df.count()
 
 
 def test_all_missing_columns_are_dropped(spark, plan):
@@ -101,13 +143,10 @@ def test_fold_statistics_equal_direct_fit(spark, sf_dir, limit, monkeypatch):
     for f, got in enumerate(FeatureEncoder(plan).fit_folds(folded, 3)):
         want = FeatureEncoder(plan).fit(folded.where(F.col("fold") != f))
         assert got.moments["price"] == pytest.approx(want.moments["price"], rel=1e-12)
-        assert got.modes == want.modes and got.categories == want.categories and got.saw_missing == want.saw_missing
-        a = got.feature_frame(folded, ["o_orderkey"])
-        assert a.count() == folded.count()
-        if limit:
-            b = want.feature_frame(folded, ["o_orderkey"])
-            va = {r[0]: r[1][1] for r in a.collect()}
-            assert va == {r[0]: r[1][1] for r in b.collect()}
+        assert got.modes == want.modes and got.categories == want.categories and got.saw_missing == want.saw_missing and got.unknown == want.unknown
+        va = {r[0]: r[1][1] for r in got.feature_frame(folded, ["o_orderkey"]).collect()}
+        assert len(va) == folded.count()
+        assert va == {r[0]: r[1][1] for r in want.feature_frame(folded, ["o_orderkey"]).collect()}
 
 
 def test_large_dictionary_joins_equal_literals(spark, sf_dir, monkeypatch, tmp_path):

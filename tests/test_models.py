@@ -8,11 +8,13 @@ import sys
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gridloom.config import parse_space
 from gridloom.functions import trees as tree_code
+from gridloom.operators import ensemble as en
 from gridloom.operators import explain as ex
 from gridloom.operators import metrics as m
 from gridloom.operators.encode import FeatureEncoder
@@ -145,11 +147,21 @@ def _brute_force(tree, x):
     return tree.weight * phi
 
 
-def test_shap_equals_coalition_enumeration(spark, trained, monkeypatch):
-    model, data, ids = trained
+def _nominal(frame):
+    """A model that splits a category by subsets of its codes, as models saved by older versions do."""
+    df, plan = frame
+    code = F.when(F.col("l_returnflag") == "A", 1.0).when(F.col("l_returnflag") == "N", 0.0).otherwise(2.0)
+    flat = df.select(*plan.ids, "label", "l_quantity", code.alias("flag", metadata={"ml_attr": {"name": "flag", "type": "nominal", "vals": ["N", "A", "R"]}}))
+    data = VectorAssembler(inputCols=["l_quantity", "flag"], outputCol="features").transform(flat)
+    return BoostedTrees("classification", PARAMS).fit(data, [("q", "q"), ("flag", "flag")]), data, plan.ids
+
+
+@pytest.mark.parametrize("nominal", [False, True])
+def test_shap_equals_coalition_enumeration(spark, frame, trained, monkeypatch, nominal):
+    model, data, ids = _nominal(frame) if nominal else trained
     trees = ex.collect_trees(ex.node_table(spark, model))
     arrays = [vars(t) for t in trees]
-    assert any(t.nominal.any() for t in trees)
+    assert any(t.nominal.any() for t in trees) == nominal
     x = np.array([r["features"].toArray() for r in data.orderBy(*ids).limit(25).collect()])
     want = np.array([sum(_brute_force(t, row) for t in trees) for row in x])
     run = tree_code.shap_batches(arrays)
@@ -159,6 +171,41 @@ def test_shap_equals_coalition_enumeration(spark, trained, monkeypatch):
     assert np.allclose(tree_code.shap_batches(arrays)(x[:2])[1], want[:2], atol=1e-10)
 
 
+@pytest.mark.parametrize("nominal", [False, True])
+def test_native_walk_equals_the_model(spark, frame, trained, nominal):
+    model, data, ids = _nominal(frame) if nominal else trained
+    nodes, x = ex.node_table(spark, model), vector_to_array("features")
+    native = en.path_contributions(nodes, data, x, len(model.slots), ids).toPandas().set_index(ids).sort_index()
+    arrow = ex.contributions(model, data, ids, "path").toPandas().set_index(ids).sort_index()
+    assert np.allclose(native["margin"], arrow["margin"], atol=1e-9)
+    assert np.allclose(np.vstack(native["contributions"]), np.vstack(arrow["contributions"]), atol=1e-9)
+    staged = en.staged_margins(nodes, data, x, [*ids, "label"])
+    for n in (1, 3, 6):
+        cut = TrainedModel(first_trees(model.model, n), "classification", PARAMS)
+        raw = cut.model.transform(data).select(*ids, vector_to_array("rawPrediction")[1].alias("raw")).toPandas().set_index(ids).sort_index()["raw"]
+        part = staged.select(*ids, F.col("staged")[n - 1].alias("m")).toPandas().set_index(ids).sort_index()["m"]
+        assert np.allclose(raw, part, atol=1e-9)
+
+
+def test_early_stopping_watches_the_metric(frame):
+    """The number of trees is that of the best beginning, each scored alone."""
+    df, plan = frame
+    encoder = FeatureEncoder(plan).fit(df)
+    noisy = F.when(F.xxhash64(*plan.ids) % 5 == 0, 1 - F.col("label")).otherwise(F.col("label"))
+    data = encoder.feature_frame(df.withColumn("label", noisy), [*plan.ids, "label"]).cache()
+    train, held_out = data.where(F.col("l_orderkey") % 4 != 0), data.where(F.col("l_orderkey") % 4 == 0)
+    params = {**PARAMS, "n_estimators": 8, "learning_rate": 0.9, "num_leaves": 32}
+    for problem, watch in (("classification", None), ("regression", "mae"), ("regression", None)):
+        trees = BoostedTrees(problem, params)
+        full = trees.fit(train, encoder.vector_slots(), encoder.max_arity())
+        cuts = [TrainedModel(first_trees(full.model, n), problem, params).score(held_out, ["label"]) for n in range(1, 9)]
+        metric = watch or ("rocauc" if problem == "classification" else "rmse")
+        alone = [m.evaluate(c, problem, metric, "label", "prediction").first()["metric"] for c in cuts]
+        best = best_length([-a for a in alone] if metric == "rocauc" else alone, 3)
+        kept = trees.fit(train, encoder.vector_slots(), encoder.max_arity(), held_out, patience=3, watch=watch)
+        assert kept.params["best_iteration"] == best == kept.model.getNumTrees
+
+
 def test_explain_ranks_and_rolls_up(trained):
     model, data, ids = trained
     result = ex.explain(model, data, ids, "shap", fraction=0.2)

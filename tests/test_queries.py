@@ -2,7 +2,10 @@ import pytest
 
 from compare import compare, connect
 from gridloom.plans.catalog import QUERIES
-from gridloom.plans.oracles import ORACLES
+from gridloom.plans.oracles import ORACLES as TABLE_ORACLES
+from gridloom.plans.tree_queries import TREE_ORACLES
+
+ORACLES = {**TABLE_ORACLES, **TREE_ORACLES}
 
 MODEL_QUERIES = sorted(set(QUERIES) - set(ORACLES))
 
