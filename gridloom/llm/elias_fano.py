@@ -134,9 +134,9 @@ def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def build_section(first: int, end: int, words: np.ndarray, counts: np.ndarray, backoff: np.ndarray, context: np.ndarray, follower: np.ndarray, gain: np.ndarray) -> bytes:
     """Two levels of a trie for the words with hashes in [first, end).
 
-    Level 1: sorted word hashes, running counts, quantised backoff weights and monotone
-    pointers into level 2. Level 2: per context the sorted follower hashes, offset so that the
-    whole level increases, and quantised gains over the unigram.
+    Level 1: sorted word hashes, running counts, quantised backoff weights (log10 of what the followers of a word
+    leave over) and monotone pointers into level 2. Level 2: per context the sorted follower hashes, offset so
+    that the whole level increases, and quantised gains: log10 of the discounted share of a follower over its unigram.
     """
     order = np.argsort(words)
     words, counts, backoff = words[order], counts[order], backoff[order]
@@ -174,17 +174,18 @@ class Section:
             count[same] = (self.counts.at(hit + 1) - self.counts.at(hit)).astype(np.int64)
         return node, count
 
-    def after(self, node: np.ndarray, follower: np.ndarray) -> np.ndarray:
-        """What the bigram adds to the unigram's log10 probability: the gain of a known follower, else the backoff weight.
+    def after(self, node: np.ndarray, follower: np.ndarray, left: float | None = None) -> np.ndarray:
+        """What the bigram adds to the unigram's log10 probability: the backoff weight (log10 ``left``, where that is
+        given), together with the gain of a known follower.
 
         The successor is sought from the context's offset and must lie between its pointers.
         """
-        value = self.backoff_book[self.backoff[node]].astype(float)
+        value = self.backoff_book[self.backoff[node]].astype(float) if left is None else np.full(len(node), np.log10(left))
         begin, stop = self.pointers.at(node).astype(np.int64), self.pointers.at(node + 1).astype(np.int64)
         some = np.flatnonzero(begin < stop)
         if len(some):
             x = (node[some].astype(U64) << U64(FOLLOWER_BITS)) + (follower[some] >> U64(64 - FOLLOWER_BITS))
             at, same = self.followers.successor(x)
             same &= (at >= begin[some]) & (at < stop[some])
-            value[some[same]] = self.gain_book[self.gain[at[same]]]
+            value[some[same]] = np.log10(10.0 ** self.gain_book[self.gain[at[same]]].astype(float) + 10.0 ** value[some[same]])
         return value

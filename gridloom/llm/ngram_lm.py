@@ -1,8 +1,9 @@
 """Scores of a bigram language model held in an Elias-Fano trie.
 
-Counting, smoothing and cutting into sections of the hash range are Spark jobs; a section is
-encoded in one task. Sections travel in rounds of bounded size, each task maps the sections of
-a round from a scratch file and answers the look-ups of its documents as whole arrays.
+Pairs of neighbours are shuffled twice: to their second word, where they are counted and meet its
+probability, and to the section of their first word, where a task encodes them. A context with more
+followers than a section holds is cut by ranges of followers. Sections travel in rounds of bounded size; each task
+maps the sections of a round from a scratch file and answers the look-ups of its documents as whole arrays.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import fold, stored, table
-from gridloom.llm.elias_fano import Section, build_section
+from gridloom.llm.elias_fano import FOLLOWER_BITS, Section, build_section
 
 FOLD, HELD_OUT = 7, 2
-#: Pairs seen less often are left to the backoff weight of their first word; with 1 every pair is kept.
+#: Every pair of neighbours is kept, however rare.
 MIN_PAIRS = 1
 DISCOUNT = 0.75
 #: Trie entries of a section, encoded section bytes of a round, tokens that are handled at once.
@@ -76,25 +77,28 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInPandas(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def count_pairs(train: DataFrame, least: int = MIN_PAIRS) -> DataFrame:
-    """``a, b, c`` of the pairs of neighbours seen ``least`` times or more.
+#: Parts that the pairs of one second word are dealt to.
+PARTS = 8
 
-    Pairs leave a task sorted by their first word and are dealt by it and three bits of
-    the second, which spreads frequent words and keeps the shuffle compressible.
+
+def count_pairs(train: DataFrame) -> DataFrame:
+    """``a, b, part, c`` of all pairs of neighbours, dealt by ``b`` and ``part``, three bits of ``a``.
+
+    Pairs leave a task sorted by their second word, which keeps the shuffle compressible.
     """
 
     def count(batches):
         for _, lengths, hashes in _token_chunks(pdf["text"] for pdf in batches):
             before = _before(hashes, lengths)
-            order = np.lexsort((hashes, before))
+            order = np.lexsort((before, hashes))
             a, b = before[order], hashes[order]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
             at = np.flatnonzero(new)
             yield pd.DataFrame({"a": a[at].astype(np.int64), "b": b[at].astype(np.int64), "c": np.diff(np.append(at, len(a))).astype(np.int32)})
 
     pairs = train.select("text").mapInPandas(count, "a long, b long, c int")
-    dealt = pairs.withColumn("part", F.col("b").bitwiseAND(7).cast("tinyint")).repartition("a", "part")
-    return dealt.groupBy("a", "part", "b").agg(F.sum("c").alias("c")).where(F.col("c") >= least).select("a", "b", "c")
+    dealt = pairs.withColumn("part", F.col("a").bitwiseAND(PARTS - 1).cast("int")).repartition("b", "part")
+    return dealt.groupBy("b", "part", "a").agg(F.sum("c").alias("c"))
 
 
 def section_of(h, sections: int):
@@ -108,55 +112,71 @@ def _bounds(section: int, sections: int) -> tuple[int, int]:
     return first, end
 
 
+def slice_of(follower: np.ndarray, slices: int) -> np.ndarray:
+    """Which of equal ranges of unsigned hashes holds a follower, from its top 20 bits."""
+    return ((follower >> np.uint64(44)).astype(np.int64) * slices) >> 20
+
+
 def build_trie(train: DataFrame, entries: int = SECTION_ENTRIES) -> tuple[DataFrame, int, int]:
-    """``section, blob`` of the model, the number N of training tokens and V of distinct ones.
+    """``section, hot, slice, slices, n, t, blob`` of the model, the number N of training tokens and V of distinct ones.
 
     With P(w) = (c + 1) / (N + V + 1), a pair of count k after a word of count n has
-    P(w | v) = (k - D) / n + r(v) P(w), where r(v) is what the kept pairs of v leave over; so
-    the probabilities after every word add up to one. Stored are log10 r(v) and
-    log10 P(w | v) / P(w).
+    P(w | v) = (k - D) / n + r(v) P(w), where r(v) = D t / n is what the t different followers of v leave
+    over; so the probabilities after every word add up to one. Stored are log10 r(v) and
+    log10 ((k - D) / n / P(w)). Every token has one predecessor and one follower (the end token of
+    the text before stands before a text), so n is the sum over the pairs of either side.
+
+    A word seen ``entries`` times or more (there are at most N / ``entries``) is ``hot``: its followers are cut
+    into slices by their hashes, each a section of its own, and ``t`` of all slices gives r(v).
     """
     words = stored(count_words(train), "lm-words")
     facts = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     total, distinct = facts[0] or 0, facts[1]
-    pairs = stored(count_pairs(train), "lm-pairs")
-    sections = max(1, -(-(distinct + pairs.count()) // entries))
-    kept = pairs.groupBy(F.col("a").alias("h")).agg(F.sum(F.col("c") - DISCOUNT).alias("mass"))
-    nodes = words.join(kept, "h", "left").withColumn("left", 1 - F.coalesce(F.col("mass") / F.col("c"), F.lit(0.0)))
-    nodes = stored(nodes.select("h", "c", F.greatest("left", F.lit(1e-12)).alias("left")), "lm-nodes")
-    first, second = nodes.select(F.col("h").alias("a"), F.col("c").alias("n"), "left"), words.select(F.col("h").alias("b"), F.col("c").alias("m"))
-    alone = (F.col("m") + 1) / F.lit(float(total + distinct + 1))
-    gain = F.log10((F.col("c") - DISCOUNT) / F.col("n") / alone + F.col("left"))
-    level2 = pairs.join(first, "a").join(second, "b").select("a", "b", gain.alias("x"))
-    level1 = nodes.select("h", F.lit(None).cast("long").alias("b"), F.log10("left").alias("x"), "c")
-    rows = level1.unionByName(level2.select(F.col("a").alias("h"), "b", "x", F.lit(0).cast("long").alias("c"))).withColumn("section", section_of(F.col("h"), sections))
-
-    marked = rows.select("section", "h", F.coalesce("b", F.lit(0)).alias("f"), F.col("b").isNotNull().alias("pair"), "x", "c")
+    sections = max(1, -(-total // entries))
+    alone = F.log10((F.col("m") + 1) / F.lit(float(total + distinct + 1)))
+    spread = words.select(F.col("h").alias("b"), F.col("c").alias("m"), F.explode(F.array(*[F.lit(k) for k in range(PARTS)])).alias("part"))
+    known = count_pairs(train).join(spread, ["b", "part"]).select("a", "b", F.col("c").cast("int").alias("c"), (F.log10(F.col("c") - DISCOUNT) - alone).cast("float").alias("x"))
+    hot = stored(words.where(F.col("c") >= entries).select(F.col("h").alias("hot"), F.col("c").alias("n"), F.ceil(F.col("c") / entries).cast("long").alias("slices")), "lm-hot")
+    placed = known.join(hot, F.col("a") == F.col("hot"), "left").select(
+        "a", F.shiftleft(F.shiftrightunsigned("b", 64 - FOLLOWER_BITS), 64 - FOLLOWER_BITS).alias("b"), "c", "x", section_of(F.col("a"), sections).alias("section"), F.coalesce("hot", F.lit(0)).alias("hot"),
+        F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("slices", F.lit(0)).alias("slices"), F.coalesce(F.shiftright(F.shiftrightunsigned("b", 44) * F.col("slices"), 20), F.lit(0)).alias("slice"),
+    )
 
     def encode(key, pdf):
-        start, end = _bounds(int(key[0]), sections)
-        pair = pdf["pair"].to_numpy(bool)
-        h, x, f = pdf["h"].to_numpy(np.int64).view(np.uint64), pdf["x"].to_numpy(float), pdf["f"].to_numpy(np.int64).view(np.uint64)
-        return pd.DataFrame({"section": [key[0]], "blob": [build_section(start, end, h[~pair], pdf["c"].to_numpy(np.int64)[~pair], x[~pair], h[pair], f[pair], x[pair])]})
+        section, word, part, slices, n = (int(k) for k in key)
+        a, b = pdf["a"].to_numpy(np.int64).view(np.uint64), pdf["b"].to_numpy(np.int64).view(np.uint64)
+        c, x = pdf["c"].to_numpy(np.int64), pdf["x"].to_numpy(float)
+        contexts, at = np.unique(a, return_inverse=True)
+        followers = np.bincount(at)
+        counts = np.full(len(contexts), n) if slices else np.bincount(at, c).astype(np.int64)
+        start, end = (int(contexts[0]), int(contexts[0]) + 1) if slices else _bounds(section, sections)
+        blob = build_section(start, end, contexts, counts, np.log10(DISCOUNT * followers / counts), a, b, x - np.log10(counts[at]))
+        return pd.DataFrame({"section": [section], "hot": [word], "slice": [part], "slices": [slices], "n": [n], "t": [int(followers.sum())], "blob": [blob]})
 
-    return stored(marked.groupBy("section").applyInPandas(encode, "section int, blob binary"), "lm-sections"), total, distinct
+    keys = ["section", "hot", "slice", "slices", "n"]
+    built = placed.groupBy(*keys).applyInPandas(encode, "section int, hot long, slice long, slices long, n long, t long, blob binary")
+    return stored(built, "lm-sections"), total, distinct
 
 
 class MappedTrie:
-    """The sections of a round, mapped from an unlinked scratch file of the task's process."""
+    """The sections of a round, mapped from an unlinked scratch file of the task's process.
+
+    ``parts`` has the rows of the round, ``left`` r(v) of every hot word.
+    """
 
-    def __init__(self, blobs: list[bytes]):
+    def __init__(self, parts: list[dict], left: dict[int, float]):
         with tempfile.TemporaryFile() as file:
             starts = []
-            for blob in blobs:
+            for part in parts:
                 starts.append(file.tell())
-                file.write(blob)
+                file.write(part["blob"])
             file.flush()
             self.buffer = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        self.sections = [Section(self.buffer, start) for start in starts]
+        self.parts = [(Section(self.buffer, start), part) for start, part in zip(starts, parts)]
+        self.left = left
 
-    def sums(self, lengths: np.ndarray, hashes: np.ndarray, total: int, distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Known tokens, unigram log10 sums and what the pairs add, per text, for the words of this round."""
+    def sums(self, lengths: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Known tokens, what their counts add to the unigram log10 sum of unknown ones, and what the pairs add, per text, for the words of this round."""
         text = np.repeat(np.arange(len(lengths)), lengths)
         before = _before(hashes, lengths)
         words, where = np.unique(hashes, return_inverse=True)
@@ -165,17 +185,22 @@ class MappedTrie:
             contexts = contexts.copy()
             contexts[0] = np.searchsorted(words, END)
         known, base, extra = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(hashes))
-        for s in self.sections:
+        for s, part in self.parts:
             lo, hi = np.searchsorted(words, s.first, "left"), np.searchsorted(words, s.last, "right")
             if lo == hi:
                 continue
             node, count = s.find(words[lo:hi])
-            known[lo:hi] = count > 0
-            base[lo:hi] = np.log10((count + 1) / (total + distinct + 1))
             at = np.flatnonzero((contexts >= lo) & (contexts < hi))
             at = at[node[contexts[at] - lo] >= 0]
+            left = None
+            if part["slices"]:  # only pairs with followers of this slice, and the word itself once
+                left = self.left[part["hot"]]
+                at = at[slice_of(hashes[at], part["slices"]) == part["slice"]]
+                count = count * part["first"]
+            known[lo:hi] += count > 0
+            base[lo:hi] += np.log10(count + 1)
             if len(at):
-                extra[at] = s.after(node[contexts[at] - lo], hashes[at])
+                extra[at] = s.after(node[contexts[at] - lo], hashes[at], left)
         add = lambda values: np.bincount(text, values, len(lengths))
         return add(known[where]), add(base[where]), add(extra)
 
@@ -193,29 +218,37 @@ def score_texts(docs: DataFrame, train: DataFrame, entries: int = SECTION_ENTRIE
     """
     spark = docs.sparkSession
     sections, total, distinct = build_trie(train.select("text"), entries)
-    sizes = [(r["section"], r["n"]) for r in sections.select("section", F.length("blob").alias("n")).orderBy("section").collect()]  # one row per million entries
-    rounds: list[list[int]] = [[]]
+    order = ["section", "hot", "slice"]
+    facts = sections.select(*order, "slices", "n", "t", F.length("blob").alias("bytes")).orderBy(*order).collect()  # one row per million tokens
+    left: dict[int, float] = {}
+    for f in facts:
+        if f["slices"]:
+            left[f["hot"]] = left.get(f["hot"], 0.0) + DISCOUNT * f["t"] / f["n"]
+    begun: set[int] = set()
+    rounds: list[list[dict]] = [[]]
     room = round_bytes
-    for section, n in sizes:
-        if rounds[-1] and n > room:
+    for f in facts:
+        if rounds[-1] and f["bytes"] > room:
             rounds.append([])
             room = round_bytes
-        rounds[-1].append(section)
-        room -= n
+        rounds[-1].append({**{k: f[k] for k in (*order, "slices")}, "first": f["hot"] not in begun})
+        begun.add(f["hot"])
+        room -= f["bytes"]
     schema = "doc_id {}, h long, n_tokens long, k{i} double, b{i} double, e{i} double"
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text")
     result = None
     for i, wanted in enumerate(rounds):
-        blobs = [bytes(r["blob"]) for r in sections.where(F.col("section").isin(wanted)).orderBy("section").select("blob").collect()] if wanted else []
-        sent = spark.sparkContext.broadcast(blobs)
+        chosen = spark.createDataFrame([tuple(part[k] for k in order) for part in wanted], "section int, hot long, slice long")
+        blobs = {(r["section"], r["hot"], r["slice"]): bytes(r["blob"]) for r in sections.join(chosen, order, "left_semi").collect()}
+        sent = spark.sparkContext.broadcast([{**part, "blob": blobs[part["section"], part["hot"], part["slice"]]} for part in wanted])
 
         def look_up(batches, sent=sent, i=i):
-            trie = MappedTrie(sent.value) if sent.value else None
+            trie = MappedTrie(sent.value, left) if sent.value else None
             for pdf in batches:
                 for at, lengths, hashes in _token_chunks([pdf["text"]]):
                     zero = np.zeros(len(lengths))
-                    known, base, extra = trie.sums(lengths, hashes, total, distinct) if trie else (zero, zero, zero)
+                    known, base, extra = trie.sums(lengths, hashes) if trie else (zero, zero, zero)
                     part = pdf.iloc[at.start : at.stop]
                     marks = np.array([xxhash.xxh64_intdigest((t or "").encode("utf-8", "replace")) for t in part["text"]], dtype=np.uint64).view(np.int64)
                     yield pd.DataFrame({"doc_id": part["doc_id"], "h": marks, "n_tokens": lengths, f"k{i}": known, f"b{i}": base, f"e{i}": extra})
@@ -227,13 +260,14 @@ def score_texts(docs: DataFrame, train: DataFrame, entries: int = SECTION_ENTRIE
             more = sums.drop("n_tokens").dropDuplicates(["doc_id", "h"]).withColumnsRenamed({"doc_id": "__i", "h": "__h"})
             result = result.join(more, result["doc_id"].eqNullSafe(more["__i"]) & (result["h"] == more["__h"])).drop("__i", "__h")
     sum_of = lambda letter: sum((F.col(f"{letter}{i}") for i in range(1, len(rounds))), F.col(f"{letter}0"))
+    base = sum_of("b") - F.col("n_tokens") * F.log10(F.lit(float(total + distinct + 1)))
     return result.select(
         "doc_id",
         "n_tokens",
         sum_of("k").cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        sum_of("b").alias("base_score"),
-        (sum_of("b") + sum_of("e")).alias("score"),
+        base.alias("base_score"),
+        (base + sum_of("e")).alias("score"),
     )
 
 

@@ -168,7 +168,10 @@ def test_rounds_and_sections_add_up(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     one = {r["doc_id"]: r for r in lm.score_texts(docs, docs, entries=4000).collect()}
     many = {r["doc_id"]: r for r in lm.score_texts(docs, docs, entries=4000, round_bytes=40_000).collect()}
+    whole = {r["doc_id"]: r for r in lm.score_texts(docs, docs).collect()}  # no word is hot, one section
     for i, r in one.items():
+        assert r["n_known"] == whole[i]["n_known"] and r["base_score"] == pytest.approx(whole[i]["base_score"])
+        assert r["score"] == pytest.approx(whole[i]["score"], abs=0.05 * r["n_tokens"])
         assert many[i]["n_known"] == r["n_known"] and many[i]["score"] == pytest.approx(r["score"]) and many[i]["base_score"] == pytest.approx(r["base_score"])
 
 
