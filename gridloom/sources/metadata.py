@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.sources.spreadsheet import ROW, SUFFIXES, by_position, read_spreadsheet
+
 # Attribute rows of the wide sheet, in sheet order, and accepted words.
 ATTRIBUTES = ("type", "use", "imputation", "transformation", "super_category")
 ATTRIBUTE_LABELS = {"category_transformation": "transformation"}
@@ -24,7 +26,8 @@ def wide_to_long(sheet: DataFrame, label: str) -> DataFrame:
     for alias, name in ATTRIBUTE_LABELS.items():
         attribute = F.when(attribute == alias, F.lit(name)).otherwise(attribute)
     text = sheet.select(attribute.alias("attribute"), *[F.col(f"`{name}`").cast("string").alias(name) for name in features])
-    cells = text.unpivot(["attribute"], features, "feature_name", "value")
+    # names may hold dots, so the columns are quoted
+    cells = text.select("attribute", F.inline(F.array(*[F.struct(F.lit(name).alias("feature_name"), F.col(f"`{name}`").alias("value")) for name in features])))
     table = cells.groupBy("feature_name").pivot("attribute", list(ATTRIBUTES)).agg(F.first("value"))
     return normalise(table)
 
@@ -42,13 +45,18 @@ def normalise(table: DataFrame) -> DataFrame:
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Read a sheet (CSV, JSON or Parquet) in the long or the wide layout."""
+    """Read a sheet (spreadsheet, CSV, JSON or Parquet) in the long or the wide layout.
+
+    A wide spreadsheet whose rows are not labelled by attribute has them in the order of ``ATTRIBUTES``.
+    """
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     try:
         if suffix == "json":
             sheet = spark.read.json(path)
         elif suffix == "parquet":
             sheet = spark.read.parquet(path)
+        elif suffix in SUFFIXES:
+            sheet = read_spreadsheet(spark, path)
         else:
             sheet = spark.read.option("header", True).option("escape", '"').csv(path)
     except AnalysisException as err:
@@ -58,12 +66,16 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     if "feature_name" in sheet.columns:
         return normalise(sheet)
     label = next((name for name in sheet.columns if name in ("Unnamed: 0", "_c0", "attribute")), None)
-    if label is None:
+    if label is None and suffix not in SUFFIXES:
         raise ValueError(f"feature metadata {path} has neither a feature_name nor an attribute column")
-    labels = {row[0] for row in sheet.select(F.lower(F.trim(F.col(f"`{label}`")))).collect()}
+    labels = {row[0] for row in sheet.select(F.lower(F.trim(F.col(f"`{label}`")))).collect()} if label else set()
     missing = set(ATTRIBUTES) - {ATTRIBUTE_LABELS.get(text, text) for text in labels}
-    if missing:
+    if missing and suffix in SUFFIXES:
+        label = label or "Unnamed: 0"
+        sheet = by_position(sheet, ATTRIBUTES, label)
+    elif missing:
         raise ValueError(f"feature metadata {path} lacks the rows {sorted(missing)}")
+    sheet = sheet.drop(ROW)
     order = {name: i for i, name in enumerate(n for n in sheet.columns if n != label)}
     position = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])[F.col("feature_name")]
     return wide_to_long(sheet, label).orderBy(position)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.coerce import NUMERIC_TEXT, blank_to_null
 from gridloom.sources.csv_records import csv_lines, has_open_lines, read_csv_records
+from gridloom.sources.spreadsheet import ROW, read_spreadsheet
 
 _INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 _BOOLEAN_TEXT = ("True", "TRUE", "true", "False", "FALSE", "false")
@@ -80,13 +81,16 @@ def with_inferred_types(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, source: str, path: str, infer: bool = False) -> DataFrame:
-    """Scan ``path`` as ``source``: CSV, PARQUET, JSON, ORC or TABLE."""
+    """Scan ``path`` as ``source``: CSV, PARQUET, JSON, ORC, EXCEL (the first sheet) or TABLE."""
     kind = source.upper()
-    if kind not in ("CSV", "TABLE", *_FORMATS):
+    if kind not in ("CSV", "EXCEL", "TABLE", *_FORMATS):
         raise ValueError(f"unsupported data source type: {source}")
     try:
         if kind == "CSV":
             df = read_csv_text(spark, path)
+        elif kind == "EXCEL":
+            raw = read_spreadsheet(spark, path).drop(ROW)
+            df = raw.select(*[blank_to_null(F.col(f"`{name}`")).alias(name) for name in raw.columns])
         elif kind == "TABLE":
             df = spark.table(path)
         else:
