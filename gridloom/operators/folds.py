@@ -5,11 +5,11 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.keys import hash_key, order_key, row_key
-from gridloom.operators.ranks import even_sizes, split_by_rank
+from gridloom.operators.ranks import TooManyGroups, even_part, even_sizes, group_ranks, split_by_rank, sums_before
 
 
 def _random_key(df: DataFrame, ids: Sequence[str], seed: int):
@@ -40,7 +40,25 @@ def assign_folds(df: DataFrame, k: int, ids: Sequence[str], target: str | None =
             start += totals[value]
         return parts
 
-    return split_by_rank(df, _random_key(df, ids, seed), sizes, out, group=target)
+    try:
+        return split_by_rank(df, _random_key(df, ids, seed), sizes, out, group=target)
+    except TooManyGroups:
+        return _many_class_folds(df, k, _random_key(df, ids, seed), target, out)
+
+
+def _many_class_folds(df: DataFrame, k: int, key: Column, target: str, out: str) -> DataFrame:
+    """The same folds with class totals and start offsets in tables instead of literals."""
+    totals = df.groupBy(F.col(target).alias("__class")).agg(F.count(F.lit(1)).alias("__total"))
+    least, most, missing = totals.agg(F.min("__total"), F.max("__total"), F.max(F.col("__class").isNull())).first()
+    if missing:
+        raise ValueError("the column that groups the rows contains missing values")
+    if most < k:
+        raise ValueError(f"cannot make {k} folds: no class has {k} rows")
+    if least < k:
+        warnings.warn(f"the smallest class has {least} rows, fewer than {k} folds", stacklevel=3)
+    starts = sums_before(totals, [F.col("__class")], "__total", "__start")
+    ranked = group_ranks(df, target, key, "__rank").join(starts, F.col(target) == F.col("__class"))
+    return ranked.select(*df.columns, even_part(F.col("__rank"), F.col("__total"), k, F.col("__start")).cast("int").alias(out))
 
 
 def train_rows(df: DataFrame, fold: int, column: str = "fold") -> DataFrame:

@@ -27,10 +27,16 @@ from gridloom.session import checkpoint_root
 
 MAX_WIDTH = 4  # prefix characters added by one pass
 MAX_COUNTS = 200_000  # prefix counts one pass may bring to the driver
-MAX_GROUPS = 1_000  # groups whose totals the driver may hold
+MAX_GROUPS = 1_000  # groups whose totals the driver may hold; more are ranked by a sort
 SETTLE_ROWS = 20_000  # border rows few enough to list by full key
 COPY_CHUNK = 50_000  # copies written back by one output row of the chunk table
 
+
+
+class TooManyGroups(ValueError):
+    """More groups than the driver may hold; :func:`group_ranks` takes any number."""
+
+
 Sizes = Callable[[dict[Any, int]], dict[Any, list[int]]]
 
 
@@ -137,7 +143,7 @@ def _split(df: DataFrame, key: Column, group: Column, sizes: Sizes, out: str, le
     if None in totals:
         raise ValueError("the column that groups the rows contains missing values")
     if len(totals) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups of rows")
+        raise TooManyGroups(f"more than {MAX_GROUPS} groups of rows")
     if not totals:
         return df.withColumn(out, F.lit(0))
     parts = sizes(totals)
@@ -246,3 +252,47 @@ def row_numbers(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
         .withColumn(out, (F.col("__i") + F.col("__o")).cast("long"))
         .drop("__r", "__i", "__o")
     )
+
+
+def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows dealt by range and checkpointed in that layout, with ``__r``, the number of the range."""
+    checkpoint_root(df.sparkSession)
+    n_ranges = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionByRange(n_ranges, *order).withColumn("__r", F.spark_partition_id()).checkpoint()
+
+
+def sums_before(df: DataFrame, order: Sequence[Column], value: str, out: str) -> DataFrame:
+    """Add the sum of ``value`` over all rows that come before, range by range; rows must differ in ``order``."""
+    ranged = _ranged(df, order)
+    earlier = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranged.groupBy("__r").agg(F.sum(value).alias("__n")).select("__r", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__o"))
+    inside = Window.partitionBy("__r").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.withColumn("__i", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(offsets, "__r").withColumn(out, F.col("__i") + F.col("__o")).drop("__r", "__i", "__o")
+
+
+def group_ranks(df: DataFrame, group: str, key: Column, out: str) -> DataFrame:
+    """Add the 0-based rank by ``key`` in the group, for any number of groups of any size.
+
+    The table is sorted once, in ranges: a large group lies in several of them and is chained
+    through its counts. Equal keys go by a hash of the row, exact copies by their place.
+    """
+    columns = df.columns
+    keyed = df.withColumns({"__k": key, "__h": row_key(df, 0), "__c": F.monotonically_increasing_id()})
+    ranged = _ranged(keyed, [F.col(group), F.col("__k"), F.col("__h"), F.col("__c")])
+    pieces = ranged.groupBy(F.col(group).alias("__g"), F.col("__r").alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    # a group has at most as many pieces as there are ranges
+    earlier = Window.partitionBy("__g").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select("__g", "__p", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__o"))
+    inside = Window.partitionBy(group, "__r").orderBy("__k", "__h", "__c")
+    numbered = ranged.withColumn("__i", F.row_number().over(inside) - 1)
+    joined = numbered.join(pieces, (F.col(group) == F.col("__g")) & (F.col("__r") == F.col("__p")))
+    return joined.select(*columns, (F.col("__i") + F.col("__o")).alias(out))
+
+
+def even_part(rank: Column, total: Column, k: int, start: Column) -> Column:
+    """The part of a rank when a group is cut as by :func:`even_sizes`."""
+    part, end = F.lit(0), F.lit(0)
+    for p in range(k - 1):
+        end = end + F.floor(total / k) + F.when(F.pmod(F.lit(p) - start, F.lit(k)) < total % k, 1).otherwise(0)
+        part = part + (rank >= end).cast("int")
+    return part

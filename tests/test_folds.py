@@ -129,3 +129,34 @@ def test_row_numbers(spark, sf_dir):
     out = ranks.row_numbers(df, [F.col("o_totalprice"), F.col("o_orderkey")], "i").toPandas().sort_values("i")
     assert list(out["i"]) == list(range(1, len(out) + 1))
     assert out["o_totalprice"].is_monotonic_increasing
+
+
+def test_folds_of_many_classes_equal_the_window_form(spark):
+    """More classes than the driver holds, one of them a third of the rows, with copies of a row."""
+    small = spark.range(9000).select((F.col("id") % 3000).cast("string").alias("y"), F.col("id"))
+    hot = spark.range(5000).select(F.lit("1700x").alias("y"), (F.col("id") + 10_000).alias("id"))
+    df = small.unionByName(hot).withColumn("v", F.lit(1))
+    folds = assign_folds(df, 4, ["id"], target="y")
+    got = {r["id"]: r["fold"] for r in folds.collect()}
+    keyed = df.select("id", "y", hash_key(["id"], 42).alias("h")).toPandas().sort_values(["y", "h"])
+    start, want = 0, {}
+    for _, rows in keyed.groupby("y", sort=True):
+        cuts = [f for f, n in enumerate(ranks.even_sizes(len(rows), 4, start)) for _ in range(n)]
+        want.update(zip(rows["id"], cuts))
+        start += len(rows)
+    assert got == want and folds.columns == [*df.columns, "fold"]
+    sizes = Counter(got.values())
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    with pytest.raises(ValueError, match="no class"):
+        assign_folds(small, 4, ["id"], target="id")
+    with pytest.raises(ValueError, match="missing"):
+        assign_folds(df.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS y, 5L AS id, 1 AS v")), 4, ["id"], target="y")
+
+
+def test_number_of_classes_changes_no_fold(spark, sf_dir, monkeypatch):
+    df = lineitem(spark, sf_dir)
+    df = df.unionByName(df.limit(3)).unionByName(df.limit(3))
+    count = lambda: Counter(tuple(r) for r in assign_folds(df, 5, IDS, target="l_returnflag").select(*IDS, "fold").collect())
+    few = count()
+    monkeypatch.setattr(ranks, "MAX_GROUPS", 0)
+    assert count() == few
