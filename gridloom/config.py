@@ -101,6 +101,7 @@ class ModelConfig:
     seed: int = 42
     parallelism: int = 2
     keep_unused: bool = False
+    resume_search: bool = False
 
     @classmethod
     def from_dict(cls, document: dict[str, Any]) -> ModelConfig:

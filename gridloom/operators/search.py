@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.errors import IllegalArgumentException
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,44 @@ def run_fold(fold: FoldData, params: dict[str, Any], problem_type: str, metric:
     return evaluate(scored, problem_type, metric, label, "prediction").first()["metric"]
 
 
+LEDGER_SCHEMA = "key string, params string, metric double, error string, trial_number int, fold int"
+
+
+class SearchLedger:
+    """Finished (trial, fold) pairs of a search under a shared folder, one small table each, so that a restarted search runs only the rest.
+
+    A row counts for a search of the same parameter set, seed, patience, metric and number of folds; the
+    table and its folds are the caller's: a ledger belongs to one of them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, *settings: Any):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.settings = settings
+
+    def _key(self, params: dict[str, Any]) -> tuple[str, str]:
+        text = json.dumps(params, sort_keys=True, default=str)
+        return hashlib.sha256(json.dumps([text, *self.settings], default=str).encode()).hexdigest(), text
+
+    def finished(self, trials: Sequence[dict[str, Any]]) -> dict[tuple[int, int], dict[str, Any]]:
+        """The recorded outcomes of these trials; one row per trial and fold reaches the driver."""
+        try:
+            rows = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).collect()
+        except AnalysisException as err:
+            if err.getCondition() == "PATH_NOT_FOUND":
+                return {}
+            raise
+        keys = [self._key(params)[0] for params in trials]
+        known = {(r["trial_number"], r["fold"]): r.asDict() for r in rows if r["trial_number"] < len(keys) and r["key"] == keys[r["trial_number"]]}
+        return {at: {name: r[name] for name in ("trial_number", "fold", "metric", "error")} for at, r in known.items()}
+
+    def record(self, outcome: dict[str, Any], params: dict[str, Any]) -> None:
+        """A folder of its own, as several pairs may end at once; it is complete or not there."""
+        key, text = self._key(params)
+        row = self.spark.createDataFrame([(key, text, outcome["metric"], outcome["error"])], "key string, params string, metric double, error string")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/trial_number={outcome['trial_number']}/fold={outcome['fold']}")
+
+
 def cross_validate_search(
     folds: Sequence[FoldData],
     space: dict[str, Dimension],
@@ -87,6 +127,7 @@ def cross_validate_search(
     parallelism: int = 2,
     patience: int = PATIENCE,
     cache: bool = True,
+    ledger: str | None = None,
 ) -> SearchResult:
     """Random search: every trial is trained and scored on every fold.
 
@@ -95,20 +136,27 @@ def cross_validate_search(
     ``cache`` the encoded folds stay in executor memory or on executor disk; without
     it every fit re-reads the source, which is the choice when folds times the table
     exceed the cluster's storage. A failed fold has no metric and its trial no value.
+    With ``ledger``, a folder, finished pairs are kept there, and a search that was cut off goes on where it ended.
     """
     check_metric(problem_type, metric)
     trials = sample_trials(space, n_trials, seed)
+    kept = SearchLedger(SparkSession.active(), ledger, seed, patience, problem_type, metric, len(folds)) if ledger else None
+    known = kept.finished(trials) if kept else {}
     if cache:
         for fold in folds:
             fold.frame = fold.frame.persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(task: tuple[int, FoldData]) -> dict[str, Any]:
         number, fold = task
+        if (number, fold.number) in known:
+            return known[number, fold.number]
         outcome = {"trial_number": number, "fold": fold.number, "metric": None, "error": None}
         try:
             outcome["metric"] = run_fold(fold, trials[number], problem_type, metric, label, seed, patience)
         except (ValueError, IllegalArgumentException) as err:  # a bad parameter set must not end the search, a lost cluster must
             outcome["error"] = f"{type(err).__name__}: {str(err)[:500]}"
+        if kept:
+            kept.record(outcome, trials[number])
         return outcome
 
     tasks = [(number, fold) for number in range(n_trials) for fold in folds]

@@ -79,6 +79,7 @@ class TabularRun:
         self.search = cross_validate_search(
             processed.folds, config.space, config.num_hp_searches, config.problem_type, config.evaluation_metric,
             config.better_performance, LABEL, config.seed, config.parallelism, cache=self.cache,
+            ledger=self._path(config.problem_type, config.model_type, "search_ledger") if config.resume_search else None,
         )
         self.save_hyperparameter_study()
         best = self.search.best

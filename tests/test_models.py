@@ -17,6 +17,7 @@ from gridloom.functions import trees as tree_code
 from gridloom.operators import ensemble as en
 from gridloom.operators import explain as ex
 from gridloom.operators import metrics as m
+from gridloom.operators import search
 from gridloom.operators.encode import FeatureEncoder
 from gridloom.operators.folds import assign_folds
 from gridloom.operators.search import SearchResult, cross_validate_search, encode_folds
@@ -256,6 +257,35 @@ def test_missing_scores_are_errors_at_every_size(spark, n_rows, score):
         m.roc_auc(df, "y", "s", n_rows=n_rows).collect()
 
 
+def test_a_search_goes_on_where_it_was_cut_off(spark, frame, monkeypatch, tmp_path):
+    df, plan = frame
+    folded = assign_folds(df, 2, plan.ids, target="label")
+    folds = encode_folds(folded, FeatureEncoder(plan), 2, "label", plan.ids)
+    space = parse_space({"learning_rate": {"kind": "loguniform", "low": 0.1, "high": 0.4}, "n_estimators": {"kind": "discrete", "low": 2, "high": 3},
+                         "boosting_type": {"kind": "categorical", "choices": ["gbdt", "dart"]}})
+    run, calls, left = search.run_fold, [], [3]
+
+    def until_lost(fold, params, *rest):
+        if not left[0]:
+            raise RuntimeError("the cluster is gone")
+        left[0] -= 1
+        calls.append((params["learning_rate"], fold.number))
+        return run(fold, params, *rest)
+
+    go = lambda ledger: cross_validate_search(folds, space, 3, "classification", "rocauc", "gt", "label", parallelism=1, ledger=ledger)
+    monkeypatch.setattr(search, "run_fold", until_lost)
+    with pytest.raises(RuntimeError):
+        go(str(tmp_path / "ledger"))
+    left[0] = 100
+    resumed = go(str(tmp_path / "ledger"))
+    assert len(calls) == len(set(calls)) == 6
+    whole = go(None)
+    assert resumed.history == whole.history and resumed.fold_metrics == whole.fold_metrics
+    assert go(str(tmp_path / "ledger")).history == whole.history and len(calls) == 12
+    cross_validate_search(folds, space, 1, "classification", "rocauc", "gt", "label", seed=7, parallelism=1, ledger=str(tmp_path / "ledger"))
+    assert len(calls) == 14  # other parameter sets are not taken from it
+
+
 def test_failed_trial_has_no_value(frame):
     df, plan = frame
     folded = assign_folds(df, 2, plan.ids, target="label")
