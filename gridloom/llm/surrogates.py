@@ -8,7 +8,9 @@ names stay within their gender and script, letters within vowels or consonants o
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 from math import isqrt
 
@@ -44,6 +46,20 @@ IBAN_SIZES = {c: n for n, codes in {
 LETTERS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóú", "àèìòù", "âêîôû", "äöü", "аеёиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "άέήίόύώ", "βγδζθκλμνξπρστφχψ"]
 
 _LETTER_CLASS = {c: letters for letters in LETTERS for c in letters}
+
+
+@lru_cache(maxsize=100_000)
+def letter_class(c: str) -> str:
+    """The characters that stand in for ``c``: of its class above, or else those of its kind near it in its script; '' for signs."""
+    if c in _LETTER_CLASS or not c.isalnum():
+        return _LETTER_CLASS.get(c, "")
+    for width in (32, 256):
+        first = ord(c) // width * width
+        near = "".join(x for x in map(chr, range(first, first + width)) if unicodedata.category(x) == unicodedata.category(c) and x.isalnum() and x.lower() == x)
+        if c in near and len(near) > 1:
+            return near
+    return ""
+
 _GIVEN = {name.lower(): (pool, i) for pool in GIVEN_NAMES.values() for i, name in enumerate(pool)}
 _TITLE = "|".join(t for group in TITLES.values() for t in group)
 
@@ -51,8 +67,10 @@ _CAPITAL = "[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ][a-zß-öø-ÿά-ώа-яё]+"
 #: Phone numbers with a country: in the usual four parts, and in any parts of 8 to 15 digits in all.
 _NATIONAL = r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3}[ .-]?\d{3,4}"
 _ABROAD = r"\+\(?\d(?:[ .-]?[()]?[ .-]?\d){7,14}"
+#: Letters and digits, with the marks that belong to letters of Hebrew, Arabic, Indic, Thai and Lao scripts.
+_W = r"\w\u0300-\u036F\u0591-\u05C7\u0610-\u065F\u0900-\u0EFF"
 _SPOTTED = re.compile(
-    r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
+    rf"(?P<email>[{_W}.+-]+@[{_W}-]+(?:\.[{_W}-]+)+)"
     r"|(?i:\b(?:token|key|secret|password|passwd|api_key)\b\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-]{12,})"
     r"|(?<![\w.])(?P<ip>(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))(?![\w]|\.\d)"
     r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?=(?: ?[A-Z0-9]){11})(?: ?[A-Z0-9]{4}){2,7}(?:[A-Z0-9]{1,3}| (?=[A-Z]*\d)[A-Z0-9]{1,3})?)(?!\w)"
@@ -61,7 +79,7 @@ _SPOTTED = re.compile(
     r"|(?<!\d)(?P<card>\d(?:[ -]?\d){12,18})(?!\d)"
 )
 _NAMED = re.compile(rf"(?<!\w)(?:(?P<title>{_TITLE})\.? )?(?P<words>{_CAPITAL}(?: {_CAPITAL})*)")
-_MAY_SPOT = re.compile(r"[0-9@]|(?i:token|key|secret|pass)")
+_MAY_SPOT = re.compile(r"[\d@]|(?i:token|key|secret|pass)")
 
 
 def _number(key: str, *parts: object) -> int:
@@ -116,8 +134,8 @@ def _luhn(digits: str) -> int:
 
 def canonical(kind: str, value: str) -> str:
     """What makes two mentions the same entity: no case for addresses and names, digits only for numbers."""
-    if kind in ("card", "phone", "ssn"):
-        return re.sub(r"\D", "", value)
+    if kind in ("card", "phone", "ssn"):  # of any script
+        return "".join(str(unicodedata.decimal(c)) for c in value if c.isdecimal())
     if kind == "iban":
         return value.replace(" ", "")
     if kind == "secret" and (value.upper() == value or value.lower() == value):
@@ -150,26 +168,28 @@ def replacement(kind: str, entity: str, attempt: int = 0, key: str = KEY) -> str
         return _by_classes(key, label, entity, [digits if c.isdigit() else lower if c in lower else lower.upper() if c in lower.upper() else "" for c in entity])
     if kind == "email":
         stop = entity.rindex(".")
-        return _by_classes(key, label, entity, [digits if c in digits else _LETTER_CLASS.get(c, "") if i < stop else "" for i, c in enumerate(entity)])
+        out = _by_classes(key, label, entity, [digits if c in digits else letter_class(c) if i < stop else "" for i, c in enumerate(entity)])
+        if out != entity:
+            return out
+        number = _number(key, label, entity)  # an address of signs only has no other of its form
+        return "".join(chr(97 + (number >> 8 * k) % 26) for k in range(8)) + "@" + chr(97 + (number >> 64) % 26) + entity[stop:]
     if kind == "given":
         pool, at = _GIVEN[entity]
         return pool[next_on_cycle(key, f"{label}/{pool[0]}", len(pool), at)].lower()
-    if kind == "name":
-        given, _, rest = entity.partition(" ")
-        return replacement("given", given, attempt, key) + " " + " ".join(replacement("surname", w, attempt, key) for w in rest.split(" "))
-    return _by_classes(key, label, entity, [_LETTER_CLASS.get(c, "") for c in entity])
+    return _by_classes(key, label, entity, [letter_class(c) for c in entity])
 
 
 def dressed(kind: str, original: str, surrogate: str) -> str:
     """The surrogate with the separators and the case of the mention."""
     if kind in ("card", "phone", "ssn", "iban"):
         left = iter(surrogate)
-        return "".join(next(left) if c.isalnum() else c for c in original)
+        # digits of another script stay in it
+        return "".join(next(left) if c.isascii() and c.isalnum() else chr(ord(c) - unicodedata.decimal(c) + int(next(left))) if c.isdecimal() else c for c in original)
     if kind in ("name", "surname", "given"):
         return " ".join(w.upper() if o.isupper() and len(o) > 1 else w[:1].upper() + w[1:] for o, w in zip(original.split(" "), surrogate.split(" ")))
     if kind == "secret":
         return surrogate.upper() if original.upper() == original and original.lower() != original else surrogate
-    if kind == "email" and original != original.lower():
+    if kind == "email" and original != original.lower() and len(original) == len(surrogate):
         return "".join(s.upper() if o.isupper() else s for o, s in zip(original, surrogate))
     return surrogate
 
@@ -191,7 +211,7 @@ def entities(text: str) -> list[tuple[int, int, str]]:
     if _MAY_SPOT.search(text):
         for m in _SPOTTED.finditer(text):
             kind = m.lastgroup
-            if kind == "card" and not 13 <= len(re.sub(r"\D", "", m[kind])) <= 19:
+            if kind == "card" and not 13 <= len(canonical(kind, m[kind])) <= 19:
                 continue
             start, end = m.span(kind)
             found.append((start, _iban_end(m[kind]) + start if kind == "iban" else end, kind))
@@ -218,19 +238,27 @@ def replaced(text: str, attempts: dict[tuple[str, str], int], key: str = KEY) ->
     """The text with surrogates and the number of entities; ``attempts`` names those that were drawn again."""
     out, last, spots = [], 0, entities(text)
     for start, end, kind in spots:
-        entity = canonical(kind, text[start:end])
-        out += [text[last:start], dressed(kind, text[start:end], replacement(kind, entity, attempts.get((kind, entity), 0), key))]
+        parts = [replacement(k, e, attempts.get((k, e), 0), key) for k, e in parts_of(kind, canonical(kind, text[start:end]))]
+        out += [text[last:start], dressed(kind, text[start:end], " ".join(parts))]
         last = end
     return "".join([*out, text[last:]]), len(spots)
 
 
+def parts_of(kind: str, entity: str) -> list[tuple[str, str]]:
+    """``(kind, entity)`` of what is replaced on its own: a name is its given name and its surnames, so that both are the same wherever they stand."""
+    if kind not in ("name", "surname"):
+        return [(kind, entity)]
+    first, *rest = entity.split(" ")
+    return [("given" if kind == "name" else "surname", first), *[("surname", w) for w in rest]]
+
+
 def mentioned(docs: DataFrame) -> DataFrame:
-    """``doc_id, kind, entity``: the entities of every document, once each."""
+    """``doc_id, kind, entity``: the entities of every document, once each, names by their parts."""
 
     @F.pandas_udf("array<struct<kind:string,entity:string>>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([sorted({(k, canonical(k, t[a:b])) for a, b, k in entities(t)}) for t in batch])
+            yield pd.Series([sorted({p for a, b, k in entities(t) for p in parts_of(k, canonical(k, t[a:b]))}) for t in batch])
 
     return texts(docs).select("doc_id", F.explode(of("text")).alias("e")).select("doc_id", "e.kind", "e.entity")
 
@@ -239,8 +267,8 @@ def drawn_again(found: DataFrame, key: str = KEY, rounds: int = 20) -> DataFrame
     """``kind, entity, attempt`` of the entities whose first surrogate collides.
 
     A surrogate collides if another entity has it or if it is itself an entity of the
-    corpus; all but one of those that share it draw again until nothing collides. Single given
-    names and surnames, of which there are few, are exempt: they stay one to one by the cycle.
+    corpus; all but one of those that share it draw again until nothing collides. Given names
+    and surnames, of which there are few, are exempt: they stay one to one by the cycle, and so do whole names.
     """
 
     @F.pandas_udf("string")
