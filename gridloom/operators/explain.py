@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -19,7 +20,7 @@ from gridloom.functions import trees
 from gridloom.functions.trees import Tree
 from gridloom.operators.ensemble import model_nodes
 from gridloom.operators.folds import exact_sample, first_rows
-from gridloom.operators.train import BoostedTrees, TrainedModel
+from gridloom.operators.train import BoostedTrees, MulticlassModel, TrainedModel
 
 # Method names a configuration may use.
 METHODS = {"shap": "shap", "treeinterpreter": "path", "path": "path"}
@@ -71,12 +72,16 @@ cloudpickle.register_pickle_by_value(trees)
 _PREPARE = {"shap": trees.shap_batches, "path": trees.path_batches}
 
 
-def contributions(trained: TrainedModel, df: DataFrame, keep: Sequence[str], method: str = "shap") -> DataFrame:
+def contributions(trained: TrainedModel | MulticlassModel, df: DataFrame, keep: Sequence[str], method: str = "shap") -> DataFrame:
     """``keep`` columns, ``bias``, ``margin`` and the ``contributions`` array of every row.
 
     ``margin`` is bias plus all contributions: the raw score of the positive class, or
-    the regression value. One narrow stage; rows travel to Python in Arrow batches.
+    the regression value. One narrow stage; rows travel to Python in Arrow batches. A model of
+    several classes gives a row for each, with its ``class``.
     """
+    if isinstance(trained, MulticlassModel):
+        parts = [contributions(one, df, keep, method).withColumn("class", F.lit(float(c))) for one, c in zip(trained.models, trained.classes)]
+        return reduce(DataFrame.unionByName, parts)
     return ensemble_contributions(node_table(df.sparkSession, trained), df, keep, method)
 
 
@@ -180,7 +185,8 @@ def explain(
         raise ValueError(f"unsupported importance method: {method}")
     sample = exact_sample(df.select(*ids, "features"), fraction, ids, seed)
     values = contributions(trained, sample, ids, method)
-    slots = trained.slots or [(f"feature_{i}", f"feature_{i}") for i in range(trained.model.numFeatures)]
+    single = trained.models[0] if isinstance(trained, MulticlassModel) else trained
+    slots = trained.slots or [(f"feature_{i}", f"feature_{i}") for i in range(single.model.numFeatures)]
     return Explanation(method.lower(), values, slots)
 
 

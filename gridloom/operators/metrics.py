@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridloom.operators.score import argmax
+
 ROWS_PER_RANGE = 1_000_000  # distinct scores one task should sort
 MAX_RANGES = 20_000
 
@@ -112,10 +114,13 @@ def check_metric(problem_type: str, metric: str) -> str:
 
 
 def evaluate(
-    df: DataFrame, problem_type: str, metric: str, label: str, score: str, by: Sequence[str] = (), n_rows: int | None = None
-) -> DataFrame:
-    """One ``metric`` column per group, by configured name."""
+    df: DataFrame, problem_type: str, metric: str, label: str, score: str, by: Sequence[str] = (), n_rows: int | None = None,
+    classes: Sequence[float] | None = None,
+) -> DataFrame:
+    """One ``metric`` column per group, by configured name; with ``classes`` the score is an array of their probabilities."""
     name = check_metric(problem_type, metric)
+    if classes:
+        return multiclass_metric(df, name, label, score, classes, by, n_rows)
     if name == "rocauc":
         result = roc_auc(df, label, score, by, n_rows)
     elif problem_type == "classification":
@@ -125,6 +130,25 @@ def evaluate(
     return result.select(*by, F.col(name).alias("metric"))
 
 
+def multiclass_metric(
+    df: DataFrame, metric: str, label: str, probabilities: str, classes: Sequence[float], by: Sequence[str] = (), n_rows: int | None = None
+) -> DataFrame:
+    """``metric`` per group for several classes: the share of rows whose most likely class is right, or the mean over the classes
+    of recall, precision or the area under the ROC curve against the others; classes without rows do not count."""
+    by, p = list(by), F.col(probabilities)
+    values = F.array(*[F.lit(float(c)) for c in classes])
+    rows = df.select(*by, F.col(label).cast("double").alias("__label"), p.alias("__p"), F.get(values, argmax(p)).alias("__best"))
+    if metric == "accuracy":
+        return rows.groupBy(*by).agg(F.avg((F.col("__label") == F.col("__best")).cast("double")).alias("metric"))
+    each = rows.select(*by, "__label", "__best", F.posexplode("__p").alias("__at", "__score")).withColumn("__class", F.get(values, F.col("__at")))
+    each = each.withColumn("__y", (F.col("__label") == F.col("__class")).cast("int"))
+    if metric == "rocauc":
+        found = roc_auc(each, "__y", "__score", [*by, "__class"], n_rows)
+    else:
+        found = threshold_metrics(each.withColumn("__hit", (F.col("__best") == F.col("__class")).cast("double")), "__y", "__hit", [*by, "__class"]).where("tp + fn > 0")
+    return found.groupBy(*by).agg(F.avg(metric).alias("metric"))
+
+
 def class_weights(df: DataFrame, target: str) -> DataFrame:
     """Balanced weights ``n / (number of classes * n of the class)``, one row per class."""
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -69,12 +69,12 @@ class SearchResult:
         return spark.createDataFrame(rows, "trial_number int, fold int, metric double, error string")
 
 
-def run_fold(fold: FoldData, params: dict[str, Any], problem_type: str, metric: str, label: str, seed: int, patience: int = PATIENCE) -> float | None:
+def run_fold(fold: FoldData, params: dict[str, Any], problem_type: str, metric: str, label: str, seed: int, patience: int = PATIENCE, classes: Sequence[float] | None = None) -> float | None:
     """Train on the other folds with early stopping on this one and return the validation metric."""
-    trees = BoostedTrees(problem_type, params, label, seed)
+    trees = BoostedTrees(problem_type, params, label, seed, classes)
     trained = trees.fit(fold.training, fold.encoder.vector_slots(), fold.encoder.max_arity(), fold.validation, patience, metric)
     scored = trained.score(fold.validation, [label])
-    return evaluate(scored, problem_type, metric, label, "prediction").first()["metric"]
+    return evaluate(scored, problem_type, metric, label, "prediction", classes=trees.classes).first()["metric"]
 
 
 LEDGER_SCHEMA = "key string, params string, metric double, error string, trial_number int, fold int"
@@ -128,6 +128,7 @@ def cross_validate_search(
     patience: int = PATIENCE,
     cache: bool = True,
     ledger: str | None = None,
+    classes: Sequence[float] | None = None,
 ) -> SearchResult:
     """Random search: every trial is trained and scored on every fold.
 
@@ -152,7 +153,7 @@ def cross_validate_search(
             return known[number, fold.number]
         outcome = {"trial_number": number, "fold": fold.number, "metric": None, "error": None}
         try:
-            outcome["metric"] = run_fold(fold, trials[number], problem_type, metric, label, seed, patience)
+            outcome["metric"] = run_fold(fold, trials[number], problem_type, metric, label, seed, patience, classes)
         except (ValueError, IllegalArgumentException) as err:  # a bad parameter set must not end the search, a lost cluster must
             outcome["error"] = f"{type(err).__name__}: {str(err)[:500]}"
         if kept:

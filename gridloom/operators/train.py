@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.operators.ensemble import model_nodes, staged_margins, staged_metrics
@@ -128,11 +128,57 @@ class TrainedModel:
         return cls(model=kind.load(f"{path}/model"), slots=slots, **document)
 
 
+@dataclass
+class MulticlassModel:
+    """One boosted ensemble per class over the same vectors; their margins give the probabilities."""
+
+    models: list[TrainedModel]
+    classes: list[float]
+    params: dict[str, Any]
+    slots: list[tuple[str, str]] = field(default_factory=list)
+    train_metric: float | None = None
+    problem_type: str = "classification"
+
+    def score(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """``prediction`` first, the probabilities of the classes in their order, then the kept columns."""
+        scored, margins = df, []
+        for i, trained in enumerate(self.models):
+            names = [f"__raw{i}", f"__probability{i}", f"__class{i}"]
+            model = trained.model.copy().setRawPredictionCol(names[0]).setProbabilityCol(names[1]).setPredictionCol(names[2])
+            scored = model.transform(scored)
+            margins.append(vector_to_array(names[0])[1])
+        scored = scored.select(*keep, F.array(*margins).alias("__margins"))
+        return scored.select(softmax(F.col("__margins")).alias("prediction"), *keep)
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        for i, trained in enumerate(self.models):
+            trained.save(spark, f"{path}/class_{i}")
+        document = {"classes": self.classes, "params": self.params, "slots": self.slots, "train_metric": self.train_metric}
+        write_document(spark, document, f"{path}/state")
+        return path
+
+
+def softmax(margins: Column) -> Column:
+    """Probabilities of class margins, which are half log-odds as for two classes."""
+    powers = F.transform(margins, lambda m: F.exp(2 * (m - F.array_max(margins))))
+    return F.transform(powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+
+
+def load_model(spark: SparkSession, path: str) -> TrainedModel | MulticlassModel:
+    """A saved model of either kind."""
+    document = read_document(spark, f"{path}/state")
+    if "classes" not in document:
+        return TrainedModel.load(spark, path)
+    document["slots"] = [tuple(slot) for slot in document["slots"]]
+    return MulticlassModel(models=[TrainedModel.load(spark, f"{path}/class_{i}") for i in range(len(document["classes"]))], **document)
+
+
 class BoostedTrees:
-    """Unfitted boosted trees for a binary target or a number."""
+    """Unfitted boosted trees for a binary target, for ``classes`` (more than two values of the label), or for a number."""
 
-    def __init__(self, problem_type: str, params: dict[str, Any] | None = None, label: str = "label", seed: int = 42):
+    def __init__(self, problem_type: str, params: dict[str, Any] | None = None, label: str = "label", seed: int = 42, classes: Sequence[float] | None = None):
         self.problem_type = problem_type
+        self.classes = list(classes) if classes and len(classes) > 2 else None
         self.params = complete_params(params)
         self.label = label
         self.seed = seed
@@ -174,7 +220,7 @@ class BoostedTrees:
         validation: DataFrame | None = None,
         patience: int = PATIENCE,
         watch: str | None = None,
-    ) -> TrainedModel:
+    ) -> TrainedModel | MulticlassModel:
         """Train on ``features`` and the label; with ``validation`` keep the best number of trees.
 
         Best by ``watch`` (``rocauc``, ``rmse`` or ``mae``): the area under the ROC curve for
@@ -182,6 +228,8 @@ class BoostedTrees:
 
         The learner bins the rows and keeps its own compact copy, so the input is not cached here.
         """
+        if self.classes:
+            return self._fit_classes(df, slots, max_arity, validation, patience)
         checkpoint_root(df.sparkSession)  # long boosting runs cut their lineage there
         learner, weights = self._learner(max_arity), self._weights(df)
         if weights:
@@ -193,9 +241,19 @@ class BoostedTrees:
             model = first_trees(model, params["best_iteration"])
         return TrainedModel(model, self.problem_type, params, list(slots))
 
+    def _fit_classes(self, df: DataFrame, slots: Sequence[tuple[str, str]], max_arity: int, validation: DataFrame | None, patience: int) -> MulticlassModel:
+        """An ensemble for each class against the others; each stops by its own area under the ROC curve."""
+
+        def against(frame: DataFrame, value: float) -> DataFrame:
+            return frame.withColumn(self.label, (F.col(self.label) == F.lit(value)).cast("double"))
+
+        one = BoostedTrees(self.problem_type, self.params, self.label, self.seed)
+        models = [one.fit(against(df, c), slots, max_arity, None if validation is None else against(validation, c), patience) for c in self.classes]
+        return MulticlassModel(models, self.classes, dict(self.params), list(slots))
+
     def fit_and_measure(self, df: DataFrame, metric: str, slots: Sequence[tuple[str, str]] = (), max_arity: int = 0) -> TrainedModel:
         """Train without early stopping and record the metric on the training rows."""
         trained = self.fit(df, slots, max_arity)
-        row = evaluate(trained.score(df, [self.label]), self.problem_type, metric, self.label, "prediction").first()
+        row = evaluate(trained.score(df, [self.label]), self.problem_type, metric, self.label, "prediction", classes=self.classes).first()
         trained.train_metric = row["metric"]
         return trained

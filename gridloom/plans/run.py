@@ -6,15 +6,18 @@ from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.operators.explain import Explanation, explain
 from gridloom.operators.search import SearchResult, cross_validate_search
-from gridloom.operators.train import BoostedTrees, TrainedModel
+from gridloom.operators.train import BoostedTrees, MulticlassModel, TrainedModel, load_model
 from gridloom.plans.loading import TableLoader
 from gridloom.plans.processing import LABEL, DataProcessor
 from gridloom.session import build_session, scratch_path
 from gridloom.sources.writers import default_name, write_study, write_table
 
+MAX_CLASSES = 100  # of a classification target; each has an ensemble of its own
+
 
 class TabularRun:
     """``TabularRun(model_config, data_config).run()`` trains or scores, as the data config says.
@@ -41,7 +44,8 @@ class TabularRun:
         self.config = self.loader.model_config
         self.processor = DataProcessor(self.spark, self.loader.plan(), self.config, self.output_dir)
         self.search: SearchResult | None = None
-        self.model: TrainedModel | None = None
+        self.model: TrainedModel | MulticlassModel | None = None
+        self.classes: list[float] | None = None
         self.explanation: Explanation | None = None
         self.predictions: DataFrame | None = None
         self.performance_metrics: dict[str, Any] = {}
@@ -76,10 +80,11 @@ class TabularRun:
         config = self.config
         data = self._materialised(data)
         processed = self.processor.process_data(data, is_training=True, create_folds=True)
+        self.classes = self._classes(data)
         self.search = cross_validate_search(
             processed.folds, config.space, config.num_hp_searches, config.problem_type, config.evaluation_metric,
             config.better_performance, LABEL, config.seed, config.parallelism, cache=self.cache,
-            ledger=self._path(config.problem_type, config.model_type, "search_ledger") if config.resume_search else None,
+            ledger=self._path(config.problem_type, config.model_type, "search_ledger") if config.resume_search else None, classes=self.classes,
         )
         self.save_hyperparameter_study()
         best = self.search.best
@@ -87,13 +92,23 @@ class TabularRun:
         if config.retrain_with_whole_dataset:
             self._refit(data, best["params"])
 
+    def _classes(self, data: DataFrame) -> list[float] | None:
+        """The values of a classification target with more than two, in order."""
+        if self.config.problem_type != "classification":
+            return None
+        target = F.col(f"`{self.config.target_variable}`").cast("double").alias(LABEL)
+        found = sorted(r[0] for r in data.select(target).where(F.col(LABEL).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect())
+        if len(found) > MAX_CLASSES:
+            raise ValueError(f"the target has more than {MAX_CLASSES} classes, each of which needs an ensemble")
+        return found if len(found) > 2 else None
+
     def _refit(self, data: DataFrame, best_params: dict[str, Any]) -> None:
         config = self.config
         params = best_params if config.refit_params == "best" else None
         processed = self.processor.process_data(data, is_training=True, create_folds=False)
         frame = processed.frame.persist(StorageLevel.MEMORY_AND_DISK) if self.cache else processed.frame
         self.paths["preprocessor"] = self._path(config.problem_type, config.model_type, "data_processor")
-        trees = BoostedTrees(config.problem_type, params, LABEL, config.seed)
+        trees = BoostedTrees(config.problem_type, params, LABEL, config.seed, self.classes)
         encoder = processed.encoder
         self.model = trees.fit_and_measure(frame, config.evaluation_metric, encoder.vector_slots(), encoder.max_arity())
         self.performance_metrics["train"] = self.model.train_metric
@@ -146,12 +161,13 @@ class TabularRun:
         self.paths["predictions"] = write_table(self.predictions, config.predictions_output_path)
 
     def load_model(self, path: str) -> None:
-        self.model = TrainedModel.load(self.spark, path)
+        self.model = load_model(self.spark, path)
 
     def predict(self, frame: DataFrame, ids: list[str]) -> DataFrame:
         if self.model is None:
             raise ValueError("model has not been trained yet")
-        return self.processor.add_ids_to_predictions(self.model.score(frame, ids), "prediction", ids)
+        classes = len(self.model.classes) if isinstance(self.model, MulticlassModel) else 1
+        return self.processor.add_ids_to_predictions(self.model.score(frame, ids), "prediction", ids, classes)
 
     # --- results ---
 

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import ensemble, explain
 from gridloom.operators.encode import FeatureEncoder
-from gridloom.operators.train import BoostedTrees, best_length
+from gridloom.operators.score import multiclass_output
+from gridloom.operators.train import BoostedTrees, best_length, load_model
 from gridloom.plans import frames as fr
 from gridloom.plans.frames import rounded
 from gridloom.plans.oracles import _auc
+from gridloom.session import scratch_path
 from gridloom.sources.metadata import FeaturePlan
 
 # --- a given ensemble ---------------------------------------------------------
@@ -146,9 +148,23 @@ def missing_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stump.fit(data, encoder.vector_slots()).score(data, fr.LINE_IDS))
 
 
+def group_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three classes: an ensemble for each, of one tree that separates every value of one category."""
+    df = fr.table(spark, sf_dir, "lineitem").select(
+        *fr.LINE_IDS, F.when(F.col("l_tax") != 0.08, F.col("l_linenumber").cast("string")).alias("line_no"),
+        F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0).alias("label"),
+    )
+    encoder = FeatureEncoder(FeaturePlan(fr.LINE_IDS, "label", categorical=["line_no"], keep_missing=["line_no"])).fit(df)
+    data = encoder.feature_frame(df, [*fr.LINE_IDS, "label"])
+    params = {"n_estimators": 1, "num_leaves": 4096, "min_data_in_leaf": 1, "feature_fraction": 1.0}
+    trained = BoostedTrees("classification", params, classes=[0.0, 1.0, 2.0]).fit(data, encoder.vector_slots(), encoder.max_arity())
+    path = trained.save(spark, scratch_path(spark, "model"))
+    return rounded(multiclass_output(load_model(spark, path).score(data, fr.LINE_IDS), "prediction", 3, fr.LINE_IDS))
+
+
 TREE_QUERIES = (
     ensemble_scores, ensemble_path_native, ensemble_path_contributions, ensemble_shap, ensemble_importance, ensemble_split_counts,
-    staged_auc, staged_rmse, best_length_by_auc, category_rank_codes, missing_direction,
+    staged_auc, staged_rmse, best_length_by_auc, category_rank_codes, missing_direction, group_multiclass,
 )
 
 # --- SQL twins ------------------------------------------------------------------
@@ -214,6 +230,15 @@ SELECT CAST(best AS INT) AS n_trees FROM firsts, stops WHERE firsts.n_trees = st
 ), means AS (SELECT part, (sum(label) + any_value(prior) * 10.0E0) / (count(*) + 10.0E0) AS m FROM line, prior GROUP BY part
 ), codes AS (SELECT part, CAST(row_number() OVER (ORDER BY m, part NULLS FIRST) - 1 AS DOUBLE) AS code FROM means)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, code FROM line JOIN codes ON line.part IS NOT DISTINCT FROM codes.part""",
+    "group_multiclass": """WITH line AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_tax <> 0.08 THEN l_linenumber END AS line_no, l_returnflag AS flag FROM lineitem
+), margins AS (
+  SELECT line_no, avg(CASE WHEN flag = 'A' THEN 1.0E0 ELSE -1.0E0 END) AS a, avg(CASE WHEN flag = 'N' THEN 1.0E0 ELSE -1.0E0 END) AS n,
+    avg(CASE WHEN flag NOT IN ('A', 'N') THEN 1.0E0 ELSE -1.0E0 END) AS r FROM line GROUP BY line_no
+), powers AS (SELECT line_no, exp(2 * a) AS a, exp(2 * n) AS n, exp(2 * r) AS r FROM margins)
+SELECT round(a / (a + n + r), 6) AS prob_class_0, round(n / (a + n + r), 6) AS prob_class_1, round(r / (a + n + r), 6) AS prob_class_2,
+  CAST(CASE WHEN a >= n AND a >= r THEN 0 WHEN n >= r THEN 1 ELSE 2 END AS INT) AS prediction, l_orderkey, l_linenumber, l_partkey, l_suppkey
+FROM line JOIN powers ON line.line_no IS NOT DISTINCT FROM powers.line_no""",
     "missing_direction": """WITH line AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_discount >= 0.02 THEN l_discount END AS x, CASE WHEN l_discount >= 0.02 THEN l_discount * 1000 ELSE 71.0 END AS label FROM lineitem
 ), cuts AS (

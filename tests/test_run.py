@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom import TabularRun
+from gridloom.operators.metrics import evaluate
 from gridloom.plans import frames as fr
 
 METADATA = [
@@ -114,3 +115,42 @@ def test_regression_run(spark, sf_dir, tmp_path):
     run.run()
     assert 0 < run.get_performance_metrics()["cv_average"] < 200
     assert run.get_importance_df().count() == 3
+
+
+def test_a_target_of_three_values(spark, inputs):
+    """Search, refit, scores per class, contributions per class, and the same predictions from the saved model."""
+    root, docs = inputs
+    docs = docs.withColumn("kind", F.when(F.col("n_words") < 150, 0).when(F.col("n_words") < 400, 1).otherwise(4)).drop("label")
+    docs.write.parquet(str(root / "kinds.parquet"))
+    model = {**MODEL, "target_variable": "kind", "evaluation_metric": "accuracy", "importance_extraction_method": "shap", "num_hp_searches": 1, "sample_for_contribution": 1.0}
+    train = {**training_config(root), "input_data_source": "PARQUET", "file_path": str(root / "kinds.parquet")}
+    run = TabularRun(model, train, spark, output_dir=str(root / "kinds"))
+    run.run()
+    assert run.model.classes == [0.0, 1.0, 4.0] and run.get_performance_metrics()["train"] > 0.9
+    assert all(m["metric"] > 0.7 for m in run.get_model_performances())
+    values = run.get_importance_values()
+    assert values.count() == 3 * docs.count() and {r["class"] for r in values.select("class").distinct().collect()} == {0.0, 1.0, 4.0}
+    assert run.get_feature_rankings().orderBy("rank").first()["feature"] in ("num__n_words", "num__n_chars")
+    scoring = {**train, "training": False, "data_processor_file_path": run.paths["preprocessor"], "model_file_path": run.paths["model"], "predictions_output_path": str(root / "kinds/predictions.parquet")}
+    scorer = TabularRun(model, scoring, spark, output_dir=str(root / "kinds"))
+    scorer.run()
+    rows = spark.read.parquet(scorer.paths["predictions"]).join(docs.select("doc_id", "kind"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    assert sum([0, 1, 4][r["prediction"]] == r["kind"] for r in rows) > 0.9 * len(rows)
+    for r in rows:
+        p = [r[f"prob_class_{i}"] for i in range(3)]
+        assert abs(sum(p) - 1) < 1e-9 and p.index(max(p)) == r["prediction"]
+
+
+def test_multiclass_metrics(spark):
+    rows = [(0, [0.7, 0.2, 0.1]), (0, [0.3, 0.4, 0.3]), (1, [0.1, 0.8, 0.1]), (1, [0.2, 0.5, 0.3]), (2, [0.3, 0.3, 0.4]), (2, [0.1, 0.6, 0.3])]
+    df = spark.createDataFrame(rows, "y int, p array<double>")
+    value = lambda name: evaluate(df, "classification", name, "y", "p", classes=[0.0, 1.0, 2.0]).first()["metric"]
+    assert value("accuracy") == pytest.approx(4 / 6)
+    assert value("recall") == pytest.approx((1 / 2 + 1 + 1 / 2) / 3) and value("precision") == pytest.approx((1 + 2 / 4 + 1) / 3)
+
+    def area(c):
+        pos, neg = [p[c] for y, p in rows if y == c], [p[c] for y, p in rows if y != c]
+        return sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg)
+
+    assert value("rocauc") == pytest.approx(sum(map(area, range(3))) / 3)
