@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import warnings
 from typing import Any
 
 from pyspark import StorageLevel
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.operators.explain import Explanation, explain
+from gridloom.operators.explain import METHODS, Explanation, explain
 from gridloom.operators.search import SearchResult, cross_validate_search
 from gridloom.operators.train import BoostedTrees, MulticlassModel, TrainedModel, load_model
 from gridloom.plans.loading import TableLoader
@@ -113,14 +115,28 @@ class TabularRun:
         self.model = trees.fit_and_measure(frame, config.evaluation_metric, encoder.vector_slots(), encoder.max_arity())
         self.performance_metrics["train"] = self.model.train_metric
         self.save_model()
-        method = config.importance_extraction_method
-        self.explanation = explain(self.model, frame, processed.ids, method, config.sample_for_contribution, config.seed)
-        self.save_importance_values()
+        self._explain(frame, processed.ids)
         # the written values replace their computation for everything downstream
         self.explanation.values = self.spark.read.parquet(self.paths["importance_values"])
         self.save_importance_results()
         frame.unpersist()
 
+    def _explain(self, frame: DataFrame, ids: list[str]) -> None:
+        """Contributions by the configured method, or by the other one if that fails; ``importance_method`` says which was used."""
+        config = self.config
+        wanted = config.importance_extraction_method
+        other = "treeinterpreter" if METHODS.get(wanted.lower()) == "shap" else "shap"
+        for method in (wanted, other):
+            self.explanation = explain(self.model, frame, ids, method, config.sample_for_contribution, config.seed)
+            try:
+                self.save_importance_values()
+                break
+            except PythonException as err:  # the method failed on a batch; a lost cluster is no reason to change it
+                if method == other:
+                    raise
+                warnings.warn(f"importance method {method} failed, using {other}: {str(err)[:300]}", stacklevel=2)
+        self.performance_metrics["importance_method"] = self.explanation.method
+
     def save_hyperparameter_study(self, path: str | None = None) -> str:
         if self.search is None:
             raise ValueError("no search history to save")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom import TabularRun
+from gridloom.operators import explain
 from gridloom.operators.metrics import evaluate
 from gridloom.plans import frames as fr
 
@@ -154,3 +155,21 @@ def test_multiclass_metrics(spark):
         return sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg)
 
     assert value("rocauc") == pytest.approx(sum(map(area, range(3))) / 3)
+
+
+def test_importance_falls_back_to_the_other_method(spark, inputs, monkeypatch):
+    root, _ = inputs
+
+    def broken(arrays):
+        def run(x):
+            raise MemoryError("too many patterns")
+
+        return run
+
+    monkeypatch.setitem(explain._PREPARE, "shap", broken)
+    model = {**MODEL, "importance_extraction_method": "shap", "num_hp_searches": 1}
+    run = TabularRun(model, training_config(root), spark, output_dir=str(root / "fallback"))
+    with pytest.warns(UserWarning, match="shap failed"):
+        run.run()
+    assert run.get_performance_metrics()["importance_method"] == "treeinterpreter"
+    assert run.paths["importance"].endswith("label_treeinterpreter_feature_importance.csv") and run.get_feature_rankings().count() > 0
