@@ -10,7 +10,7 @@ from gridloom.llm.merkle import OP12_SQL, op12_merkle_manifest
 from gridloom.llm.mixing import OP9_SQL, op9_source_mixing
 from gridloom.llm.ngram_lm import op10_lm_scoring
 from gridloom.llm.quality_gam import op2_quality_classifier
-from gridloom.llm.quality_rules import OP6_SQL, op6_quality_rules
+from gridloom.llm.quality_rules import ABLATIONS_SQL, OP6_SQL, op6_quality_rules, quality_rule_ablations
 from gridloom.llm.simhash import op1_simhash
 from gridloom.llm.surrogates import op4_pii_surrogates
 from gridloom.llm.toxicity import op11_toxicity
@@ -23,6 +23,7 @@ QUERIES = {
     "op4_pii_surrogates": op4_pii_surrogates,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
+    "quality_rule_ablations": quality_rule_ablations,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op9_source_mixing": op9_source_mixing,
@@ -34,6 +35,7 @@ QUERIES = {
 ORACLES = {
     "op3_url_filters": OP3_SQL,
     "op6_quality_rules": OP6_SQL,
+    "quality_rule_ablations": ABLATIONS_SQL,
     "op8_line_dedup": OP8_SQL,
     "op9_source_mixing": OP9_SQL,
     "op12_merkle_manifest": OP12_SQL,

@@ -145,6 +145,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every rule of every policy does to the whole table, from the bits of one ledger."""
+    return ablations(ledger(table(spark, sf_dir, "documents")))
+
+
 OP6_SQL = r"""
 WITH doc AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
@@ -172,3 +177,12 @@ WITH doc AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failure_bits & 3) <> 0 AS base_failed, failure_bits = 0 AS kept, failure_bits FROM b
 """
+
+_RULE_BITS = ", ".join(f"('{rule}', {mask([rule])})" for rule in RULES)
+_POLICY_MASKS = ", ".join(f"('{name}', {mask(chosen)})" for name, chosen in POLICIES.items())
+ABLATIONS_SQL = f"""
+WITH ledger AS ({OP6_SQL}), asked(policy, mask) AS (VALUES {_POLICY_MASKS}), rules(rule, bit) AS (VALUES {_RULE_BITS})
+SELECT policy, rule, count(*) FILTER (WHERE (failure_bits & mask) <> 0) AS rejected, count(*) FILTER (WHERE (failure_bits & mask) = bit) AS only_by_rule,
+       count(*) FILTER (WHERE (failure_bits & (mask - bit)) = 0) AS kept_without
+FROM asked JOIN rules ON (mask & bit) <> 0 CROSS JOIN ledger GROUP BY policy, rule
+"""
