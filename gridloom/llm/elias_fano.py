@@ -174,9 +174,9 @@ class Section:
             count[same] = (self.counts.at(hit + 1) - self.counts.at(hit)).astype(np.int64)
         return node, count
 
-    def after(self, node: np.ndarray, follower: np.ndarray, left: float | None = None) -> np.ndarray:
+    def after(self, node: np.ndarray, follower: np.ndarray, left: float | None = None, seen: int = 1) -> np.ndarray:
         """What the bigram adds to the unigram's log10 probability: the backoff weight (log10 ``left``, where that is
-        given), together with the gain of a known follower.
+        given), together with the gain of a known follower, divided by ``seen``.
 
         The successor is sought from the context's offset and must lie between its pointers.
         """
@@ -187,5 +187,5 @@ class Section:
             x = (node[some].astype(U64) << U64(FOLLOWER_BITS)) + (follower[some] >> U64(64 - FOLLOWER_BITS))
             at, same = self.followers.successor(x)
             same &= (at >= begin[some]) & (at < stop[some])
-            value[some[same]] = np.log10(10.0 ** self.gain_book[self.gain[at[same]]].astype(float) + 10.0 ** value[some[same]])
+            value[some[same]] = np.log10(10.0 ** self.gain_book[self.gain[at[same]]].astype(float) / seen + 10.0 ** value[some[same]])
         return value

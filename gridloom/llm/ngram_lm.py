@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import fold, stored, table
-from gridloom.llm.elias_fano import FOLLOWER_BITS, Section, build_section
+from gridloom.llm.elias_fano import FOLLOWER_BITS, Section, build_section, pack, unpack
 
 FOLD, HELD_OUT = 7, 2
 #: Every pair of neighbours is kept, however rare.
@@ -77,33 +77,94 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("text").mapInPandas(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-#: Parts that the pairs of one second word are dealt to.
-PARTS = 8
+#: Tokens whose pairs a task combines before they are shuffled.
+PAIR_CHUNK = 1 << 22
 
 
-def count_pairs(train: DataFrame) -> DataFrame:
-    """``a, b, part, c`` of all pairs of neighbours, dealt by ``b`` and ``part``, three bits of ``a``.
+def slice_of(word: np.ndarray, slices) -> np.ndarray:
+    """Which of equal ranges of unsigned hashes holds a word, from its top 20 bits."""
+    return ((word >> np.uint64(44)).astype(np.int64) * slices) >> 20
+
+
+class Places:
+    """Where the pairs of a word go: to a range of the hashes, or, for words seen ``entries`` times or more, to places of their own, by slices of the other word.
 
-    Pairs leave a task sorted by their second word, which keeps the shuffle compressible.
+    There are at most N / ``entries`` such words, and at most 3 N / ``entries`` + 1 places.
     """
 
-    def count(batches):
+    def __init__(self, sections: int, rows: list[tuple[int, int]], entries: int):
+        self.sections, self.entries = sections, entries
+        hot = sorted((h & (1 << 64) - 1, n) for h, n in rows)
+        self.words = np.array([h for h, _ in hot], dtype=np.uint64)
+        self.counts = np.array([n for _, n in hot], dtype=np.int64)
+        self.slices = -(-self.counts // entries)
+        self.base = sections + np.cumsum(self.slices) - self.slices
+
+    def of(self, word: np.ndarray, other: np.ndarray) -> np.ndarray:
+        place = ((word >> np.uint64(33)).astype(np.int64) * self.sections) >> 31
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
+            place = np.where(self.words[at] == word, self.base[at] + slice_of(other, self.slices[at]), place)
+        return place
+
+    def owner(self, place: int) -> int | None:
+        """The number of the word whose own place this is."""
+        return None if place < self.sections else int(np.searchsorted(self.base, place, side="right")) - 1
+
+
+def _dealt(place: np.ndarray, arrays: dict[str, np.ndarray]) -> pd.DataFrame:
+    """One packed row per place; the order within a place is kept."""
+    order = np.argsort(place, kind="stable")
+    ends = np.flatnonzero(np.diff(place[order], append=-1)) + 1
+    starts = np.concatenate([[0], ends[:-1]])
+    return pd.DataFrame({"place": [int(place[order[i]]) for i in starts], "pairs": [pack({k: v[order[i:j]] for k, v in arrays.items()}) for i, j in zip(starts, ends)]})
+
+
+def _gathered(blobs) -> dict[str, np.ndarray]:
+    parts = [unpack(bytes(blob)) for blob in blobs]
+    return {name: np.concatenate([part[name] for part in parts]) for name in parts[0]}
+
+
+def _summed(first: np.ndarray, second: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal pairs once, sorted, with the sum of their counts."""
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[at], b[at], np.add.reduceat(counts[order], at)
+
+
+def dealt_pairs(train: DataFrame, places: Places) -> DataFrame:
+    """``place, pairs``: the pairs of neighbours of ``PAIR_CHUNK`` tokens, combined, packed and dealt by their second word."""
+    sent = train.sparkSession.sparkContext.broadcast(places)
+
+    def deal(batches):
+        pending, size = [], 0
         for _, lengths, hashes in _token_chunks(pdf["text"] for pdf in batches):
-            before = _before(hashes, lengths)
-            order = np.lexsort((before, hashes))
-            a, b = before[order], hashes[order]
-            new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            at = np.flatnonzero(new)
-            yield pd.DataFrame({"a": a[at].astype(np.int64), "b": b[at].astype(np.int64), "c": np.diff(np.append(at, len(a))).astype(np.int32)})
+            pending.append((_before(hashes, lengths), hashes))
+            size += len(hashes)
+            if size >= PAIR_CHUNK:
+                yield one(pending)
+                pending, size = [], 0
+        if pending:
+            yield one(pending)
+
+    def one(pending):
+        before, hashes = (np.concatenate(x) for x in zip(*pending))
+        b, a, c = _summed(hashes, before, np.ones(len(hashes), np.int32))
+        return _dealt(sent.value.of(b, a), {"b": b, "a": a, "c": c})
+
+    return train.select("text").mapInPandas(deal, "place long, pairs binary")
+
 
-    pairs = train.select("text").mapInPandas(count, "a long, b long, c int")
-    dealt = pairs.withColumn("part", F.col("a").bitwiseAND(PARTS - 1).cast("int")).repartition("b", "part")
-    return dealt.groupBy("b", "part", "a").agg(F.sum("c").alias("c"))
+def count_pairs(train: DataFrame) -> DataFrame:
+    """``a, b, c``: every pair of neighbours and how often it is seen, as a table."""
 
+    def rows(pdf):
+        x = _gathered(pdf["pairs"])
+        b, a, c = _summed(x["b"], x["a"], x["c"].astype(np.int64))
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64), "c": c})
 
-def section_of(h, sections: int):
-    """Which of equal ranges of unsigned 64-bit hashes holds ``h``, from the top 31 bits."""
-    return F.shiftright(F.shiftrightunsigned(h, 33) * sections, 31).cast("int")
+    return dealt_pairs(train, Places(1, [], 1)).groupBy("place").applyInPandas(rows, "a long, b long, c long")
 
 
 def _bounds(section: int, sections: int) -> tuple[int, int]:
@@ -112,13 +173,8 @@ def _bounds(section: int, sections: int) -> tuple[int, int]:
     return first, end
 
 
-def slice_of(follower: np.ndarray, slices: int) -> np.ndarray:
-    """Which of equal ranges of unsigned hashes holds a follower, from its top 20 bits."""
-    return ((follower >> np.uint64(44)).astype(np.int64) * slices) >> 20
-
-
-def build_trie(train: DataFrame, entries: int = SECTION_ENTRIES) -> tuple[DataFrame, int, int]:
-    """``section, hot, slice, slices, n, t, blob`` of the model, the number N of training tokens and V of distinct ones.
+def build_trie(train: DataFrame, entries: int = SECTION_ENTRIES) -> tuple[DataFrame, Places, int, int]:
+    """``place, t, blob`` of the model, its places, the number N of training tokens and V of distinct ones.
 
     With P(w) = (c + 1) / (N + V + 1), a pair of count k after a word of count n has
     P(w | v) = (k - D) / n + r(v) P(w), where r(v) = D t / n is what the t different followers of v leave
@@ -126,54 +182,65 @@ def build_trie(train: DataFrame, entries: int = SECTION_ENTRIES) -> tuple[DataFr
     log10 ((k - D) / n / P(w)). Every token has one predecessor and one follower (the end token of
     the text before stands before a text), so n is the sum over the pairs of either side.
 
-    A word seen ``entries`` times or more (there are at most N / ``entries``) is ``hot``: its followers are cut
-    into slices by their hashes, each a section of its own, and ``t`` of all slices gives r(v).
+    The pairs go to the place of their second word, where its probability is known, and from
+    there to that of their first word, where they are encoded. The followers of a word with places of its
+    own are a section for each; there n is left out of the gains, and ``t`` of all its places gives r(v).
     """
     words = stored(count_words(train), "lm-words")
     facts = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     total, distinct = facts[0] or 0, facts[1]
-    sections = max(1, -(-total // entries))
-    alone = F.log10((F.col("m") + 1) / F.lit(float(total + distinct + 1)))
-    spread = words.select(F.col("h").alias("b"), F.col("c").alias("m"), F.explode(F.array(*[F.lit(k) for k in range(PARTS)])).alias("part"))
-    known = count_pairs(train).join(spread, ["b", "part"]).select("a", "b", F.col("c").cast("int").alias("c"), (F.log10(F.col("c") - DISCOUNT) - alone).cast("float").alias("x"))
-    hot = stored(words.where(F.col("c") >= entries).select(F.col("h").alias("hot"), F.col("c").alias("n"), F.ceil(F.col("c") / entries).cast("long").alias("slices")), "lm-hot")
-    placed = known.join(hot, F.col("a") == F.col("hot"), "left").select(
-        "a", F.shiftleft(F.shiftrightunsigned("b", 64 - FOLLOWER_BITS), 64 - FOLLOWER_BITS).alias("b"), "c", "x", section_of(F.col("a"), sections).alias("section"), F.coalesce("hot", F.lit(0)).alias("hot"),
-        F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("slices", F.lit(0)).alias("slices"), F.coalesce(F.shiftright(F.shiftrightunsigned("b", 44) * F.col("slices"), 20), F.lit(0)).alias("slice"),
-    )
+    hot = words.where(F.col("c") >= entries).collect() if total else []
+    places = Places(max(1, -(-total // entries)), [(r["h"], r["c"]) for r in hot], entries)
+    sent = train.sparkSession.sparkContext.broadcast(places)
+
+    def weigh(key, pdf):
+        x = _gathered(pdf["pairs"])
+        b, a, c = _summed(x["b"], x["a"], x["c"].astype(np.int64))
+        owner = sent.value.owner(int(key[0]))
+        if owner is None:
+            _, at = np.unique(b, return_inverse=True)
+            seen = np.bincount(at, c)[at]
+        else:
+            seen = sent.value.counts[owner]
+        gain = np.log10(c - DISCOUNT) - np.log10((seen + 1) / (total + distinct + 1))
+        order = np.argsort(a, kind="stable")
+        a, b, c, gain = a[order], b[order], c[order], gain[order]
+        short = (b >> np.uint64(64 - FOLLOWER_BITS)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : FOLLOWER_BITS // 8]
+        return _dealt(sent.value.of(a, b), {"a": a, "b": np.ascontiguousarray(short).view(f"V{FOLLOWER_BITS // 8}").ravel(), "c": c.astype(np.int32), "x": gain.astype(np.float16)})
 
     def encode(key, pdf):
-        section, word, part, slices, n = (int(k) for k in key)
-        a, b = pdf["a"].to_numpy(np.int64).view(np.uint64), pdf["b"].to_numpy(np.int64).view(np.uint64)
-        c, x = pdf["c"].to_numpy(np.int64), pdf["x"].to_numpy(float)
-        contexts, at = np.unique(a, return_inverse=True)
-        followers = np.bincount(at)
-        counts = np.full(len(contexts), n) if slices else np.bincount(at, c).astype(np.int64)
-        start, end = (int(contexts[0]), int(contexts[0]) + 1) if slices else _bounds(section, sections)
-        blob = build_section(start, end, contexts, counts, np.log10(DISCOUNT * followers / counts), a, b, x - np.log10(counts[at]))
-        return pd.DataFrame({"section": [section], "hot": [word], "slice": [part], "slices": [slices], "n": [n], "t": [int(followers.sum())], "blob": [blob]})
-
-    keys = ["section", "hot", "slice", "slices", "n"]
-    built = placed.groupBy(*keys).applyInPandas(encode, "section int, hot long, slice long, slices long, n long, t long, blob binary")
-    return stored(built, "lm-sections"), total, distinct
+        place, owner = int(key[0]), sent.value.owner(int(key[0]))
+        x = _gathered(pdf["pairs"])
+        wide = np.zeros((len(x["b"]), 8), np.uint8)
+        wide[:, : FOLLOWER_BITS // 8] = x["b"].view(np.uint8).reshape(len(wide), -1)
+        b = wide.view("<u8").ravel() << np.uint64(64 - FOLLOWER_BITS)
+        contexts, at = np.unique(x["a"], return_inverse=True)
+        followers, counts = np.bincount(at), np.bincount(at, x["c"]).astype(np.int64)
+        shift = np.log10(counts[at]) if owner is None else 0.0
+        start, end = _bounds(place, sent.value.sections) if owner is None else (int(contexts[0]), int(contexts[0]) + 1)
+        blob = build_section(start, end, contexts, counts, np.log10(DISCOUNT * followers / counts), x["a"], b, x["x"].astype(float) - shift)
+        return pd.DataFrame({"place": [place], "t": [int(followers.sum())], "blob": [blob]})
+
+    weighed = dealt_pairs(train, places).groupBy("place").applyInPandas(weigh, "place long, pairs binary")
+    return stored(weighed.groupBy("place").applyInPandas(encode, "place long, t long, blob binary"), "lm-sections"), places, total, distinct
 
 
 class MappedTrie:
     """The sections of a round, mapped from an unlinked scratch file of the task's process.
 
-    ``parts`` has the rows of the round, ``left`` r(v) of every hot word.
+    ``parts`` has ``(place, first, blob)``, where ``first`` marks one place of each word with several, and ``left`` r(v) of such words by their number.
     """
 
-    def __init__(self, parts: list[dict], left: dict[int, float]):
+    def __init__(self, parts: list[tuple[int, bool, bytes]], places: Places, left: dict[int, float]):
         with tempfile.TemporaryFile() as file:
             starts = []
-            for part in parts:
+            for _, _, blob in parts:
                 starts.append(file.tell())
-                file.write(part["blob"])
+                file.write(blob)
             file.flush()
             self.buffer = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        self.parts = [(Section(self.buffer, start), part) for start, part in zip(starts, parts)]
-        self.left = left
+        self.parts = [(Section(self.buffer, start), place, first) for start, (place, first, _) in zip(starts, parts)]
+        self.places, self.left = places, left
 
     def sums(self, lengths: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Known tokens, what their counts add to the unigram log10 sum of unknown ones, and what the pairs add, per text, for the words of this round."""
@@ -185,22 +252,21 @@ class MappedTrie:
             contexts = contexts.copy()
             contexts[0] = np.searchsorted(words, END)
         known, base, extra = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(hashes))
-        for s, part in self.parts:
+        for s, place, first in self.parts:
             lo, hi = np.searchsorted(words, s.first, "left"), np.searchsorted(words, s.last, "right")
             if lo == hi:
                 continue
             node, count = s.find(words[lo:hi])
             at = np.flatnonzero((contexts >= lo) & (contexts < hi))
             at = at[node[contexts[at] - lo] >= 0]
-            left = None
-            if part["slices"]:  # only pairs with followers of this slice, and the word itself once
-                left = self.left[part["hot"]]
-                at = at[slice_of(hashes[at], part["slices"]) == part["slice"]]
-                count = count * part["first"]
+            owner = self.places.owner(place)
+            if owner is not None:  # the word itself once, and only pairs with followers of this place
+                count = np.full(hi - lo, self.places.counts[owner] if first else 0)
+                at = at[self.places.base[owner] + slice_of(hashes[at], self.places.slices[owner]) == place]
             known[lo:hi] += count > 0
             base[lo:hi] += np.log10(count + 1)
             if len(at):
-                extra[at] = s.after(node[contexts[at] - lo], hashes[at], left)
+                extra[at] = s.after(node[contexts[at] - lo], hashes[at], *(() if owner is None else (self.left[owner], int(self.places.counts[owner]))))
         add = lambda values: np.bincount(text, values, len(lengths))
         return add(known[where]), add(base[where]), add(extra)
 
@@ -217,34 +283,32 @@ def score_texts(docs: DataFrame, train: DataFrame, entries: int = SECTION_ENTRIE
     result, null ids are ids. Without training text N and V are 0. No rows: no rows.
     """
     spark = docs.sparkSession
-    sections, total, distinct = build_trie(train.select("text"), entries)
-    order = ["section", "hot", "slice"]
-    facts = sections.select(*order, "slices", "n", "t", F.length("blob").alias("bytes")).orderBy(*order).collect()  # one row per million tokens
+    sections, places, total, distinct = build_trie(train.select("text"), entries)
+    facts = sections.select("place", "t", F.length("blob").alias("bytes")).orderBy("place").collect()  # one row per million tokens
     left: dict[int, float] = {}
-    for f in facts:
-        if f["slices"]:
-            left[f["hot"]] = left.get(f["hot"], 0.0) + DISCOUNT * f["t"] / f["n"]
-    begun: set[int] = set()
-    rounds: list[list[dict]] = [[]]
+    rounds: list[list[tuple[int, bool]]] = [[]]
     room = round_bytes
     for f in facts:
+        owner = places.owner(f["place"])
+        first = owner is not None and owner not in left
+        if owner is not None:
+            left[owner] = left.get(owner, 0.0) + DISCOUNT * f["t"] / float(places.counts[owner])
         if rounds[-1] and f["bytes"] > room:
             rounds.append([])
             room = round_bytes
-        rounds[-1].append({**{k: f[k] for k in (*order, "slices")}, "first": f["hot"] not in begun})
-        begun.add(f["hot"])
+        rounds[-1].append((f["place"], first))
         room -= f["bytes"]
     schema = "doc_id {}, h long, n_tokens long, k{i} double, b{i} double, e{i} double"
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text")
     result = None
     for i, wanted in enumerate(rounds):
-        chosen = spark.createDataFrame([tuple(part[k] for k in order) for part in wanted], "section int, hot long, slice long")
-        blobs = {(r["section"], r["hot"], r["slice"]): bytes(r["blob"]) for r in sections.join(chosen, order, "left_semi").collect()}
-        sent = spark.sparkContext.broadcast([{**part, "blob": blobs[part["section"], part["hot"], part["slice"]]} for part in wanted])
+        chosen = spark.createDataFrame([(place,) for place, _ in wanted], "place long")
+        blobs = {r["place"]: bytes(r["blob"]) for r in sections.join(chosen, "place", "left_semi").collect()}
+        sent = spark.sparkContext.broadcast([(place, first, blobs[place]) for place, first in wanted])
 
         def look_up(batches, sent=sent, i=i):
-            trie = MappedTrie(sent.value, left) if sent.value else None
+            trie = MappedTrie(sent.value, places, left) if sent.value else None
             for pdf in batches:
                 for at, lengths, hashes in _token_chunks([pdf["text"]]):
                     zero = np.zeros(len(lengths))

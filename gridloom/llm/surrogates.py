@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import blake2b
 from math import isqrt
 
@@ -48,7 +47,6 @@ LETTERS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóú", "àèìòù", "âêî
 _LETTER_CLASS = {c: letters for letters in LETTERS for c in letters}
 
 
-@lru_cache(maxsize=100_000)
 def letter_class(c: str) -> str:
     """The characters that stand in for ``c``: of its class above, or else those of its kind near it in its script; '' for signs."""
     if c in _LETTER_CLASS or not c.isalnum():
@@ -57,6 +55,7 @@ def letter_class(c: str) -> str:
         first = ord(c) // width * width
         near = "".join(x for x in map(chr, range(first, first + width)) if unicodedata.category(x) == unicodedata.category(c) and x.isalnum() and x.lower() == x)
         if c in near and len(near) > 1:
+            _LETTER_CLASS[c] = near  # at most one entry for each character there is
             return near
     return ""
 
