@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,22 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Sent:
+    """A broadcast value of a class that the executors do not have; it is sent by value and read once per task."""
+
+    def __init__(self, spark: SparkSession, value: Any):
+        self.box = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict:
+        return {"box": self.box}
+
+    @property
+    def value(self) -> Any:
+        if "read" not in self.__dict__:
+            self.read = cloudpickle.loads(self.box.value)
+        return self.read
+
+
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is not in the one column of ``ids``; null equals null.
 

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import fold, stored, table
+from gridloom.llm.common import Sent, fold, stored, table
 
 FOLD, HELD_OUT = 4, 2
 WINDOW = 256
@@ -141,7 +141,7 @@ def identify(docs: DataFrame, max_per_language: int = MAX_PER_LANGUAGE) -> DataF
     text exists. Null ids are in no fold and null languages teach nothing. No rows: no rows.
     """
     network = fit_network(docs, max_per_language)
-    sent = docs.sparkSession.sparkContext.broadcast(network)
+    sent = Sent(docs.sparkSession, network)
 
     @F.pandas_udf("lang_pred string, score double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

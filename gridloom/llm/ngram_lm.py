@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import fold, stored, table
+from gridloom.llm.common import Sent, fold, stored, table
 from gridloom.llm.elias_fano import FOLLOWER_BITS, Section, build_section, pack, unpack
 
 FOLD, HELD_OUT = 7, 2
@@ -135,7 +135,7 @@ def _summed(first: np.ndarray, second: np.ndarray, counts: np.ndarray) -> tuple[
 
 def dealt_pairs(train: DataFrame, places: Places) -> DataFrame:
     """``place, pairs``: the pairs of neighbours of ``PAIR_CHUNK`` tokens, combined, packed and dealt by their second word."""
-    sent = train.sparkSession.sparkContext.broadcast(places)
+    sent = Sent(train.sparkSession, places)
 
     def deal(batches):
         pending, size = [], 0
@@ -191,7 +191,7 @@ def build_trie(train: DataFrame, entries: int = SECTION_ENTRIES) -> tuple[DataFr
     total, distinct = facts[0] or 0, facts[1]
     hot = words.where(F.col("c") >= entries).collect() if total else []
     places = Places(max(1, -(-total // entries)), [(r["h"], r["c"]) for r in hot], entries)
-    sent = train.sparkSession.sparkContext.broadcast(places)
+    sent = Sent(train.sparkSession, places)
 
     def weigh(key, pdf):
         x = _gathered(pdf["pairs"])

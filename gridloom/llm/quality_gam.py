@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import fold, stored, table, texts
+from gridloom.llm.common import Sent, fold, stored, table, texts
 
 FOLD, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -200,7 +200,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAI
     Without labels every score is 0.5. No rows: no rows.
     """
     measured = stored(features(docs), "quality-features")
-    model = docs.sparkSession.sparkContext.broadcast(fit_model(measured, labels, max_rows))
+    model = Sent(docs.sparkSession, fit_model(measured, labels, max_rows))
 
     @F.pandas_udf("double")
     def of(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

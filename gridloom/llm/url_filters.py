@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import UPPER, LOWER, table
+from gridloom.llm.common import LOWER, UPPER, Sent, table
 
 #: Characters of all rules up to which the trie is sent to the tasks, where it takes about 45 bytes for each (90 MB); longer lists are joined.
 MAX_TRIE_CHARS = 2_000_000
@@ -107,7 +107,7 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]], default: str
     if sum(len(host) + len(path) for host, path, _ in rules) > MAX_TRIE_CHARS:
         spark = pages.sparkSession
         return judge_joined(pages, spark.createDataFrame(rules, "host string, path string, verdict string"), default)
-    trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
+    trie = Sent(pages.sparkSession, RuleTrie(rules))
 
     @F.pandas_udf("rule string, verdict string")
     def fitted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:

@@ -183,7 +183,8 @@ def test_tasks_do_not_need_the_package(tmp_path, sf_dir):
         "from gridloom.session import build_session\n"
         "spark = build_session('job', 'local[4]', spark__sql__shuffle__partitions='4')\n"
         "for name, query in QUERIES.items():\n"
-        f"    print(name, query(spark, {sf_dir!r}).count() >= 0)\n"
+        f"    query(spark, {sf_dir!r}).write.format('noop').mode('overwrite').save()\n"
+        "    print(name, True)\n"
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
