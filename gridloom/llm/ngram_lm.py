@@ -3,13 +3,12 @@
 Pairs of neighbours are shuffled twice: to their second word, where they are counted and meet its
 probability, and to the section of their first word, where a task encodes them. A context with more
 followers than a section holds is cut by ranges of followers. Sections travel in rounds of bounded size; each task
-maps the sections of a round from a scratch file and answers the look-ups of its documents as whole arrays.
+maps the sections of a round into memory and answers the look-ups of its documents as whole arrays.
 """
 
 from __future__ import annotations
 
 import mmap
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -226,19 +225,16 @@ def build_trie(train: DataFrame, entries: int = SECTION_ENTRIES) -> tuple[DataFr
 
 
 class MappedTrie:
-    """The sections of a round, mapped from an unlinked scratch file of the task's process.
+    """The sections of a round in anonymous mapped memory of the task's process.
 
     ``parts`` has ``(place, first, blob)``, where ``first`` marks one place of each word with several, and ``left`` r(v) of such words by their number.
     """
 
     def __init__(self, parts: list[tuple[int, bool, bytes]], places: Places, left: dict[int, float]):
-        with tempfile.TemporaryFile() as file:
-            starts = []
-            for _, _, blob in parts:
-                starts.append(file.tell())
-                file.write(blob)
-            file.flush()
-            self.buffer = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        starts = np.cumsum([0, *[len(blob) for _, _, blob in parts]]).tolist()
+        self.buffer = mmap.mmap(-1, max(1, starts[-1]))
+        for _, _, blob in parts:
+            self.buffer.write(blob)
         self.parts = [(Section(self.buffer, start), place, first) for start, (place, first, _) in zip(starts, parts)]
         self.places, self.left = places, left
 
