@@ -300,8 +300,10 @@ def score_texts(docs: DataFrame, train: DataFrame, entries: int = SECTION_ENTRIE
     result = None
     for i, wanted in enumerate(rounds):
         chosen = spark.createDataFrame([(place,) for place, _ in wanted], "place long")
-        blobs = {r["place"]: bytes(r["blob"]) for r in sections.join(chosen, "place", "left_semi").collect()}
-        sent = spark.sparkContext.broadcast([(place, first, blobs[place]) for place, first in wanted])
+        first_of = dict(wanted)
+        parts = [(r["place"], first_of[r["place"]], bytes(r["blob"])) for r in sections.join(chosen, "place", "left_semi").toLocalIterator()]
+        sent = spark.sparkContext.broadcast(parts)
+        del parts  # it is in the broadcast's file
 
         def look_up(batches, sent=sent, i=i):
             trie = MappedTrie(sent.value, places, left) if sent.value else None
