@@ -19,6 +19,7 @@ from gridloom.plans.frames import rounded
 from gridloom.plans.oracles import _auc
 from gridloom.session import scratch_path
 from gridloom.sources.metadata import FeaturePlan
+from gridloom.sources.readers import spread
 
 # --- a given ensemble ---------------------------------------------------------
 
@@ -54,7 +55,7 @@ def given_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
-    part = fr.table(spark, sf_dir, "part")
+    part = spread(fr.table(spark, sf_dir, "part"), fr.ROWS_PER_TASK)
     label = F.when((F.col("p_partkey") * 7 + F.col("p_size")) % 10 < 4, 1).otherwise(0)
     return part.withColumn("label", label), F.array(*[F.col(c).cast("double") for c in SLOTS])
 

@@ -23,6 +23,7 @@ from gridloom.operators.folds import assign_folds
 from gridloom.operators.search import SearchResult, cross_validate_search, encode_folds
 from gridloom.operators.train import BoostedTrees, TrainedModel, best_length, complete_params, first_trees, learner_options
 from gridloom.sources.metadata import FeaturePlan
+from gridloom.sources.readers import spread
 
 PARAMS = {"n_estimators": 6, "num_leaves": 8, "min_data_in_leaf": 5, "learning_rate": 0.3, "feature_fraction": 1.0}
 
@@ -188,6 +189,48 @@ def test_native_walk_equals_the_model(spark, frame, trained, nominal):
         assert np.allclose(raw, part, atol=1e-9)
 
 
+def test_staged_margins_walk_rows_in_batches(spark):
+    """Codes, missing cells, missing slots and missing values of nodes, without an expression per node and row."""
+    schema = "tree int, node int, left int, right int, slot int, threshold double, codes array<double>, value double, weight double"
+    nodes = spark.createDataFrame(
+        [
+            (0, 0, 1, 2, 0, 1.5, None, 0.0, 1.0), (0, 1, -1, -1, None, None, None, 1.0, 1.0), (0, 2, -1, -1, None, None, None, 2.0, 1.0),
+            (1, 0, 1, 2, 1, None, [0.0, 3.0], 0.0, 0.5), (1, 1, -1, -1, None, None, None, 8.0, 0.5), (1, 2, -1, -1, None, None, None, None, 0.5),
+            (2, 0, 1, 2, 7, 1.0, None, 0.0, 1.0), (2, 1, -1, -1, None, None, None, 16.0, 1.0), (2, 2, -1, -1, None, None, None, 32.0, 1.0),
+        ],
+        schema,
+    )
+    rows = [(1, [1.5, 3.0]), (2, [None, 0.0]), (3, [math.nan, 0.5]), (4, [1.0, None]), (5, None), (6, [1.0]), (7, [9.0, -1.0]), (None, [9.0, 4.0])]
+    df = spark.createDataFrame(rows, "id int, x array<double>")
+    staged = en.staged_margins(nodes, df, F.col("x"), ["id"])
+    assert "MapInArrow" in staged._jdf.queryExecution().toString()
+    found = {r["id"]: r["staged"] for r in staged.collect()}
+    left, right = [1.0, 5.0, 37.0], [2.0, 6.0, 38.0]
+    assert found == {
+        1: left, 2: right, 3: [2.0, None, 32.0], 4: [1.0, None, 32.0], 5: [2.0, None, 32.0], 6: [1.0, None, 32.0], 7: [2.0, None, 32.0], None: [2.0, None, 32.0],
+    }
+
+
+def test_auc_makes_its_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(m, "ROWS_PER_RANGE", 10)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("id % 2 as y", "cast(id % 100 as double) as s")
+    assert m.roc_auc(df.mapInArrow(count, df.schema), "y", "s").first()["rocauc"] == pytest.approx(0.51)
+    assert made.value == 1000
+
+
+def test_spread_bounds_the_rows_of_a_task(spark):
+    df = spark.range(0, 1000, 1, 2)
+    assert spread(df, 50).rdd.getNumPartitions() == 20
+    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_early_stopping_watches_the_metric(frame):
     """The number of trees is that of the best beginning, each scored alone."""
     df, plan = frame
