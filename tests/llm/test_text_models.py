@@ -183,3 +183,11 @@ def test_language_model_of_odd_rows(odd_docs, no_docs):
     assert lm.score_texts(no_docs, no_docs).count() == 0
     untaught = lm.score_texts(odd_docs, no_docs).collect()
     assert {r["train_tokens"] for r in untaught} == {0} and {r["score"] for r in untaught} == {0.0}
+
+
+def test_sections_of_a_round_are_not_copied(spark):
+    docs = spark.createDataFrame([(1, "red fox red owl"), (2, "grey fox")], "doc_id long, text string")
+    sections, places, _, _ = lm.build_trie(docs.select("text"))
+    blob = bytes(sections.first()["blob"])
+    trie = lm.RoundTrie([(0, False, blob)], places, {})
+    assert np.shares_memory(trie.parts[0][0].gain, np.frombuffer(blob, np.uint8))
