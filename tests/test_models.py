@@ -371,3 +371,12 @@ def test_tasks_do_not_need_the_package(tmp_path, sf_dir):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 6000 6000" in done.stdout, done.stderr[-2000:]
+
+
+def test_search_keeps_only_what_it_reads(frame, monkeypatch):
+    df, plan = frame
+    folds = encode_folds(assign_folds(df, 2, plan.ids, target="label"), FeatureEncoder(plan), 2, "label", plan.ids)
+    seen = []
+    monkeypatch.setattr(search, "run_fold", lambda fold, *_: seen.append(fold.frame.columns) or 0.5)
+    cross_validate_search(folds, parse_space({"n_estimators": {"kind": "discrete", "low": 3, "high": 5}}), 1, "classification", "rocauc", "gt", "label")
+    assert seen == [["label", "fold", "features"]] * 2
