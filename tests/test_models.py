@@ -7,6 +7,7 @@ import sys
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -380,3 +381,26 @@ def test_search_keeps_only_what_it_reads(frame, monkeypatch):
     monkeypatch.setattr(search, "run_fold", lambda fold, *_: seen.append(fold.frame.columns) or 0.5)
     cross_validate_search(folds, parse_space({"n_estimators": {"kind": "discrete", "low": 3, "high": 5}}), 1, "classification", "rocauc", "gt", "label")
     assert seen == [["label", "fold", "features"]] * 2
+
+
+def test_learners_of_several_classes_read_equal_rows_once(spark, monkeypatch):
+    """The learners see each value of a label once, and give the values and covers of every single row."""
+    rows = [(float(i % 3 if i % 7 else 2), float(i % 5 + (i % 11 == 0))) for i in range(600)]
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.createDataFrame(rows, "label double, x double")).select("label", "features")
+    params = {"n_estimators": 2, "num_leaves": 4096, "min_data_in_leaf": 1, "feature_fraction": 1.0}
+    seen = []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, data, *args: seen.append(data.count()) or fit(self, data, *args))
+    slots = [("cat__x", "x")]
+    combined = BoostedTrees("classification", params, classes=[0.0, 1.0, 2.0]).fit(df, slots, 256)
+    assert seen == [len(set(rows))] * 3
+    single = [BoostedTrees("classification", params).fit(df.withColumn("label", (F.col("label") == c).cast("double")), slots, 256) for c in (0.0, 1.0, 2.0)]
+    columns = ["tree", "node", "left", "right", "threshold", "value", "cover"]
+    for one, other in zip(combined.models, single):
+        got, want = (sorted(tuple(r[c] for c in columns) for r in en.model_nodes(spark, x.model).collect()) for x in (one, other))
+        assert [g[:4] + g[6:] for g in got] == [w[:4] + w[6:] for w in want]
+        for i in (4, 5):
+            assert [g[i] for g in got] == pytest.approx([w[i] for w in want], abs=1e-12)
+    # leaves of several rows, class weights or several slots need every row
+    for more, names in (({"min_data_in_leaf": 2}, slots), ({"class_weight": "balanced"}, slots), ({}, slots * 2)):
+        assert BoostedTrees("classification", {**params, **more}, classes=[0.0, 1.0, 2.0])._combined(df, names) is None
