@@ -178,14 +178,21 @@ class Section:
         """What the bigram adds to the unigram's log10 probability: the backoff weight (log10 ``left``, where that is
         given), together with the gain of a known follower, divided by ``seen``.
 
-        The successor is sought from the context's offset and must lie between its pointers.
         """
         value = self.backoff_book[self.backoff[node]].astype(float) if left is None else np.full(len(node), np.log10(left))
+        at, same = self.follower(node, follower >> U64(64 - FOLLOWER_BITS))
+        value[same] = np.log10(10.0 ** self.gain_book[self.gain[at[same]]].astype(float) / seen + 10.0 ** value[same])
+        return value
+
+    def follower(self, node: np.ndarray, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the followers of contexts, given by the top ``FOLLOWER_BITS`` of their hashes, stand in the second level, and whether they do.
+
+        The successor is sought from the context's offset and must lie between its pointers.
+        """
         begin, stop = self.pointers.at(node).astype(np.int64), self.pointers.at(node + 1).astype(np.int64)
+        found, hit = np.zeros(len(node), np.int64), np.zeros(len(node), bool)
         some = np.flatnonzero(begin < stop)
         if len(some):
-            x = (node[some].astype(U64) << U64(FOLLOWER_BITS)) + (follower[some] >> U64(64 - FOLLOWER_BITS))
-            at, same = self.followers.successor(x)
-            same &= (at >= begin[some]) & (at < stop[some])
-            value[some[same]] = np.log10(10.0 ** self.gain_book[self.gain[at[same]]].astype(float) / seen + 10.0 ** value[some[same]])
-        return value
+            at, same = self.followers.successor((node[some].astype(U64) << U64(FOLLOWER_BITS)) + short[some])
+            found[some], hit[some] = at, same & (at >= begin[some]) & (at < stop[some])
+        return found, hit

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from gridloom.llm import language_cnn as cnn
 from gridloom.llm import ngram_lm as lm
@@ -191,3 +192,21 @@ def test_sections_of_a_round_are_not_copied(spark):
     blob = bytes(sections.first()["blob"])
     trie = lm.RoundTrie([(0, False, blob)], places, {})
     assert np.shares_memory(trie.parts[0][0].gain, np.frombuffer(blob, np.uint8))
+
+
+def test_unseen_follower_in_an_empty_slice_of_a_frequent_word(spark):
+    docs = spark.createDataFrame([(i, "x a") for i in range(8)], "doc_id long, text string")
+    places = lm.build_trie(docs.select("text"), entries=4)[1]
+    at = lambda w: int(places.of(*(np.array([xxhash.xxh64_intdigest(v)], np.uint64) for v in (b"x", w.encode())))[0])
+    free = next(f"w{i}" for i in range(100) if at(f"w{i}") != at("a"))
+    row = lm.score_texts(spark.createDataFrame([(1, f"x {free}")], "doc_id long, text string"), docs, entries=4).first()
+    pairs, p_end, p_new = (8 - 0.75) / 8, 9 / 28, 1 / 28  # N = 24, V = 3
+    rest = 0.75 / 8  # both the end token and x have one follower, seen 8 times
+    exact = math.log10(pairs + rest * 9 / 28) + math.log10(rest * p_new) + math.log10(p_end)
+    assert row["n_known"] == 2 and row["score"] == pytest.approx(exact, abs=0.02)
+
+
+def test_rounds_read_the_texts_once_and_the_model_where_it_is(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    plan = lm.score_texts(docs, docs, entries=4000, round_bytes=40_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("MapInArrow") == 1  # several rounds joined a pass over the texts each
