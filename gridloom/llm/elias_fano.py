@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from functools import cached_property
 
 import numpy as np
 
 U64 = np.uint64
 ONE = U64(1)
+#: A sequence is decoded when a value was sought for every so many that it has.
+DECODE_SHARE = 8
 
 
 def pack(arrays: Mapping[str, np.ndarray]) -> bytes:
@@ -53,6 +56,7 @@ class EliasFano:
         self.n, self.bits = (int(x) for x in arrays[f"{name}.shape"])
         self.low, self.high, self.ones = arrays[f"{name}.low"], arrays[f"{name}.high"], arrays[f"{name}.ones"]
         self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones  # before each word
+        self.sought = 0  # values that were looked for so far
 
     @staticmethod
     def build(values: np.ndarray, universe: int, name: str) -> dict[str, np.ndarray]:
@@ -70,8 +74,9 @@ class EliasFano:
             np.bitwise_or.at(low, word[over] + 1, part[over] >> (U64(64) - off[over]))
         place = (values >> U64(bits)).astype(np.int64) + np.arange(n)
         size = (universe >> bits) + n + 1
-        high = np.zeros(size // 64 + 1, U64)
-        np.bitwise_or.at(high, place >> 6, ONE << (place & 63).astype(U64))
+        ones = np.zeros((size // 64 + 1) * 64, np.uint8)
+        ones[place] = 1
+        high = np.packbits(ones, bitorder="little").view(U64)
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high))[:-1]]).astype(np.int32)
         return {f"{name}.shape": np.array([n, bits]), f"{name}.low": low, f"{name}.high": high, f"{name}.ones": ones}
 
@@ -93,12 +98,26 @@ class EliasFano:
         high = self._select(self.ones, self.high, i, False) - i
         return (high.astype(U64) << U64(self.bits)) | self._low(i)
 
+    @cached_property
+    def values(self) -> np.ndarray:
+        """All values, decoded."""
+        i = np.arange(self.n)
+        high = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))[: self.n] - i
+        return (high.astype(U64) << U64(self.bits)) | self._low(i)
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Position of the first value that is at least ``x`` (n without one), and whether it equals ``x``.
 
-        The high bits give the run of candidates, which is halved by the low bits.
+        The high bits give the run of candidates, which is halved by the low bits. A sequence in which many
+        values are sought, in one call or several, is decoded once instead.
         """
         x = x.astype(U64)
+        self.sought += len(x)
+        if self.sought >= self.n // DECODE_SHARE:
+            at = np.searchsorted(self.values, x)
+            same = at < self.n
+            same[same] = self.values[at[same]] == x[same]
+            return at, same
         top = (x >> U64(self.bits)).astype(np.int64)
         want = x & U64((1 << self.bits) - 1)
         before = np.maximum(top - 1, 0)
@@ -187,12 +206,6 @@ class Section:
     def follower(self, node: np.ndarray, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the followers of contexts, given by the top ``FOLLOWER_BITS`` of their hashes, stand in the second level, and whether they do.
 
-        The successor is sought from the context's offset and must lie between its pointers.
+        The offset of a context is part of the values of the level, so an equal one is a follower of it.
         """
-        begin, stop = self.pointers.at(node).astype(np.int64), self.pointers.at(node + 1).astype(np.int64)
-        found, hit = np.zeros(len(node), np.int64), np.zeros(len(node), bool)
-        some = np.flatnonzero(begin < stop)
-        if len(some):
-            at, same = self.followers.successor((node[some].astype(U64) << U64(FOLLOWER_BITS)) + short[some])
-            found[some], hit[some] = at, same & (at >= begin[some]) & (at < stop[some])
-        return found, hit
+        return self.followers.successor((node.astype(U64) << U64(FOLLOWER_BITS)) + short)

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -210,3 +211,30 @@ def test_rounds_read_the_texts_once_and_the_model_where_it_is(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     plan = lm.score_texts(docs, docs, entries=4000, round_bytes=40_000)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("MapInArrow") == 1  # several rounds joined a pass over the texts each
+
+
+def test_a_sequence_that_is_asked_often_is_decoded_and_answers_the_same():
+    values = np.unique(np.random.default_rng(5).integers(0, 1 << 40, 4000, dtype=np.uint64))
+    asked = np.concatenate([values[::3], values[::5] + np.uint64(1), np.array([0, (1 << 40) - 1], np.uint64)])
+    arrays = EliasFano.build(values, 1 << 40, "s")
+    few, many = EliasFano(arrays, "s"), EliasFano(arrays, "s")
+    for part in np.array_split(asked, 200):
+        few.sought = 0
+        assert all(np.array_equal(a, b) for a, b in zip(few.successor(part), many.successor(part)))
+    assert "values" in vars(many) and "values" not in vars(few)
+    assert np.array_equal(many.values, values)
+
+
+def test_rounds_cut_texts_into_words_like_bytes_do_without_a_list_of_tokens():
+    texts = ["", None, " ", " A  b\t\x0b\x0c\r\nB ", "\x1c a\x85b \u00c9 \u00e9", "x " * 30, "y"]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": pa.array(range(i, j)), "text": pa.array(texts[i:j], pa.string())}) for i, j in ((0, 0), (0, 3), (3, 7))]
+    for most in (1, 4, 1000):
+        seen = []
+        for ids, lengths, tokens, words, end in lm._rounds(iter(batches), most):
+            assert words[end] == lm.END and (np.diff(words.astype(object)) > 0).all()
+            for doc_id, found in zip(pa.chunked_array(ids).to_pylist(), np.split(words[tokens], np.cumsum(lengths)[:-1])):
+                seen.append((doc_id, found.tolist()))
+        expected = [[*map(lm.xxhash.xxh64_intdigest, (t or "").encode().lower().split()), lm.END] for t in texts]
+        assert seen == list(enumerate(expected))
+    split, counts = lm._words(batches[2].column("text"))
+    assert isinstance(split, pa.Array) and counts.tolist() == [3, 4, 30, 1]
