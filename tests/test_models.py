@@ -24,7 +24,9 @@ from gridloom.operators.folds import assign_folds
 from gridloom.operators.search import SearchResult, cross_validate_search, encode_folds
 from gridloom.operators.train import BoostedTrees, TrainedModel, best_length, complete_params, first_trees, learner_options
 from gridloom.sources.metadata import FeaturePlan
-from gridloom.sources.readers import spread
+from gridloom.plans import catalog
+from gridloom.sources.readers import scan_tasks, spread
+from gridloom.sources.writers import stored
 
 PARAMS = {"n_estimators": 6, "num_leaves": 8, "min_data_in_leaf": 5, "learning_rate": 0.3, "feature_fraction": 1.0}
 
@@ -266,6 +268,27 @@ def test_explain_ranks_and_rolls_up(trained):
         ex.explain(model, data, ids, "unknown")
 
 
+def test_line_models_keep_no_cache(spark, sf_dir):
+    """A cache of rows and vectors took whole partitions of all lines into the memory of executors."""
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    scored = catalog.train_score_lines(spark, sf_dir)
+    assert scored.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_stored_rows_are_scanned_in_bounded_tasks(spark):
+    df = stored(spark.range(20_000).repartition(2), "rows", 500)
+    name, before = "spark.sql.files.minPartitionNum", spark.conf.get("spark.sql.files.minPartitionNum", None)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        with scan_tasks(df, 1000):
+            sizes = df.select(F.spark_partition_id().alias("p")).groupBy("p").count().toPandas()["count"]
+        assert len(sizes) >= 20 and sizes.max() <= 1500 and sizes.sum() == 20_000
+        assert spark.conf.get(name, None) == before
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_split_importance_counts_every_split(spark, trained):
     model, _, _ = trained
     total = ex.node_table(spark, model).where("left >= 0").count()
