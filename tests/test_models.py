@@ -304,6 +304,21 @@ def test_surrogate_agrees(trained):
     assert agree > 0.9
 
 
+def test_surrogate_is_fitted_to_all_rows(spark, sf_dir, trained, monkeypatch):
+    model, data, ids = trained
+    n_rows = data.count()
+    assert n_rows > 1000
+
+    def covered(copy):
+        return ex.node_table(spark, copy).where("tree = 0 and node = 0").first()["cover"]
+
+    assert covered(ex.surrogate(model, data, ids, max_arity=5)) == n_rows
+    assert covered(ex.surrogate(model, data, ids, 1000, max_arity=5)) == 1000
+    made, surrogate = [], ex.surrogate
+    monkeypatch.setattr(ex, "surrogate", lambda *args, **more: made.append(surrogate(*args, **more)) or made[-1])
+    assert catalog.surrogate_scores(spark, sf_dir).count() == n_rows == covered(made[0])
+
+
 def test_search_history(spark, frame):
     df, plan = frame
     folded = assign_folds(df, 2, plan.ids, target="label")
