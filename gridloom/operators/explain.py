@@ -205,9 +205,11 @@ def split_importance(spark: SparkSession, trained: TrainedModel) -> DataFrame:
     return joined.orderBy(F.desc("n_splits"), "feature")
 
 
-def surrogate(trained: TrainedModel, df: DataFrame, ids: Sequence[str], max_rows: int | None = None, max_arity: int = 0) -> TrainedModel:
+def surrogate(
+    trained: TrainedModel, df: DataFrame, ids: Sequence[str], max_rows: int | None = None, max_arity: int = 0, many_rows: bool = False
+) -> TrainedModel:
     """A fresh classifier fitted to the hard decisions of a model on all rows, or on the first ``max_rows`` in id order."""
     rows = df if max_rows is None else first_rows(df.select(*ids, "features"), max_rows, ids)
     scored = trained.model.transform(rows.select("features"))
     decided = scored.select("features", (vector_to_array("probability")[1] > 0.5).cast("double").alias("label"))
-    return BoostedTrees("classification", trained.params).fit(decided, trained.slots, max_arity)
+    return BoostedTrees("classification", trained.params, many_rows=many_rows).fit(decided, trained.slots, max_arity)

@@ -14,7 +14,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from gridloom.config import parse_space
+from gridloom.functions import bins as bin_code
 from gridloom.functions import trees as tree_code
+from gridloom.operators import boosting
 from gridloom.operators import ensemble as en
 from gridloom.operators import explain as ex
 from gridloom.operators import metrics as m
@@ -289,6 +291,71 @@ def test_stored_rows_are_scanned_in_bounded_tasks(spark):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def _nodes(spark, trained):
+    columns = ["tree", "node", "left", "right", "slot", "threshold", "value", "cover", "gain", "weight"]
+    return ex.node_table(spark, trained).select(*columns).toPandas().sort_values(["tree", "node"]).reset_index(drop=True)
+
+
+@pytest.mark.parametrize("params, chunk", [(PARAMS, 10_000), ({**PARAMS, "num_leaves": 32, "min_data_in_leaf": 1}, 97), ({**PARAMS, "min_data_in_leaf": 4000}, 97)])
+def test_binned_rows_give_the_trees_of_the_learner(spark, frame, monkeypatch, params, chunk):
+    """The same trees, scores and saved model as Spark's learner, from chunks of any size and sums that are added up first."""
+    df, plan = frame
+    # no number kept as missing: its two slots give equal splits, between which the order of additions decides
+    plan = FeaturePlan(plan.ids, "label", numeric=plan.numeric, categorical=["l_returnflag"])
+    encoder = FeatureEncoder(plan).fit(df)
+    noisy = F.when(F.xxhash64(*plan.ids) % 5 == 0, 1 - F.col("label")).otherwise(F.col("label"))
+    data = encoder.feature_frame(df.withColumn("label", noisy), [*plan.ids, "label"]).repartition(3).cache()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(chunk))
+    if chunk < 1000:
+        monkeypatch.setattr(boosting, "CHUNKS_PER_TASK", 1)
+        monkeypatch.setattr(boosting, "PARTIAL_SUMS", 2)
+    monkeypatch.setattr(GBTClassifier, "fit", lambda *args: pytest.fail("Spark's learner was used"))
+    try:
+        ours = BoostedTrees("classification", params, many_rows=True).fit(data, encoder.vector_slots(), encoder.max_arity())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        monkeypatch.undo()
+    spark_trees = BoostedTrees("classification", params).fit(data, encoder.vector_slots(), encoder.max_arity())
+    a, b = _nodes(spark, ours), _nodes(spark, spark_trees)
+    for name in ("tree", "node", "left", "right", "slot", "threshold", "cover"):
+        assert a[name].fillna(-9).tolist() == b[name].fillna(-9).tolist()
+    for name in ("value", "gain", "weight"):
+        assert a[name].to_numpy() == pytest.approx(b[name].to_numpy(), rel=1e-9, abs=1e-12)
+    assert ours.model.featureImportances.toArray() == pytest.approx(spark_trees.model.featureImportances.toArray())
+    assert ours.model.numFeatures == spark_trees.model.numFeatures
+    scores = [sorted(tuple(r) for r in one.score(data, plan.ids).collect()) for one in (ours, spark_trees)]
+    assert np.array(scores[0]) == pytest.approx(np.array(scores[1]), rel=1e-9)
+
+
+def test_sums_of_binned_rows():
+    """Sums over groups of slots equal those that are counted cell by cell."""
+    rng, sizes, n = np.random.default_rng(1), [5, 256, 1, 2, 2, 40, 2], 3000
+    bins, label = np.stack([rng.integers(0, s, n).astype(np.uint8) for s in sizes]), rng.integers(0, 2, n).astype(np.uint8)
+    shape = [(1, 100, 1, 2), (5, 20, 3, 4), *[(-1, -1, -1, -1)] * 3]
+    at = np.where(bins[1] <= 100, np.where(bins[5] <= 20, 3, 4), 2)
+    assert (bin_code.places(shape, bins) == at).all()
+    margin = np.array([0.0, 0.0, 0.5, -0.25, 1.0])[at]
+    signs = 2.0 * label - 1
+    target = 4 * signs / (1 + np.exp(2 * signs * margin))
+    groups = bin_code.grouped(sizes)
+    assert sorted(s for g in groups for s in g) == list(range(7)) and len(groups) < 7
+    sums = bin_code.histograms(label, bins, [(0.5, shape, np.array([0, 0, 1.0, -0.5, 2.0]))], shape, [4, 2], sizes, groups)
+    found, start = bin_code.by_slot(sums, sizes, groups), 0
+    for slot, size in enumerate(sizes):
+        for b in range(size):
+            for i, node in enumerate((4, 2)):
+                rows = (at == node) & (bins[slot] == b)
+                assert found[:, i, start + b] == pytest.approx([rows.sum(), target[rows].sum(), (target[rows] ** 2).sum()])
+        start += size
+
+
+def test_binned_rows_are_checked(spark):
+    bad = spark.createDataFrame([(1.0, 0.5), (0.0, 0.1), (None, 0.2)], "label double, x double")
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(bad)
+    with pytest.raises(Exception, match="[Ll]abel"):
+        BoostedTrees("classification", PARAMS, many_rows=True).fit(data)
+
+
 def test_split_importance_counts_every_split(spark, trained):
     model, _, _ = trained
     total = ex.node_table(spark, model).where("left >= 0").count()
