@@ -270,12 +270,15 @@ def test_explain_ranks_and_rolls_up(trained):
         ex.explain(model, data, ids, "unknown")
 
 
-def test_line_models_keep_no_cache(spark, sf_dir):
+def test_line_models_keep_no_rows_in_memory(spark, sf_dir):
     """A cache of rows and vectors took whole partitions of all lines into the memory of executors."""
-    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    spark.catalog.clearCache()
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
     scored = catalog.train_score_lines(spark, sf_dir)
     assert scored.count() == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
-    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+    kept = spark.sparkContext._jsc.getPersistentRDDs()
+    levels = [kept[i].getStorageLevel() for i in kept if i not in before]
+    assert levels and not any(level.useMemory() for level in levels)
 
 
 def test_stored_rows_are_scanned_in_bounded_tasks(spark):
